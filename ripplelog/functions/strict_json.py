@@ -1,18 +1,20 @@
 """Strict JSON decoding built from Spark's variant expressions.
 
 ``from_json`` turns numbers into strings and ignores text after the first value. Here a payload
-decodes only if it is exactly one JSON value and every known field has its declared type. Two
-wraps of the payload prove that it is one value: after the first value, ``[payload]`` tolerates
-only ``]`` or ``,`` and ``{"v":payload}`` only ``}`` or ``,``; a second array element shows the
-comma. The array wrap is parsed once and serves all fields; the object wrap is only tokenized.
+decodes only if it is exactly one JSON value and every known field has its declared type.
+
+The payload is parsed once, as ``[payload]``. Spark ignores what follows the value it parsed, so
+this alone accepts ``x]junk`` and ``x,y``. A second element shows the comma. A payload without
+``]`` cannot have closed the array early; for one that has the character, ``{"v":payload}`` is
+tokenized as well, which tolerates only ``}`` or ``,`` after the value. Passing both wraps leaves
+exactly one value.
+
+Expressions are SQL text: each is one call into the JVM instead of one per node.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +24,9 @@ _VARIANT_NAMES = {
     T.BooleanType: "BOOLEAN",
 }
 
-_JSON_SPACE = " \t\r\n"
+_ZERO = {T.StringType: "''", T.LongType: "0L", T.BooleanType: "false"}
 
-_ZERO = {T.StringType: "", T.LongType: 0, T.BooleanType: False}
+_SPACE = r"' \t\r\n'"
 
 
 def _shape(schema: T.StructType) -> str:
@@ -35,106 +37,101 @@ def _nested(schema: T.StructType) -> list[T.StructField]:
     return [field for field in schema if isinstance(field.dataType, T.StructType)]
 
 
-def open_document(df: DataFrame, payload: Column, schema: T.StructType) -> DataFrame:
+def open_document(df: DataFrame, payload: str, schema: T.StructType) -> DataFrame:
     """Add ``_single``, ``_root`` and one ``_in_<name>`` per nested struct.
 
-    Three projections keep every parse to once per row: Spark does not merge a projection into
-    the next one when that would repeat an expensive expression.
+    The projections stay apart, since Spark does not merge one into the next when that would
+    repeat an expensive expression. So the payload is parsed once per row.
     """
-    text = payload.cast("string")
-    array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    member = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    parsed = df.withColumns({"_array": array, "_member": member})
-
-    second = F.try_variant_get(F.col("_array"), "$[1]", "variant")
+    text = f"CAST(`{payload}` AS string)"
+    parsed = df.withColumn("_array", F.expr(f"try_parse_json('[' || {text} || ']')"))
     rooted = parsed.withColumns(
         {
-            "_single": F.col("_array").isNotNull() & F.col("_member").isNotNull() & second.isNull(),
-            "_root": F.try_variant_get(F.col("_array"), "$[0]", _shape(schema)),
-            "_null_document": F.btrim(text, F.lit(_JSON_SPACE)) == "null",
+            "_single": F.expr(
+                f"""_array IS NOT NULL AND try_variant_get(_array, '$[1]', 'variant') IS NULL
+                AND (NOT contains({text}, ']')
+                     OR json_object_keys('{{"v":' || {text} || '}}') IS NOT NULL)"""
+            ),
+            "_root": F.expr(f"try_variant_get(_array, '$[0]', '{_shape(schema)}')"),
+            "_null_document": F.expr(f"trim(BOTH {_SPACE} FROM {text}) = 'null'"),
         }
-    ).drop("_array", "_member")
+    ).drop("_array")
     inner = {
-        f"_in_{field.name}": F.try_variant_get(
-            F.col(f"_root.`{field.name}`"), "$", _shape(field.dataType)
+        f"_in_{part.name}": F.expr(
+            f"try_variant_get(_root.`{part.name}`, '$', '{_shape(part.dataType)}')"
         )
-        for field in _nested(schema)
+        for part in _nested(schema)
     }
     return rooted.withColumns(inner) if inner else rooted
 
 
-def pinned(verdict: Column) -> Column:
-    """A verdict column that filters cannot be pushed below.
+def close_document(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Drop the helper columns of :func:`open_document`."""
+    helpers = ["_single", "_root", "_null_document"]
+    return df.drop(*helpers, *[f"_in_{part.name}" for part in _nested(schema)])
+
+
+def pinned(verdict: str) -> str:
+    """A verdict expression that filters cannot be pushed below.
 
     Spark moves a filter under the projections that compute its columns and copies their
     expressions into it: every parse would then run once more in the filter, nested into each of
     the type checks. It leaves the filter above a projection that has a non-deterministic field,
     and the partition number counts as one. The value of the verdict does not depend on it.
     """
-    return F.when(F.spark_partition_id() >= 0, verdict)
-
-
-def close_document(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Drop the helper columns of :func:`open_document`."""
-    helpers = ["_single", "_root", "_null_document"]
-    return df.drop(*helpers, *[f"_in_{field.name}" for field in _nested(schema)])
+    return f"CASE WHEN spark_partition_id() >= 0 THEN {verdict} END"
 
 
-def _all_of(values: list[Column], name: str) -> Column:
+def _all_of(values: list[str], name: str) -> str:
     """Whether every value that is there is JSON null or has the named type.
 
     The type names are joined and the allowed ones cut out, which leaves nothing exactly when no
     other name was among them. One expression for many fields keeps the generated code small
     enough for the JVM to compile.
     """
-    found = F.concat_ws("", *[F.schema_of_variant(value) for value in values])
-    rest = F.replace(F.replace(found, F.lit(name), F.lit("")), F.lit("VOID"), F.lit(""))
-    return rest == ""
+    found = ", ".join(f"schema_of_variant({value})" for value in values)
+    return f"replace(replace(concat_ws('', {found}), '{name}', ''), 'VOID', '') = ''"
 
 
-def decodes(schema: T.StructType) -> Column:
+def decodes(schema: T.StructType) -> str:
     """Whether an opened document is one value with well-typed fields; null counts as empty."""
-    by_type: dict[str, list[Column]] = {}
-    checks = [F.col("_single"), F.col("_root").isNotNull() | F.col("_null_document")]
+    by_type: dict[str, list[str]] = {}
+    checks = ["_single", "(_root IS NOT NULL OR _null_document)"]
     for part in schema:
-        value = F.col(f"_root.`{part.name}`")
+        value = f"_root.`{part.name}`"
         if isinstance(part.dataType, T.StructType):
-            inner = F.col(f"_in_{part.name}")
-            checks.append(value.isNull() | inner.isNotNull() | F.is_variant_null(value))
-            scalars = [(inner.getField(sub.name), sub.dataType) for sub in part.dataType]
+            inner = f"_in_{part.name}"
+            checks.append(f"({value} IS NULL OR {inner} IS NOT NULL OR is_variant_null({value}))")
+            scalars = [(f"{inner}.`{sub.name}`", sub.dataType) for sub in part.dataType]
         else:
             scalars = [(value, part.dataType)]
         for scalar, kind in scalars:
             by_type.setdefault(_VARIANT_NAMES[type(kind)], []).append(scalar)
     checks += [_all_of(values, name) for name, values in by_type.items()]
-    return reduce(and_, checks)
-
-
-def _scalar(value: Column, kind: T.DataType) -> Column:
-    typed = F.try_variant_get(value, "$", kind.simpleString())
-    return F.coalesce(typed, F.lit(_ZERO[type(kind)]))
+    return "(" + " AND ".join(checks) + ")"
 
 
-def field(schema: T.StructType, path: str) -> Column:
+def field(schema: T.StructType, path: str) -> str:
     """One decoded scalar of an opened document, with its zero value when absent."""
     outer, _, name = path.partition(".")
-    if name:
-        kind = schema[outer].dataType[name].dataType
-        return _scalar(F.col(f"_in_{outer}").getField(name), kind)
-    return _scalar(F.col(f"_root.`{outer}`"), schema[outer].dataType)
+    kind = schema[outer].dataType[name].dataType if name else schema[outer].dataType
+    value = f"_in_{outer}.`{name}`" if name else f"_root.`{outer}`"
+    typed = f"try_variant_get({value}, '$', '{kind.simpleString()}')"
+    return f"coalesce({typed}, {_ZERO[type(kind)]})"
 
 
-def document(schema: T.StructType, optional: tuple[str, ...] = ()) -> Column:
+def document(schema: T.StructType, optional: tuple[str, ...] = ()) -> str:
     """The whole typed struct of an opened document; ``optional`` structs stay null when absent."""
-    columns = []
+    members = []
     for part in schema:
         if isinstance(part.dataType, T.StructType):
-            inner = F.struct(
-                *[field(schema, f"{part.name}.{sub.name}").alias(sub.name) for sub in part.dataType]
+            inner = ", ".join(
+                f"'{sub.name}', {field(schema, f'{part.name}.{sub.name}')}" for sub in part.dataType
             )
+            value = f"named_struct({inner})"
             if part.name in optional:
-                inner = F.when(F.col(f"_in_{part.name}").isNotNull(), inner)
-            columns.append(inner.alias(part.name))
+                value = f"CASE WHEN _in_{part.name} IS NOT NULL THEN {value} END"
         else:
-            columns.append(field(schema, part.name).alias(part.name))
-    return F.struct(*columns)
+            value = field(schema, part.name)
+        members.append(f"'{part.name}', {value}")
+    return f"named_struct({', '.join(members)})"

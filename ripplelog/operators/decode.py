@@ -19,20 +19,25 @@ def text(value: Column) -> Column:
 
 def with_page_key(df: DataFrame, payload: str = "value", name: str = "page_key") -> DataFrame:
     """Add the page key decoded from two fields only; null when the payload has no key."""
-    opened = J.open_document(configured(df), F.col(payload), _KEY_FIELDS)
-    key = join_key(J.field(_KEY_FIELDS, "wiki"), J.field(_KEY_FIELDS, "title"))
-    return J.close_document(
-        opened.withColumn(name, J.pinned(F.when(J.decodes(_KEY_FIELDS), key))), _KEY_FIELDS
+    opened = J.open_document(configured(df), payload, _KEY_FIELDS)
+    parts = opened.withColumns(
+        {
+            "_key_ok": F.expr(J.decodes(_KEY_FIELDS)),
+            "_wiki": F.expr(J.field(_KEY_FIELDS, "wiki")),
+            "_title": F.expr(J.field(_KEY_FIELDS, "title")),
+        }
     )
+    key = join_key(F.col("_wiki"), F.col("_title"))
+    keyed = J.close_document(parts, _KEY_FIELDS).withColumn("_key", F.when(F.col("_key_ok"), key))
+    return keyed.withColumn(name, F.expr(J.pinned("_key"))).drop("_key_ok", "_wiki", "_title", "_key")
 
 
 def decode_raw(df: DataFrame, payload: str = "value") -> DataFrame:
     """Add the typed struct ``event`` and ``decode_ok``; ``event`` is null when decoding fails."""
-    opened = J.open_document(configured(df), F.col(payload), S.RAW_EVENT)
-    judged = opened.withColumn("decode_ok", J.pinned(J.decodes(S.RAW_EVENT))).withColumn(
-        "event", F.when(F.col("decode_ok"), J.document(S.RAW_EVENT, S.OPTIONAL_STRUCTS))
-    )
-    return J.close_document(judged, S.RAW_EVENT)
+    opened = J.open_document(configured(df), payload, S.RAW_EVENT)
+    judged = opened.withColumn("decode_ok", F.expr(J.pinned(J.decodes(S.RAW_EVENT))))
+    event = f"CASE WHEN decode_ok THEN {J.document(S.RAW_EVENT, S.OPTIONAL_STRUCTS)} END"
+    return J.close_document(judged.withColumn("event", F.expr(event)), S.RAW_EVENT)
 
 
 # Envelope column and where its value stands in the payload.
@@ -47,20 +52,18 @@ _ENVELOPE_PATHS = {
 }
 
 
-def _reason() -> Column:
+def _reason() -> str:
     """First failing rule over decoded envelope columns, or null for a valid event."""
     rules = [
-        (F.col("event_id") == "", S.MISSING_ID),
-        (F.col("event_type") == "", S.MISSING_TYPE),
-        (F.col("title") == "", S.MISSING_TITLE),
-        (F.col("wiki") == "", S.MISSING_WIKI),
-        (F.col("user") == "", S.MISSING_USER),
-        (F.col("occurred_at") <= 0, S.BAD_TIMESTAMP),
+        ("NOT _decode_ok", S.DECODE_REASON),
+        ("event_id = ''", S.MISSING_ID),
+        ("event_type = ''", S.MISSING_TYPE),
+        ("title = ''", S.MISSING_TITLE),
+        ("wiki = ''", S.MISSING_WIKI),
+        ("`user` = ''", S.MISSING_USER),
+        ("occurred_at <= 0", S.BAD_TIMESTAMP),
     ]
-    chain = F.when(~F.col("_decode_ok"), F.lit(S.DECODE_REASON))
-    for failed, reason in rules:
-        chain = chain.when(failed, F.lit(reason))
-    return chain
+    return "CASE " + " ".join(f"WHEN {failed} THEN '{text}'" for failed, text in rules) + " END"
 
 
 def classify(df: DataFrame, payload: str = "value") -> DataFrame:
@@ -69,15 +72,14 @@ def classify(df: DataFrame, payload: str = "value") -> DataFrame:
     ``reason`` is null exactly for valid events. Only the envelope fields are extracted; the
     other fields are type-checked, since one wrong type rejects the whole payload.
     """
-    opened = J.open_document(configured(df), F.col(payload), S.RAW_EVENT)
+    opened = J.open_document(configured(df), payload, S.RAW_EVENT)
     typed = opened.withColumns(
-        {name: J.field(S.RAW_EVENT, path) for name, path in _ENVELOPE_PATHS.items()}
-        | {"_decode_ok": J.decodes(S.RAW_EVENT)}
+        {name: F.expr(J.field(S.RAW_EVENT, path)) for name, path in _ENVELOPE_PATHS.items()}
+        | {"_decode_ok": F.expr(J.decodes(S.RAW_EVENT))}
     )
-    judged = J.close_document(typed, S.RAW_EVENT).withColumn("reason", J.pinned(_reason()))
-    failed = F.when(F.col("_decode_ok"), "invalid").otherwise("decode")
-    kind = F.when(F.col("reason").isNotNull(), failed)
-    return judged.withColumn("error_class", kind).drop("_decode_ok")
+    judged = J.close_document(typed, S.RAW_EVENT).withColumn("reason", F.expr(J.pinned(_reason())))
+    kind = "CASE WHEN reason IS NOT NULL THEN if(_decode_ok, 'invalid', 'decode') END"
+    return judged.withColumn("error_class", F.expr(kind)).drop("_decode_ok")
 
 
 def to_envelope(classified: DataFrame, *keep: str) -> DataFrame:

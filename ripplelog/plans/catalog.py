@@ -495,6 +495,12 @@ def sse_payloads(spark, sf_dir):
     return sse_capture(spark, _capture(spark, sf_dir))
 
 
+@_query
+def sse_server_payloads(spark, sf_dir):
+    """The same capture read without a shuffle, as its events are one blank line apart."""
+    return sse_capture(spark, _capture(spark, sf_dir), single_blank=True)
+
+
 @_query
 def sse_stream_payloads(spark, sf_dir):
     """The same capture read as a stream."""
@@ -509,7 +515,7 @@ def sse_stream_payloads(spark, sf_dir):
 def produced_log(spark, sf_dir):
     """Capture to raw topic: key, partition and value of every keyable event."""
     root = workspace(spark, "log")
-    C.produce(spark, _capture(spark, sf_dir), root, "capture-0")
+    C.produce(spark, _capture(spark, sf_dir), root, "capture-0", single_blank=True)
     rows = log_batch(spark, root, S.TOPIC_RAW)
     return rows.select(
         F.col("key").cast("string").alias("key"), "partition", text(F.col("value")).alias("value")

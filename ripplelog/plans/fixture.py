@@ -78,9 +78,9 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         unix_seconds(F.col("ts")).alias("seconds"),
         F.explode(again).alias("redelivery"),
     )
-    for name, expression in COLUMNS.items():
-        rows = rows.withColumn(name, F.expr(expression.format(text="string")))
-    rows = rows.withColumn("document", F.expr(DOCUMENT.format(text="string")))
+    rows = rows.withColumns(
+        {name: F.expr(expression.format(text="string")) for name, expression in COLUMNS.items()}
+    ).withColumn("document", F.expr(DOCUMENT.format(text="string")))
     return rows.select(
         "event_id",
         "redelivery",

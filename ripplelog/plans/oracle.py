@@ -146,6 +146,7 @@ def _bodies() -> dict[str, str]:
             SELECT partition, count(*) AS n FROM envelopes GROUP BY partition) r
           ON r.partition = ids.partition ORDER BY ids.partition""",
         "sse_payloads": "SELECT payload FROM raw_log",
+        "sse_server_payloads": "SELECT payload FROM raw_log",
         "sse_stream_payloads": "SELECT payload FROM raw_log",
         "produced_log": f"""SELECT {key} AS key, partition, payload AS value FROM parsed
           WHERE {keyed}""",

@@ -19,15 +19,16 @@ from ripplelog.sinks.log import append_log
 from ripplelog.sinks.objects import write_backup, write_lake
 from ripplelog.sinks.olap import write_events
 from ripplelog.sources.log import log_rows, log_stream
-from ripplelog.sources.sse import POSITION, BLOCK, sse_capture
+from ripplelog.sources.sse import BLOCK, POSITION, sse_capture
 from ripplelog.streaming.runner import consume
 
 POSITION_COLUMNS = ["topic", "partition", "offset"]
 
 
-def produce(spark: SparkSession, capture: str, log_root: str, segment: str, crlf: bool = False) -> None:
-    """Append the keyable events of a capture to the raw topic in capture order."""
-    payloads = sse_capture(spark, capture, crlf=crlf, position=True)
+def produce(spark: SparkSession, capture: str, log_root: str, segment: str, **how: bool) -> None:
+    """Append the keyable events of a capture to the raw topic in capture order; ``how`` are
+    options of :func:`sse_capture`."""
+    payloads = sse_capture(spark, capture, position=True, **how)
     append_log(produced(payloads, "payload", *POSITION), log_root, segment, POSITION, BLOCK)
 
 
