@@ -27,3 +27,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     if not system.exists(location):
         return []
     return sorted(status.getPath().getName() for status in system.listStatus(location))
+
+
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Move a complete folder to a place where nothing is yet."""
+    system, location = _located(spark, path)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    system.mkdirs(goal.getParent())
+    if not system.rename(location, goal):
+        raise OSError(f"cannot move {path} to {target}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,13 +51,16 @@ def new_events(batch: DataFrame, ledger: DataFrame, arrival: tuple[str, ...] = A
     return dedupe(batch, arrival).join(ledger.select("event_id"), "event_id", "left_anti")
 
 
-def page_activity(events: DataFrame, arrival: tuple[str, ...] = ARRIVAL) -> DataFrame:
+def page_activity(
+    events: DataFrame, arrival: tuple[str, ...] = ARRIVAL, also: Sequence[Column] = ()
+) -> DataFrame:
     """Per page: edits, bot edits, latest event time, and the user of the last arrived event."""
     return events.groupBy(*PAGE_KEY).agg(
         F.count(F.lit(1)).alias("edit_count"),
         F.sum(bot_inc()).alias("bot_edit_count"),
         F.max("occurred_at").alias("last_event_at"),
         F.max_by("user", F.struct(*arrival)).alias("last_user"),
+        *also,
     )
 
 

@@ -35,7 +35,7 @@ from ripplelog.sources.sse import sse_capture
 from ripplelog.streaming import consumers as C
 from ripplelog.streaming import projector as P
 from ripplelog.streaming import progress as G
-from ripplelog.streaming.runner import drain, metrics
+from ripplelog.streaming.runner import drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -386,14 +386,13 @@ def replay_is_noop(spark, sf_dir):
     root, model = _projected(spark, sf_dir)
     C.routed_segment(log_batch(spark, root, S.TOPIC_RAW), root, "routed-again")
     query = P.project(spark, root, model)
-    consumed = metrics(query, P.CONSUMED).get("rows", 0)
-    applied = metrics(query, P.APPLIED).get("rows", 0)
+    again = P.run_counts(spark, model, query)
     pages, ledger = P.current(spark, model, "page_activity"), P.ledger(spark, model)
     return R.counts(pages, ledger).select(
         "pages",
         "processed_events",
-        F.lit(applied).cast("bigint").alias("applied_again"),
-        F.lit(consumed - applied).cast("bigint").alias("skipped_again"),
+        F.lit(again["applied"]).cast("bigint").alias("applied_again"),
+        F.lit(again["skipped"]).cast("bigint").alias("skipped_again"),
     )
 
 
@@ -415,9 +414,7 @@ def run_counters(spark, sf_dir):
     model = P.ReadModel(workspace(spark, "model"))
     X.write_raw_topic(spark, sf_dir, root)
     drain(C.validator(spark, root, workspace(spark, "checkpoint")))
-    query = P.project(spark, root, model)
-    consumed = metrics(query, P.CONSUMED)["rows"]
-    applied = metrics(query, P.APPLIED)["rows"]
+    counts = P.run_counts(spark, model, P.project(spark, root, model))
     routed = segment_ranges(spark, root).where(F.col("topic") != S.TOPIC_RAW)
     return routed.agg(
         F.sum(F.when(F.col("topic") == S.TOPIC_VALIDATED, F.col("rows"))).alias("validated"),
@@ -425,8 +422,8 @@ def run_counters(spark, sf_dir):
     ).select(
         "validated",
         "dead_lettered",
-        F.lit(applied).cast("bigint").alias("applied"),
-        F.lit(consumed - applied).cast("bigint").alias("skipped"),
+        F.lit(counts["applied"]).cast("bigint").alias("applied"),
+        F.lit(counts["skipped"]).cast("bigint").alias("skipped"),
     )
 
 

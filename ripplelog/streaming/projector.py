@@ -1,25 +1,26 @@
-"""Idempotent, replayable read model kept by streaming queries.
+"""Idempotent, replayable read model kept by one streaming query.
 
-Three queries share the work. The ledger query drops event ids it has seen (state store) and
-appends the rest to ``applied``; that append and the state commit are one checkpoint commit. Two
-aggregations over ``applied`` write the rows that changed in each micro-batch to a changelog
-folder of that batch, which a retry replaces. Readers take the newest row per key.
+The query aggregates the validated topic by event id, keeping the first copy; ids met for the
+first time leave the aggregation once, in the micro-batch that brought them. Copies of one id are
+combined before the shuffle, so a flood of redeliveries does not gather in one task.
 
-State and changelog grow with keys and changed keys, not with the whole table per batch. No
-watermark is set: late events always count.
+A micro-batch is the transaction: it writes the new ledger rows, what they add per page and per
+wiki, and last a commit row, each into a folder of its own batch that a retry replaces. Readers
+look only at committed batches and add up what these hold per key. The cost of a batch follows the
+keys it touches, never the size of the tables. No watermark is set: late events always count.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ripplelog import schema as S
-from ripplelog.files import children, exists, remove
+from ripplelog.files import children, remove, rename
 from ripplelog.operators import readmodel as R
 from ripplelog.operators.decode import decode_envelope
 from ripplelog.session import configure
@@ -28,19 +29,47 @@ from ripplelog.streaming.progress import forget_progress, position_metrics, save
 from ripplelog.streaming.runner import DRAIN, drain
 
 CONSUMED = "consumed"
-APPLIED = "applied"
 
-_APPLIED = T.StructType(
+_LONG, _STRING, _INT = T.LongType(), T.StringType(), T.IntegerType()
+
+APPLIED = T.StructType(
     [
         *(S.ENVELOPE[name] for name in ("event_id", "wiki", "title", "user", "bot", "occurred_at")),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
+        T.StructField("partition", _INT),
+        T.StructField("offset", _LONG),
     ]
 )
 
-_LONG, _STRING = T.LongType(), T.StringType()
-_TABLES = {
-    "page_activity": (
+_COMMIT = S.struct_of(applied=_LONG)
+
+
+@dataclass(frozen=True)
+class _Table:
+    """A table of additions per key and batch: how a batch makes them and how they add up."""
+
+    key: list[str]
+    schema: T.StructType
+    report: list[str]
+
+    def additions(self, events: DataFrame) -> DataFrame:
+        if self.key == R.WIKI_KEY:
+            return R.wiki_stats(events)
+        last = F.max(F.struct(*R.ARRIVAL)).alias("_last")
+        pages = R.page_activity(events, also=[last])
+        return pages.select(R.PAGE_COLUMNS + [F.col(f"_last.{name}") for name in R.ARRIVAL])
+
+    def merged(self, rows: DataFrame) -> DataFrame:
+        counters = [name for name in self.schema.fieldNames() if name.endswith(("_count", "_events"))]
+        sums: list[Column] = [F.sum(name).alias(name) for name in counters]
+        sums.append(F.max("last_event_at").alias("last_event_at"))
+        if "last_user" not in self.schema.fieldNames():
+            return rows.groupBy(*self.key).agg(*sums)
+        last = F.max(F.struct(*R.ARRIVAL, "last_user")).alias("_last")
+        return rows.groupBy(*self.key).agg(*sums, last).select(*self.key, *counters, "last_event_at", "_last.*")
+
+
+TABLES = {
+    "page_activity": _Table(
         R.PAGE_KEY,
         S.struct_of(
             wiki=_STRING,
@@ -49,9 +78,12 @@ _TABLES = {
             bot_edit_count=_LONG,
             last_event_at=_LONG,
             last_user=_STRING,
+            partition=_INT,
+            offset=_LONG,
         ),
+        R.PAGE_COLUMNS,
     ),
-    "wiki_stats": (
+    "wiki_stats": _Table(
         R.WIKI_KEY,
         S.struct_of(
             wiki=_STRING,
@@ -60,27 +92,55 @@ _TABLES = {
             human_events=_LONG,
             last_event_at=_LONG,
         ),
+        R.WIKI_COLUMNS,
     ),
 }
 
 
 @dataclass(frozen=True)
 class ReadModel:
-    """Where a read model lives: tables and the checkpoints of its queries under one folder."""
+    """Where a read model lives: tables, commits and checkpoint under one folder."""
 
     root: str
 
     def table(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def snapshot(self, name: str) -> str:
+    def batch(self, name: str, batch_id: int) -> str:
+        return f"{self.root}/{name}/batch_id={batch_id}"
+
+    def snapshots(self, name: str) -> str:
         return f"{self.root}/{name}_snapshot"
 
-    def checkpoint(self, name: str) -> str:
-        return f"{self.root}/_checkpoints/{name}"
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.root}/_checkpoint"
+
+
+def _first_copies(events: DataFrame) -> DataFrame:
+    """Events whose id this micro-batch met for the first time, each as its first copy.
+
+    The current time is one value per micro-batch, kept in the checkpoint for retries. All copies
+    of an id carrying one and the same time means that they all came in the running batch.
+    """
+    rest = [name for name in APPLIED.fieldNames() if name not in ("event_id", *R.ARRIVAL)]
+    timed = events.withColumn("_seen", F.current_timestamp())
+    copies = timed.groupBy("event_id").agg(
+        F.min(F.struct(*R.ARRIVAL, *rest)).alias("_first"),
+        F.min("_seen").alias("_since"),
+        F.max("_seen").alias("_until"),
+    )
+    fresh = copies.where(F.col("_since") == F.col("_until"))
+    return fresh.select("event_id", "_first.*").select(APPLIED.fieldNames())
 
 
-def start_ledger(
+def _first_copies_within(events: DataFrame, within: str) -> DataFrame:
+    timed = events.withColumn("_time", F.timestamp_seconds("occurred_at"))
+    unique = timed.withWatermark("_time", within).dropDuplicatesWithinWatermark(["event_id"])
+    return unique.select(APPLIED.fieldNames())
+
+
+def start_projector(
     spark: SparkSession,
     log_root: str,
     model: ReadModel,
@@ -88,134 +148,131 @@ def start_ledger(
     max_per_trigger: int | None = None,
     within: str | None = None,
 ) -> StreamingQuery:
-    """Validated topic to deduplicated ``applied`` rows; a row that does not decode fails the query.
+    """Validated topic to read model; a row that does not decode fails the query.
 
-    Within one micro-batch Spark may keep any copy of an id; copies only differ if a producer
-    reused an id. ``within`` (such as ``"7 days"``) bounds the state by forgetting ids that much
-    event time later, at the price of counting a copy that comes later still.
+    State grows with the number of ids. ``within`` (such as ``"7 days"``) bounds it by forgetting
+    an id that much event time later, which changes the result: a copy that comes later still
+    counts again, and of copies in one micro-batch any may be kept.
     """
     configure(spark)
     source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger)
     seen = source.observe(
         CONSUMED, F.count(F.lit(1)).alias("rows"), *position_metrics(S.TOPIC_VALIDATED)
     )
-    events = decode_envelope(seen, "partition", "offset").select(_APPLIED.fieldNames())
-    if within is None:
-        unique = events.dropDuplicates(["event_id"])
-    else:
-        timed = events.withColumn("_time", F.timestamp_seconds("occurred_at"))
-        unique = timed.withWatermark("_time", within).dropDuplicatesWithinWatermark(["event_id"])
-        unique = unique.drop("_time")
+    events = decode_envelope(seen, "partition", "offset").select(APPLIED.fieldNames())
+    fresh = _first_copies(events) if within is None else _first_copies_within(events, within)
+
+    def transact(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            batch.write.mode("overwrite").parquet(model.batch("applied", batch_id))
+            for name, table in TABLES.items():
+                table.additions(batch).write.mode("overwrite").parquet(model.batch(name, batch_id))
+            commit = batch.agg(F.count(F.lit(1)).alias("applied"))
+            commit.write.mode("overwrite").parquet(model.batch("commits", batch_id))
+        finally:
+            batch.unpersist()
+
+    writer = fresh.writeStream.outputMode("update" if within is None else "append")
     return (
-        unique.observe(APPLIED, F.count(F.lit(1)).alias("rows"))
-        .writeStream.format("parquet")
-        .option("checkpointLocation", model.checkpoint("ledger"))
+        writer.foreachBatch(transact)
+        .option("checkpointLocation", model.checkpoint)
         .trigger(**(trigger or DRAIN))
-        .start(model.table("applied"))
+        .start()
     )
 
 
-def start_table(
-    spark: SparkSession,
-    model: ReadModel,
-    name: str,
-    trigger: dict | None = None,
-    max_per_trigger: int | None = None,
-) -> StreamingQuery:
-    """Keep ``page_activity`` or ``wiki_stats`` from the applied events."""
-    configure(spark)
-    reader = spark.readStream.schema(_APPLIED)
-    if max_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_per_trigger)
-    applied = reader.parquet(model.table("applied"))
-    rows = R.page_activity(applied) if name == "page_activity" else R.wiki_stats(applied)
-    key, schema = _TABLES[name]
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        changed = batch.select(schema.fieldNames())
-        changed.write.mode("overwrite").parquet(f"{model.table(name)}/batch_id={batch_id}")
-
-    return (
-        rows.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", model.checkpoint(name))
-        .trigger(**(trigger or DRAIN))
-        .start()
-    )
+def _numbers(names: list[str]) -> list[int]:
+    return sorted(int(name.split("=")[1]) for name in names if "=" in name)
 
 
-def _newest(rows: DataFrame, key: list[str], schema: T.StructType) -> DataFrame:
-    values = [name for name in schema.fieldNames() if name not in key]
-    newest = F.max(F.struct("batch_id", *values)).alias("_newest")
-    return rows.groupBy(*key).agg(newest).select(*key, "_newest.*")
+def _last_commit(spark: SparkSession, model: ReadModel) -> int:
+    """Number of the newest committed batch, -1 before the first. A batch commits after all its
+    tables are written, and batches run one after the other."""
+    for number in reversed(_numbers(children(spark, model.table("commits")))):
+        if "_SUCCESS" in children(spark, model.batch("commits", number)):
+            return number
+    return -1
 
 
-def _changelog(spark: SparkSession, model: ReadModel, name: str) -> DataFrame:
-    key, schema = _TABLES[name]
+def _stored(
+    spark: SparkSession, model: ReadModel, name: str, schema: T.StructType, after: int = -1
+) -> DataFrame:
     typed = T.StructType([*schema.fields, T.StructField("batch_id", _LONG)])
-    folds = children(spark, model.snapshot(name))
-    parts = []
-    after = -1
-    if folds:
-        last = folds[-1]
-        after = int(last.split("=")[1])
-        parts.append(spark.read.schema(typed).parquet(f"{model.snapshot(name)}/{last}"))
-    if exists(spark, model.table(name)):
-        log = spark.read.schema(typed).parquet(model.table(name))
-        parts.append(log.where(F.col("batch_id") > after))
-    if not parts:
+    last = _last_commit(spark, model)
+    if last < 0:
         return spark.createDataFrame([], typed)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
+    rows = spark.read.schema(typed).parquet(model.table(name))
+    return rows.where((F.col("batch_id") > after) & (F.col("batch_id") <= last))
 
-def current(spark: SparkSession, model: ReadModel, name: str) -> DataFrame:
-    """The table as of now: the newest row per key."""
-    key, schema = _TABLES[name]
-    return _newest(_changelog(spark, model, name), key, schema).select(schema.fieldNames())
 
+def _additions(spark: SparkSession, model: ReadModel, name: str) -> DataFrame:
+    table = TABLES[name]
+    columns = table.schema.fieldNames()
+    folded = _numbers(children(spark, model.snapshots(name)))
+    if not folded:
+        return _stored(spark, model, name, table.schema).select(columns)
+    snapshot = spark.read.schema(table.schema).parquet(f"{model.snapshots(name)}/upto={folded[-1]}")
+    newer = _stored(spark, model, name, table.schema, after=folded[-1])
+    return snapshot.unionByName(newer.select(columns))
 
-def compact(spark: SparkSession, model: ReadModel, name: str, keep_log: bool = False) -> None:
-    """Fold the changelog into a snapshot, so that readers skip the folded batches.
 
-    Run it while the table's query rests. The snapshot is written to a new folder and renamed
-    when complete; only then are the folded batch folders removed.
-    """
-    key, schema = _TABLES[name]
-    batches = [int(child.split("=")[1]) for child in children(spark, model.table(name)) if "=" in child]
-    if not batches:
-        return
-    upto = max(batches)
-    label = f"upto={upto:020d}"
-    if label in children(spark, model.snapshot(name)):
-        return
-    building = f"{model.root}/_building/{name}"
-    folded = _newest(_changelog(spark, model, name), key, schema)
-    folded.select(*schema.fieldNames(), "batch_id").write.mode("overwrite").parquet(building)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    target = path(f"{model.snapshot(name)}/{label}")
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.mkdirs(target.getParent())
-    system.rename(path(building), target)
-    if not keep_log:
-        for number in batches:
-            remove(spark, f"{model.table(name)}/batch_id={number}")
+def current(spark: SparkSession, model: ReadModel, name: str) -> DataFrame:
+    """``page_activity`` or ``wiki_stats`` as of the last commit."""
+    table = TABLES[name]
+    return table.merged(_additions(spark, model, name)).select(table.report)
 
 
 def ledger(spark: SparkSession, model: ReadModel) -> DataFrame:
     """Processed events: id and event time."""
-    applied = spark.read.schema(_APPLIED).parquet(model.table("applied"))
+    applied = _stored(spark, model, "applied", APPLIED)
     return applied.select("event_id", F.col("occurred_at").alias("processed_at"))
 
 
+def applied_counts(spark: SparkSession, model: ReadModel) -> DataFrame:
+    """Newly applied events per batch."""
+    return _stored(spark, model, "commits", _COMMIT).select("batch_id", "applied")
+
+
+def compact(spark: SparkSession, model: ReadModel, name: str) -> None:
+    """Fold the committed additions of a table into one snapshot, so that readers skip their
+    batches. The snapshot appears by a rename, and only then are the folded folders removed; a
+    crash in between leaves folders that readers already ignore."""
+    table = TABLES[name]
+    last = _last_commit(spark, model)
+    folded = _numbers(children(spark, model.snapshots(name)))
+    if last < 0 or (folded and folded[-1] >= last):
+        return
+    building = f"{model.root}/_building/{name}"
+    merged = table.merged(_additions(spark, model, name)).select(table.schema.fieldNames())
+    merged.write.mode("overwrite").parquet(building)
+    rename(spark, building, f"{model.snapshots(name)}/upto={last}")
+    for number in _numbers(children(spark, model.table(name))):
+        if number <= last:
+            remove(spark, model.batch(name, number))
+
+
 def project(
     spark: SparkSession, log_root: str, model: ReadModel, max_per_trigger: int | None = None
 ) -> StreamingQuery:
-    """Bring the read model up to date with the log and return the finished ledger query."""
-    applying = start_ledger(spark, log_root, model, max_per_trigger=max_per_trigger)
-    drain(applying)
-    save_progress(spark, applying, CONSUMED, log_root, S.GROUP_PROJECTOR, S.TOPIC_VALIDATED)
-    drain(*[start_table(spark, model, name) for name in _TABLES])
-    return applying
+    """Bring the read model up to date with the log and return the finished query."""
+    query = start_projector(spark, log_root, model, max_per_trigger=max_per_trigger)
+    drain(query)
+    save_progress(spark, query, CONSUMED, log_root, S.GROUP_PROJECTOR, S.TOPIC_VALIDATED)
+    return query
+
+
+def run_counts(spark: SparkSession, model: ReadModel, query: StreamingQuery) -> dict[str, int]:
+    """Events a finished query applied and skipped in the batches Spark still reports."""
+    batches, consumed = set(), 0
+    for report in query.recentProgress:
+        seen = report.observedMetrics.get(CONSUMED)
+        if seen:
+            batches.add(report.batchId)
+            consumed += seen["rows"]
+    rows = applied_counts(spark, model).where(F.col("batch_id").isin(sorted(batches)))
+    applied = rows.agg(F.coalesce(F.sum("applied"), F.lit(0))).first()[0]
+    return {"applied": applied, "skipped": consumed - applied}
 
 
 def inspect(spark: SparkSession, model: ReadModel, n: int = 10) -> dict[str, DataFrame]:
@@ -225,7 +282,7 @@ def inspect(spark: SparkSession, model: ReadModel, n: int = 10) -> dict[str, Dat
 
 
 def reset(spark: SparkSession, model: ReadModel, log_root: str | None = None) -> bool:
-    """Delete tables, checkpoints and the group's progress; False when there was nothing."""
+    """Delete tables, checkpoint and the group's progress; False when there was nothing."""
     removed = remove(spark, model.root)
     if log_root is not None:
         forget_progress(spark, log_root, S.GROUP_PROJECTOR)
@@ -241,5 +298,5 @@ def rebuild(spark: SparkSession, log_root: str, model: ReadModel) -> StreamingQu
 def rebuild_batch(spark: SparkSession, log_root: str) -> dict[str, DataFrame]:
     """The same tables computed from the whole log in one batch."""
     validated = log_batch(spark, log_root, S.TOPIC_VALIDATED)
-    events = R.dedupe(decode_envelope(validated, "partition", "offset").select(_APPLIED.fieldNames()))
+    events = R.dedupe(decode_envelope(validated, "partition", "offset").select(APPLIED.fieldNames()))
     return {"page_activity": R.page_activity(events), "wiki_stats": R.wiki_stats(events)}
