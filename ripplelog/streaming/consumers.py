@@ -1,11 +1,16 @@
 """The independent consumers of the log, each with its own checkpoint.
 
+They read the file log under ``log_root`` unless ``source`` gives another stream with the log's
+columns, such as :func:`ripplelog.sources.log.kafka_stream`. ``log_root`` also holds their progress.
+
 Poison policy: the producer skips what it cannot key, the validator dead-letters, the analytics
 table tolerates a few broken messages per block, read model and lake fail.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -57,13 +62,20 @@ def validator(
     checkpoint: str,
     trigger: dict | None = None,
     max_per_trigger: int | None = None,
+    source: DataFrame | None = None,
+    append: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
-    """Route the raw topic to the validated and the dead-letter topic."""
+    """Route the raw topic to the validated and the dead-letter topic of the file log, or to
+    ``append`` (such as ``lambda rows: append_kafka(rows, servers)``)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        routed_segment(batch, log_root, f"{S.GROUP_VALIDATOR}-{batch_id:012d}")
+        if append is not None:
+            append(route(batch))
+        else:
+            routed_segment(batch, log_root, f"{S.GROUP_VALIDATOR}-{batch_id:012d}")
 
-    source = log_stream(spark, log_root, S.TOPIC_RAW, max_per_trigger)
+    if source is None:
+        source = log_stream(spark, log_root, S.TOPIC_RAW, max_per_trigger)
     return consume(source, handle, checkpoint, trigger, S.GROUP_VALIDATOR, log_root)
 
 
@@ -75,13 +87,15 @@ def archiver(
     trigger: dict | None = None,
     rows: int = S.BACKUP_MAX_ROWS,
     max_per_trigger: int | None = None,
+    source: DataFrame | None = None,
 ) -> StreamingQuery:
     """Back up the validated topic verbatim."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         write_backup(batch, backup_root, rows)
 
-    source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger)
+    if source is None:
+        source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger)
     return consume(source, handle, checkpoint, trigger, S.GROUP_BACKUP, log_root)
 
 
@@ -93,13 +107,15 @@ def laker(
     trigger: dict | None = None,
     rows: int = S.LAKE_MAX_ROWS,
     max_per_trigger: int | None = None,
+    source: DataFrame | None = None,
 ) -> StreamingQuery:
     """Write the validated topic to the Parquet lake."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         write_lake(decode_envelope(batch, *POSITION_COLUMNS), lake_root, rows)
 
-    source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger)
+    if source is None:
+        source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger)
     return consume(source, handle, checkpoint, trigger, S.GROUP_LAKE, log_root)
 
 
@@ -113,6 +129,7 @@ def ingest_events(
     ingested_at: Column | None = None,
     topic: str = S.TOPIC_VALIDATED,
     max_per_trigger: int | None = None,
+    source: DataFrame | None = None,
 ) -> StreamingQuery:
     """Append every validated row to the analytics table, with ingest time."""
 
@@ -122,5 +139,6 @@ def ingest_events(
                 olap_rows(rows, "partition", "offset", ingested_at=ingested_at), table, batch_id
             )
 
-    source = log_stream(spark, log_root, topic, max_per_trigger)
+    if source is None:
+        source = log_stream(spark, log_root, topic, max_per_trigger)
     return consume(source, handle, checkpoint, trigger, S.GROUP_OLAP, log_root)

@@ -147,15 +147,18 @@ def start_projector(
     trigger: dict | None = None,
     max_per_trigger: int | None = None,
     within: str | None = None,
+    source: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Validated topic to read model; a row that does not decode fails the query.
+    """Validated topic (of the file log, or ``source``) to read model; a row that does not decode
+    fails the query.
 
     State grows with the number of ids. ``within`` (such as ``"7 days"``) bounds it by forgetting
     an id that much event time later, which changes the result: a copy that comes later still
     counts again, and of copies in one micro-batch any may be kept.
     """
     configure(spark)
-    source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger)
+    if source is None:
+        source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger)
     seen = source.observe(
         CONSUMED, F.count(F.lit(1)).alias("rows"), *position_metrics(S.TOPIC_VALIDATED)
     )

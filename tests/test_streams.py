@@ -117,6 +117,23 @@ def test_validator_routes_and_resumes(spark, tmp_path):
     assert G.group_lag(spark, root, S.GROUP_VALIDATOR, S.TOPIC_RAW).agg(F.sum("lag")).collect()[0][0] == 0
 
 
+def test_other_sources_and_sinks(spark, tmp_path):
+    root = str(tmp_path / "log")
+    raw_topic(spark, root, [payload(), "junk"])
+    out = []
+    source = log_stream(spark, root, S.TOPIC_RAW)
+    drain(
+        C.validator(
+            spark,
+            str(tmp_path / "progress"),
+            str(tmp_path / "cp"),
+            source=source,
+            append=lambda rows: out.extend(r.topic for r in rows.collect()),
+        )
+    )
+    assert sorted(out) == sorted([S.TOPIC_VALIDATED, S.TOPIC_DEAD_LETTER])
+
+
 def test_independent_consumers(spark, tmp_path):
     root = str(tmp_path / "log")
     append(spark, root, "a", [edit(f"e{n}", f"T{n}", at=86_400 * (n % 3) + 1) for n in range(30)])
