@@ -64,9 +64,12 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.events_of(X.raw_log(spark, sf_dir))
 
 
-def _unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    slim = ["event_id", "wiki", "title", "user", "bot", "occurred_at", *R.ARRIVAL]
-    return R.dedupe(_events(spark, sf_dir).select(slim))
+_PAGE_INPUT = ["wiki", "title", "user", "bot", "occurred_at"]
+
+
+def _unique(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """Deduplicated events with just these columns: what dedupe shuffles is not pruned later."""
+    return R.dedupe(_events(spark, sf_dir).select("event_id", *columns, *R.ARRIVAL))
 
 
 # Decode, validate, route
@@ -74,7 +77,7 @@ def _unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def top_pages(spark, sf_dir):
-    return R.top_pages(R.page_activity(_unique(spark, sf_dir)))
+    return R.top_pages(R.page_activity(_unique(spark, sf_dir, _PAGE_INPUT)))
 
 
 @_query
@@ -132,12 +135,12 @@ def route_counts(spark, sf_dir):
 
 @_query
 def wiki_stats(spark, sf_dir):
-    return R.wiki_stats_ranked(R.wiki_stats(_unique(spark, sf_dir)))
+    return R.wiki_stats_ranked(R.wiki_stats(_unique(spark, sf_dir, ["wiki", "bot", "occurred_at"])))
 
 
 @_query
 def read_model_counts(spark, sf_dir):
-    return R.counts_of_events(_unique(spark, sf_dir))
+    return R.counts_of_events(_unique(spark, sf_dir, ["wiki", "title"]))
 
 
 @_query
@@ -147,12 +150,12 @@ def processed_events(spark, sf_dir):
 
 @_query
 def page_activity(spark, sf_dir):
-    return R.page_activity(_unique(spark, sf_dir))
+    return R.page_activity(_unique(spark, sf_dir, _PAGE_INPUT))
 
 
 @_query
 def page_lookup(spark, sf_dir):
-    return R.get_page(R.page_activity(_unique(spark, sf_dir)), "enwiki", "Page 0")
+    return R.get_page(R.page_activity(_unique(spark, sf_dir, _PAGE_INPUT)), "enwiki", "Page 0")
 
 
 @_query
@@ -199,7 +202,7 @@ def latest_events(spark, sf_dir):
 
 
 @_query
-def events_table_by_hour(spark, sf_dir):
+def events_table_since(spark, sf_dir):
     """Sorted table written and read back; the time predicate reaches the Parquet row groups."""
     table = workspace(spark, "events-table")
     write_events_ordered(_olap(spark, sf_dir), table)

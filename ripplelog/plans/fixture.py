@@ -57,9 +57,9 @@ PAYLOAD = """CASE WHEN defect = 7 THEN substr(document, 1, length(document) - 10
 
 
 def _spread(events: DataFrame) -> DataFrame:
-    """Give every core a share of a table with fewer files than cores; a large one stays as it is."""
+    """Give every core a share of a table with fewer splits than cores; a large one stays as it is."""
     cores = events.sparkSession.sparkContext.defaultParallelism
-    return events.repartition(cores) if len(events.inputFiles()) < cores else events
+    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,7 +104,7 @@ def _bodies() -> dict[str, str]:
           ORDER BY c DESC, wiki LIMIT 5""",
         "latest_events": f"""SELECT {_TIME} AS occurred_at, wiki, event_type, "user", title
           FROM envelopes ORDER BY {_TIME} DESC, partition DESC, "offset" DESC LIMIT 10""",
-        "events_table_by_hour": f"""SELECT wiki, event_type, count(*) AS c, max({_TIME}) AS last_at
+        "events_table_since": f"""SELECT wiki, event_type, count(*) AS c, max({_TIME}) AS last_at
           FROM envelopes WHERE {_TIME} >= TIMESTAMP '2024-01-15 00:00:00'
           GROUP BY wiki, event_type""",
         "partition_assignment": """SELECT page, count(*) AS "rows", partition FROM raw_log

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Topic names, partition counts and consumer group names.
+# Topic names and partition counts; then the names of the consumer groups.
 TOPIC_RAW = "wikimedia.recentchange.raw"
 TOPIC_VALIDATED = "wikimedia.recentchange.validated"
 TOPIC_DEAD_LETTER = "wikimedia.dead_letter"
@@ -14,7 +14,7 @@ GROUP_VALIDATOR = "validator"
 GROUP_PROJECTOR = "projector"
 GROUP_BACKUP = "archiver-raw"
 GROUP_LAKE = "lake-parquet"
-GROUP_OLAP = "clickhouse"
+GROUP_OLAP = "olap"
 
 # Flush limits of the two object sinks (rows, seconds).
 BACKUP_MAX_ROWS, BACKUP_SECONDS = 5_000, 10

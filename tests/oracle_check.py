@@ -34,6 +34,17 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
     return sorted((tuple(_cell(row[i]) for i in order) for row in rows), key=repr)
 
 
+# Spark type and the type DuckDB must report for it.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(spark, con, name: str, sf_dir: str) -> str | None:
     """None when both sides agree, else what differs."""
     df = entry.queries()[name](spark, sf_dir)
@@ -45,6 +56,10 @@ def compare(spark, con, name: str, sf_dir: str) -> str | None:
     columns = [column[0] for column in cursor.description]
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    kinds = {column[0]: str(column[1]) for column in cursor.description}
+    wrong = {n: (kind, kinds[n]) for n, kind in df.dtypes if TYPES.get(kind) != kinds[n]}
+    if wrong:
+        return f"types {wrong}"
     want = rows_of(columns, cursor.fetchall())
     if got == want:
         return None

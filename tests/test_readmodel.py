@@ -100,3 +100,10 @@ def test_new_events(spark):
     )
     fresh = R.new_events(batch, R.processed_events(ledger)).collect()
     assert [(r.event_id, r.user) for r in fresh] == [("b", "y")]
+
+
+def test_hot_keys_are_combined_before_the_shuffle(spark):
+    events = envelope_rows(spark, [("a", "w", "t", "u", False, 1)])
+    for result in (R.dedupe(events), R.page_activity(events), R.wiki_stats(events)):
+        plan = result._jdf.queryExecution().sparkPlan().toString()
+        assert "partial_" in plan and "Window" not in plan
