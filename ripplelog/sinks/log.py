@@ -31,13 +31,24 @@ def append_log(
     segment: str,
     order_by: list[str],
     chunk_by: list[str] | None = None,
+    cache: bool = False,
 ) -> None:
     """Append ``key``, ``value``, ``topic`` rows to the file log as one named segment.
 
     Offsets continue where other segments end and follow ``order_by`` (see
     :func:`assign_offsets`). Appending the same segment again replaces it with the same offsets,
     so a retried micro-batch does not duplicate. One writer per topic at a time.
+
+    Numbering reads the messages twice. ``cache`` keeps them in between, for messages that are
+    costly to make; a lost executor only means that its share is made again.
     """
+    if cache:
+        messages = messages.persist()
+        try:
+            append_log(messages, root, segment, order_by, chunk_by)
+        finally:
+            messages.unpersist()
+        return
     spark = messages.sparkSession
     taken = segment_ranges(spark, root)
     if taken is not None:

@@ -34,26 +34,21 @@ def produce(spark: SparkSession, capture: str, log_root: str, segment: str, **ho
     """Append the keyable events of a capture to the raw topic in capture order; ``how`` are
     options of :func:`sse_capture`."""
     payloads = sse_capture(spark, capture, position=True, **how)
-    append_log(produced(payloads, "payload", *POSITION), log_root, segment, POSITION, BLOCK)
+    messages = produced(payloads, "payload", *POSITION)
+    append_log(messages, log_root, segment, POSITION, BLOCK, cache=True)
 
 
 def routed_segment(raw: DataFrame, log_root: str, segment: str) -> None:
-    """Append the routed messages of some raw log rows as one segment.
-
-    Routed rows are cached: numbering reads them twice, and decoding is the costly part. A lost
-    executor only means that its share is decoded again.
-    """
-    routed = route(raw).withColumn("source_chunk", chunk_of(F.col("source_offset"))).persist()
-    try:
-        append_log(
-            routed,
-            log_root,
-            segment,
-            ["source_partition", "source_offset"],
-            ["source_partition", "source_chunk"],
-        )
-    finally:
-        routed.unpersist()
+    """Append the routed messages of some raw log rows as one segment."""
+    routed = route(raw).withColumn("source_chunk", chunk_of(F.col("source_offset")))
+    append_log(
+        routed,
+        log_root,
+        segment,
+        ["source_partition", "source_offset"],
+        ["source_partition", "source_chunk"],
+        cache=True,
+    )
 
 
 def validator(
