@@ -40,6 +40,7 @@ TYPES = {
     "int": "INTEGER",
     "string": "VARCHAR",
     "boolean": "BOOLEAN",
+    "double": "DOUBLE",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
