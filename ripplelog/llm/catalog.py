@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplelog.llm import decontam, mixing, records, secret_scan
+from ripplelog.llm import decontam, mixing, neardup, records, secret_scan
 from ripplelog.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,10 +137,45 @@ def op7_token_records(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.withColumnRenamed("id", "doc_id")
 
 
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    groups = neardup.near_duplicates(table(spark, folder, "documents"))
+    return groups.withColumnRenamed("id", "doc_id")
+
+
+OP8_SQL = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), places AS (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 5, 0) + 2)) AS p FROM split WHERE len(words) > 0
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p:p + 4], ' ') AS gram FROM places
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM grams x JOIN grams y USING (gram)
+  WHERE x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs p JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * p.n >= 75 * (x.n + y.n - p.n)
+), ends AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a AS doc_id, a AS other FROM ends UNION SELECT doc_id, b FROM reach JOIN ends ON a = other
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least_id, doc_id) AS component_id,
+       doc_id = coalesce(least_id, doc_id) AS kept
+FROM split LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing": op2_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_token_records": op7_token_records,
+    "op8_near_duplicates": op8_near_duplicates,
 }
-ORACLE_SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op6_decontamination": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op6_decontamination": OP6_SQL, "op8_near_duplicates": OP8_SQL}
