@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplelog.llm import decontam, mixing, neardup, records, secret_scan
+from ripplelog.llm import decontam, fingerprints, mixing, neardup, records, secret_scan
 from ripplelog.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,19 @@ FROM shares
 """
 
 
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fingerprints.compare_edits(table(spark, folder, "documents"))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.find_test_text(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -174,6 +187,7 @@ LEFT JOIN (SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id) USI
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing": op2_mixing,
+    "op3_fingerprints": op3_fingerprints,
     "op6_decontamination": op6_decontamination,
     "op7_token_records": op7_token_records,
     "op8_near_duplicates": op8_near_duplicates,
