@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplelog.llm import decontam, fingerprints, mixing, neardup, records, secret_scan
+from ripplelog.llm import decontam, fingerprints, mixing, neardup, pii, records, secret_scan
 from ripplelog.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +184,17 @@ LEFT JOIN (SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id) USI
 """
 
 
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_identifiers(table(spark, folder, "documents"))
+    of = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[of(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+        joined(F.concat("base", "learnt")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing": op2_mixing,
@@ -191,5 +202,6 @@ QUERIES: dict[str, Query] = {
     "op6_decontamination": op6_decontamination,
     "op7_token_records": op7_token_records,
     "op8_near_duplicates": op8_near_duplicates,
+    "op10_personal_data": op10_personal_data,
 }
 ORACLE_SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op6_decontamination": OP6_SQL, "op8_near_duplicates": OP8_SQL}
