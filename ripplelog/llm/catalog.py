@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplelog.llm import decontam, fingerprints, mixing, neardup, pii, records, secret_scan
+from ripplelog.llm import decontam, fingerprints, mixing, neardup, pii, records, secret_scan, toxicity
 from ripplelog.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,16 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.toxic_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"),
+        toxicity.held_out("row.doc_id").alias("held_out"),
+        "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.find_test_text(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -199,6 +209,7 @@ QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing": op2_mixing,
     "op3_fingerprints": op3_fingerprints,
+    "op4_toxicity": op4_toxicity,
     "op6_decontamination": op6_decontamination,
     "op7_token_records": op7_token_records,
     "op8_near_duplicates": op8_near_duplicates,

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ripplelog.llm.frames import batches_of, text_bytes
+from ripplelog.llm.frames import batches_of, share, text_bytes
 
 WINDOW = 10
 #: Characters of test items that are searched at once.
@@ -138,10 +138,10 @@ class TestSet:
 def _scan(df: DataFrame, block: list[tuple[str, bytes]], window: int) -> DataFrame:
     """Adds what of the block occurs in ``text``; drops the text."""
     carried = [f for f in df.schema.fields if f.name != "text"]
-    shared = df.sparkSession.sparkContext.broadcast(TestSet(block, window))
+    shared = share(df.sparkSession, TestSet(block, window))
 
     def scan(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tests = shared.value
+        tests = shared()
         for batch in batches_of(rows, SHARD_BYTES):
             found = tests.search(text_bytes(batch.column(batch.schema.get_field_index("text"))))
             kept = [batch.column(batch.schema.get_field_index(f.name)) for f in carried]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +42,13 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def share(spark: SparkSession, value) -> Callable[[], object]:
+    """Broadcast a value of bounded size; the result gives it inside tasks.
+
+    It is pickled with its class, which executors need not have.
+    """
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(data.value)
 
 
 def count_words(text: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 
@@ -28,9 +30,9 @@ def constants(n: int, seed: int) -> np.ndarray:
 class Hasher:
     """Hashes of the lower-cased (A-Z) words of texts; the same text has the same hashes anywhere."""
 
-    def __init__(self):
+    def __init__(self, separators: Iterable[int] = SPACES):
         self.separates = np.zeros(256, bool)
-        self.separates[list(SPACES)] = True
+        self.separates[list(separators)] = True
         self.letters = constants(256, 1)
         self.letters[65:91] = self.letters[97:123]
         self._grow(_STEP + 1)
@@ -44,13 +46,19 @@ class Hasher:
 
     def words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(hash of each word, offsets of the texts in it: one more than texts)."""
+        data, begin, end, offsets = self.spans(column)
+        return self.hashes(data, begin, end), offsets
+
+    def spans(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes of all texts, where each word begins and ends in them, offsets of the texts)."""
         binary = column.cast(pa.large_binary()).fill_null(b"")
         bounds = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
         data = binary.buffers()[2]
         data = np.zeros(0, np.uint8) if data is None else np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]
         bounds = bounds - bounds[0]
         if not len(data):
-            return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
+            none = np.zeros(0, np.int64)
+            return data, none, none, np.zeros(len(bounds), np.int64)
         inside = ~self.separates[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[bounds] = True
@@ -59,9 +67,9 @@ class Hasher:
         end = inside.copy()
         end[:-1] &= ~inside[1:] | edge[1:-1]
         begin, end = np.flatnonzero(begin), np.flatnonzero(end) + 1
-        return self._hashes(data, begin, end), np.searchsorted(begin, bounds)
+        return data, begin, end, np.searchsorted(begin, bounds)
 
-    def _hashes(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def hashes(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         out, i = np.empty(len(begin), np.uint64), 0
         while i < len(begin):
             j = max(i + 1, int(np.searchsorted(end, begin[i] + _STEP, "right")))
