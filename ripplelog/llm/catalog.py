@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplelog.llm import decontam, fingerprints, mixing, neardup, pii, records, secret_scan, toxicity
+from ripplelog.llm import decontam, fingerprints, mixing, neardup, pii, records, repeats, secret_scan, toxicity
 from ripplelog.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,6 +194,41 @@ LEFT JOIN (SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id) USI
 """
 
 
+def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.repeated_passages(table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("start").alias("start_word"),
+        F.col("end").alias("end_word"),
+        F.col("other").alias("other_doc_id"),
+    )
+
+
+OP9_SQL = """
+WITH split AS (
+  SELECT DISTINCT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
+), places AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 50 + 2)) AS p FROM split WHERE len(words) >= 50
+), passages AS (
+  SELECT DISTINCT doc_id, p - 1 AS start, md5(array_to_string(words[p:p + 49], ' ')) AS passage FROM places
+), ends AS (
+  SELECT passage, min(doc_id) AS low, max(doc_id) AS high FROM passages GROUP BY passage
+), shared AS (
+  SELECT doc_id, start, min(CASE WHEN doc_id = low THEN high ELSE low END) AS other
+  FROM passages JOIN ends USING (passage) WHERE low < high GROUP BY doc_id, start
+), marked AS (
+  SELECT *, CASE WHEN start > lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 50 THEN 1 ELSE 0 END AS new
+  FROM shared
+), numbered AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY start ROWS UNBOUNDED PRECEDING) AS stretch FROM marked
+)
+SELECT doc_id, min(start)::BIGINT AS start_word, (max(start) + 50)::BIGINT AS end_word, min(other) AS other_doc_id
+FROM numbered GROUP BY doc_id, stretch
+"""
+
+
 def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find_identifiers(table(spark, folder, "documents"))
     of = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("bigint")
@@ -213,6 +248,12 @@ QUERIES: dict[str, Query] = {
     "op6_decontamination": op6_decontamination,
     "op7_token_records": op7_token_records,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_repeats": op9_repeats,
     "op10_personal_data": op10_personal_data,
 }
-ORACLE_SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op6_decontamination": OP6_SQL, "op8_near_duplicates": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op2_mixing": OP2_SQL,
+    "op6_decontamination": OP6_SQL,
+    "op8_near_duplicates": OP8_SQL,
+    "op9_repeats": OP9_SQL,
+}

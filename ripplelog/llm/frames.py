@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +52,32 @@ def share(spark: SparkSession, value) -> Callable[[], object]:
     return lambda: pickle.loads(data.value)
 
 
+#: Bits of a map of hashed ids.
+MAP_BITS = 1 << 23
+
+
+def map_bit(id_col: str) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(MAP_BITS))
+
+
+def id_map(ids: DataFrame, id_col: str) -> np.ndarray:
+    """A bit map of fixed size that holds the ids, hashed; it spares work and never decides."""
+    words = ids.select(
+        F.floor(map_bit(id_col) / 64).cast("int").alias("word"), (map_bit(id_col) % 64).cast("int").alias("bit")
+    )
+    words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    out = np.zeros(MAP_BITS // 64, np.int64)
+    got = words.toArrow()  # at most MAP_BITS / 64 rows
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def in_map(bits: np.ndarray, column: pa.Array) -> pa.Array:
+    """Which values of ``map_bit`` may belong to an id of the map."""
+    bit = column.to_numpy().astype(np.uint64)
+    return pa.array(((bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool))
+
+
 def count_words(text: Column) -> Column:
     """Number of runs without ASCII white space; null counts as empty."""
     runs = F.regexp_replace(F.coalesce(text, F.lit("")), f"[^{SPACE}]+", "x")

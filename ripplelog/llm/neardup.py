@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripplelog.llm.components import components
-from ripplelog.llm.frames import batches_of, cut, drop_cut
+from ripplelog.llm.frames import batches_of, cut, drop_cut, id_map, in_map, map_bit, share
 from ripplelog.llm.words import Hasher, constants, mixed, shingles
 
 SHINGLE = 5
@@ -27,8 +27,6 @@ MISS = 1e-5
 TILE = 2048
 #: Documents that every member of their buckets is compared with first.
 PIVOTS = 3
-#: Bits of the map that says which documents' texts are needed.
-MAP_BITS = 1 << 23
 
 
 def least_matches(threshold: float, miss: float, hashes: int = HASHES, batch: int = BATCH) -> list[int]:
@@ -165,28 +163,15 @@ def _tiles(rows: DataFrame, stay: list[int]) -> DataFrame:
     )
 
 
-def _needed(ids: DataFrame) -> np.ndarray:
-    """A bit map of fixed size with the hashed ids; it spares work and never decides."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS))
-    words = ids.select(F.floor(bit / 64).cast("int").alias("word"), (bit % 64).cast("int").alias("bit"))
-    words = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    out = np.zeros(MAP_BITS // 64, np.int64)
-    got = words.toArrow()  # at most MAP_BITS / 64 rows
-    out[got.column("word").to_numpy()] = got.column("bits").to_numpy()
-    return out.view(np.uint64)
-
-
 def _verify(df: DataFrame, pairs: DataFrame, threshold: tuple[int, int]) -> DataFrame:
     """Pairs (a, b) whose full shingle sets reach the threshold; df has rows (id, text)."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-    shared = df.sparkSession.sparkContext.broadcast(_needed(ids))
+    shared = share(df.sparkSession, id_map(ids, "id"))  # of fixed size
 
     def sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, wanted = Hasher(), shared.value
+        hasher, wanted = Hasher(), shared()
         for batch in batches_of(rows, 4 << 20):
-            bit = batch.column(2).to_numpy().astype(np.uint64)
-            hit = (wanted[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)
-            batch = batch.filter(pa.array(hit.astype(bool)))
+            batch = batch.filter(in_map(wanted, batch.column(2)))
             grams, bounds = shingles(*hasher.words(batch.column(1)), SHINGLE)
             data = [grams[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]  # noqa: B905
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["id", "grams"])
@@ -200,8 +185,7 @@ def _verify(df: DataFrame, pairs: DataFrame, threshold: tuple[int, int]) -> Data
                 linked.append(threshold[1] * both >= threshold[0] * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    bit = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS))
-    grams = df.select("id", "text", bit.alias("bit")).mapInArrow(sets, "id bigint, grams binary")
+    grams = df.select("id", "text", map_bit("id").alias("bit")).mapInArrow(sets, "id bigint, grams binary")
     # Versions of one id are one document: any of them may make the link.
     of = lambda name, data: grams.select(F.col("id").alias(name), F.col("grams").alias(data))
     both = pairs.select("a", "b").join(of("a", "ga"), "a").join(of("b", "gb"), "b")
