@@ -257,3 +257,12 @@ ORACLE_SQL: dict[str, str] = {
     "op8_near_duplicates": OP8_SQL,
     "op9_repeats": OP9_SQL,
 }
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline  # it uses this module
+
+    return corpus_pipeline.run(spark, folder)
+
+
+QUERIES["pipeline"] = pipeline
