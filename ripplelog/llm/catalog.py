@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplelog.llm import decontam, fingerprints, mixing, neardup, pii, records, repeats, secret_scan, toxicity
-from ripplelog.llm.frames import table
+from ripplelog.llm import chat, decontam, fingerprints, mixing, neardup, pii, records, repeats, secret_scan, toxicity
+from ripplelog.llm.frames import count_words, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,6 +108,81 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: What the tools of the derived calls take.
+TOOLS = {
+    "answer": {
+        "prompt": {"type": "string", "required": True, "minLength": 1},
+        "turn": {"type": "integer", "required": True, "minimum": 0},
+        "words": {"type": "integer", "required": True, "maximum": 60},
+    },
+    "greet": {"prompt": {"type": "string", "required": True, "maxLength": 40}},
+}
+
+
+def tool_messages(turns: DataFrame) -> DataFrame:
+    """Messages derived from conversations, which hold no tool calls of their own.
+
+    A user's turn calls a tool, ``greet`` for up to three words and else ``answer``, after the user's
+    turn before; an assistant's turn is the result of the call one turn earlier.
+    """
+    turn, words = F.col("turn"), count_words(F.col("text"))
+    call, result = F.col("role") == "user", F.col("role") == "assistant"
+    name = lambda back: F.concat_ws("-", F.col("conv_id").cast("string"), (turn - back).cast("string"))
+    arguments = F.to_json(F.struct(words.alias("words"), turn.alias("turn"), F.col("text").alias("prompt")))
+    return turns.select(
+        F.col("conv_id").alias("conv"),
+        turn.alias("turn"),
+        F.when(call, "call").when(result, "result").otherwise(F.col("role")).alias("role"),
+        F.when(call, name(0)).when(result, name(1)).alias("call_id"),
+        F.when(call, F.when(words <= 3, "greet").otherwise("answer")).alias("tool"),
+        F.when(call, arguments).alias("arguments"),
+        F.when(call & (turn >= 2), name(2)).alias("after"),
+        F.when(~F.coalesce(call, F.lit(False)), F.col("text")).alias("content"),
+    )
+
+
+def op5_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    linked = chat.link_tool_calls(tool_messages(table(spark, folder, "conversations")), TOOLS)
+    return linked.withColumnRenamed("conv", "conv_id").withColumn("errors", F.concat_ws("; ", "errors"))
+
+
+OP5_SQL = """
+WITH RECURSIVE turns AS (
+  SELECT *, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS words FROM conversations
+), calls AS (
+  SELECT conv_id, turn, conv_id || '-' || turn AS call_id, text, words,
+         CASE WHEN words <= 3 THEN 'greet' ELSE 'answer' END AS tool
+  FROM turns WHERE role = 'user'
+), results AS (
+  SELECT conv_id, turn, conv_id || '-' || (turn - 1) AS call_id, text FROM turns WHERE role = 'assistant'
+), chain AS (
+  SELECT c.conv_id, c.turn, 0::BIGINT AS level FROM calls c
+  WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+  UNION ALL
+  SELECT c.conv_id, c.turn, level + 1 FROM chain JOIN calls c ON c.conv_id = chain.conv_id AND c.turn = chain.turn + 2
+)
+SELECT c.conv_id, c.turn, level, c.call_id, CASE WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+       1::BIGINT AS copies,
+       concat_ws('; ',
+         CASE WHEN tool = 'answer' AND words > 60 THEN 'words: maximum' END,
+         CASE WHEN tool = 'greet' AND length(c.text) > 40 THEN 'prompt: maxLength' END,
+         CASE WHEN tool = 'greet' THEN 'turn: unknown; words: unknown' END,
+         CASE WHEN c.turn >= 2 AND level = 0 THEN 'after: unknown' END) AS errors,
+       CASE WHEN r.call_id IS NULL
+         THEN json_object('arguments', json_object('prompt', c.text, 'turn', c.turn, 'words', words), 'call_id', c.call_id,
+                          'role', 'call', 'tool', tool)
+         ELSE json_object('arguments', json_object('prompt', c.text, 'turn', c.turn, 'words', words), 'call_id', c.call_id,
+                          'result', r.text, 'role', 'call', 'tool', tool) END::VARCHAR AS json
+FROM calls c JOIN chain USING (conv_id, turn) LEFT JOIN results r ON r.conv_id = c.conv_id AND r.call_id = c.call_id
+UNION ALL
+SELECT conv_id, turn, 0, call_id, 'orphan', 1, '', json_object('call_id', call_id, 'content', text, 'role', 'result')::VARCHAR
+FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)
+UNION ALL
+SELECT conv_id, turn, 0, NULL, 'message', 1, '', json_object('content', text, 'role', role)::VARCHAR
+FROM turns WHERE role NOT IN ('user', 'assistant')
+"""
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.find_test_text(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
@@ -245,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op3_fingerprints": op3_fingerprints,
     "op4_toxicity": op4_toxicity,
+    "op5_tool_calls": op5_tool_calls,
     "op6_decontamination": op6_decontamination,
     "op7_token_records": op7_token_records,
     "op8_near_duplicates": op8_near_duplicates,
@@ -253,6 +329,7 @@ QUERIES: dict[str, Query] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_mixing": OP2_SQL,
+    "op5_tool_calls": OP5_SQL,
     "op6_decontamination": OP6_SQL,
     "op8_near_duplicates": OP8_SQL,
     "op9_repeats": OP9_SQL,
