@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pickle
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -52,6 +54,14 @@ def share(spark: SparkSession, value) -> Callable[[], object]:
     return lambda: pickle.loads(data.value)
 
 
+def kept(name: str, make: Callable[[], object]) -> object:
+    """A value that lives as long as the Python worker and so serves all its tasks."""
+    store = sys.modules.setdefault("_ripplelog_kept", types.ModuleType("_ripplelog_kept")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 #: Bits of a map of hashed ids.
 MAP_BITS = 1 << 23
 

@@ -1,0 +1,72 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from ripplelog.llm import decontam as D
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute(text, items, window):
+    doc, hit, found = words(text), set(), set()
+    for name, item in items:
+        item = words(item)
+        for j in range(max(1, len(item) - window + 1) if item else 0):
+            part = item[j : j + window]
+            for p in range(len(doc) - len(part) + 1):
+                if doc[p : p + len(part)] == part:
+                    hit |= set(range(p, p + len(part)))
+                    found.add(name)
+    return len(doc), len(hit), sorted(found)
+
+
+def cases():
+    rng = random.Random(8)
+    some = lambda n: " ".join(rng.choice(["a", "B", "c9", "É", "é", "x"]) for _ in range(n))
+    items = [(str(i), some(rng.randint(0, 9))) for i in range(25)] + [("0", some(12)), ("t", "B a, B a"), ("u", "b a b a")]
+    texts = [some(rng.randint(0, 80)).replace(" ", rng.choice([" ", ", ", "\n", "_"])) for _ in range(60)] + [None, ""]
+    return items, texts
+
+
+def test_equals_brute_force_in_one_block_and_in_many(spark, docs):
+    items, texts = cases()
+    tests = spark.createDataFrame(items, "item_id string, text string")
+    for block in (1 << 20, 40):
+        got = {r.id: r for r in D.find_test_text(docs(texts), tests, window=4, block_chars=block).collect()}
+        assert len(got) == len(texts)
+        for i, text in enumerate(texts):
+            r = got[i]
+            assert (r.n_words, r.n_hit, r.items) == brute(text, items, 4), (block, text)
+            assert r.contaminated == bool(r.items)
+
+
+def test_longest_matches_and_places(spark, docs):
+    tests = spark.createDataFrame([(7, "q w e r t y u")], "item_id long, text string")
+    found = D.find_test_text(docs(["zz W E R T Y zz q w e"]), tests, window=3).first().matches
+    assert sorted(map(tuple, found)) == [("7", 0, 7, 3), ("7", 1, 1, 5)]
+
+
+def test_removal_keeps_clean_rows_and_columns(spark, docs):
+    items, texts = cases()
+    df, tests = docs(texts), spark.createDataFrame(items, "item_id string, text string")
+    kept = D.remove_test_text(df, tests, window=4)
+    assert kept.columns == df.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, t in enumerate(texts) if not brute(t, items, 4)[2]}
+
+
+def test_odd_rows(spark, odd):
+    tests = spark.createDataFrame([(1, "one two"), (None, "word word"), (3, None), (4, "")], "item_id long, text string")
+    for block in (1 << 20, 5):
+        got = D.find_test_text(odd, tests, block_chars=block).collect()
+        assert len(got) == odd.count()
+        assert sorted((r.id is None, r.items) for r in got if r.contaminated) == [
+            (False, [""]), (False, ["1"]), (False, ["1"]), (True, ["1"])
+        ]
+    assert not D.find_test_text(odd, tests.limit(0)).where(F.col("contaminated")).count()
+    assert D.find_test_text(odd.limit(0), tests).collect() == []
+    assert D.remove_test_text(odd, tests).columns == odd.columns

@@ -1,0 +1,109 @@
+import random
+import re
+
+from ripplelog.llm import neardup as N
+from ripplelog.llm.components import components
+
+
+def shingle_set(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(texts):
+    sets = [shingle_set(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a and sets[j] and 100 * both >= 75 * (len(a) + len(sets[j]) - both):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    return [(len(s), find(i)) for i, s in enumerate(sets)]
+
+
+def edited(text, rng, n):
+    words = text.split()
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def corpus(prose):
+    """Families whose members' likeness lies on both sides of the threshold, copies and short texts."""
+    rng = random.Random(1)
+    texts = []
+    for family in range(6):
+        base = prose(family, 120)
+        texts += [edited(base, rng, rng.randrange(9)) for _ in range(14)]
+    base = prose(99, 60)
+    texts += [edited(base, rng, 3) for _ in range(60)] + [base] * 20
+    texts += [prose(200 + i, 40) for i in range(30)] + ["a b", "A  b", "c", "a b c d e", "", None]
+    rng.shuffle(texts)
+    return texts
+
+
+def test_components_equal_brute_force(docs, prose, monkeypatch):
+    texts = corpus(prose)
+    want = brute(texts)
+    for tile in (2048, 3):  # small tiles cut every bucket
+        monkeypatch.setattr(N, "TILE", tile)
+        got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in N.near_duplicates(docs(texts)).collect()}
+        assert got == {i: (n, c, i == c) for i, (n, c) in enumerate(want)}
+
+
+def test_one_of_each_group_stays(docs, prose):
+    texts = corpus(prose)
+    df = docs(texts)
+    kept = N.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, c in brute(texts)})
+
+
+def test_pruning_bounds_follow_the_posterior():
+    stay = N.least_matches(0.75, 1e-5)
+    assert len(stay) == N.HASHES // N.BATCH and stay == sorted(stay)
+    strict = N.least_matches(0.75, 0.5)
+    assert all(a < b for a, b in zip(stay, strict))
+    assert abs(strict[-1] / N.HASHES - 0.75) < 0.02  # even odds lie at the threshold
+
+
+def test_components_of_chains_stars_and_rings(spark):
+    rng = random.Random(4)
+    links = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 180)] + [(200, 201), (201, 202), (202, 200), (7, 7)]
+    links += [(rng.randrange(300, 400), rng.randrange(300, 400)) for _ in range(70)]
+    rng.shuffle(links)
+    root = {}
+    for a, b in links:
+        x, y = root.setdefault(a, {a}), root.setdefault(b, {b})
+        if x is not y:
+            x |= y
+            for n in y:
+                root[n] = x
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {n: min(s) for n, s in root.items() if len(s) > 1}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_odd_rows(odd):
+    got = N.near_duplicates(odd).collect()
+    assert len(got) == odd.count()
+    # One two: rows 4 twice, and a row without an id that takes no part.
+    assert sorted((r.id, r.component_id, r.kept) for r in got if r.id == 4) == [(4, 4, True)] * 2
+    assert all(r.component_id is None and r.kept for r in got if r.id is None)
+    assert N.drop_near_duplicates(odd).columns == odd.columns
+    assert N.drop_near_duplicates(odd).count() == odd.count()
+    assert N.near_duplicates(odd.limit(0)).collect() == []
+
+
+def test_versions_of_one_id_are_one_document(spark, prose):
+    a, b = prose(1, 50), prose(2, 50)
+    rows = [(1, a), (5, a), (5, b), (9, b), (7, prose(3, 50))]
+    got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.id, r.component_id) for r in got) == [(1, 1), (5, 1), (5, 1), (7, 7), (9, 1)]

@@ -1,0 +1,59 @@
+import math
+import random
+import re
+
+from ripplelog.llm import secret_scan as S
+
+
+def spans_of(df):
+    return {r.id: [(x.kind, x.start, x.end) for x in r.spans] for r in S.scan_secrets(df).collect()}
+
+
+def brute(text):
+    found = []
+    for k, (pattern, flags) in enumerate([(S.ASSIGN, re.I | re.A), (S.ACCESS, 0), (S.HEX, 0)]):
+        for m in re.finditer(pattern, text, flags):
+            if len(m[2] if k == 0 else m[0]) >= (8, 16, 32)[k]:
+                found.append((m.start(), k, m.end()))
+    return [(S.KINDS[k], a, b) for a, k, b in sorted(found)]
+
+
+def test_fixed_shapes_equal_plain_regexes(docs):
+    rng = random.Random(3)
+    parts = ["password", "PassWD", "apiKey", "api_key", "tſoken", "=", ": ", '"', " ", "\n", "é", "AKIA", "A1", "deadbeef" * 4, "0f", "Z9-_.=", "secret"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 30))) for _ in range(400)]
+    got = spans_of(docs(texts))
+    for i, text in enumerate(texts):
+        assert [x for x in got[i] if x[0] != "entropy"] == brute(text), text
+
+
+def test_window_entropy_equals_counting():
+    rng = random.Random(5)
+    for _ in range(200):
+        text = "".join(rng.choice("abcdef0123456789" if rng.random() < 0.5 else "ab") for _ in range(rng.randint(1, 60)))
+        covered = set()
+        for i in range(len(text) - 11):
+            window = text[i : i + 12]
+            h = -sum(c / 12 * math.log2(c / 12) for c in map(window.count, set(window)))
+            covered |= set(range(i, i + 12)) if h >= 3.0 - 1e-9 else set()
+        assert {p for a, b in S.high_entropy(text, 12, 3.0) for p in range(a, b)} == covered
+
+
+def test_entropy_finds_random_strings_and_allows_known_shapes(docs):
+    texts = [
+        "key sk9fK2LmQ8xZr4TnB7vYc1Wd0HsJ end",
+        "see 123e4567-e89b-12d3-a456-426614174000 and https://host.example/a1b2c3d4e5f6g7h8i9 now",
+        "thisisalongordinarywordwithoutanydigits here",
+        'token = "Zq8rT2kLw9XvB4nM7sJ1pD6h"',
+    ]
+    got = spans_of(docs(texts))
+    assert [x[0] for x in got[0]] == ["entropy"] and got[0][0][1:] == (4, 32)
+    assert got[1] == got[2] == []
+    assert [x[0] for x in got[3]] == ["assign"]  # what a fixed shape covers isn't told twice
+
+
+def test_odd_rows(spark, odd):
+    got = S.scan_secrets(odd).collect()
+    assert len(got) == odd.count()
+    assert [[x.kind for x in r.spans] for r in got if r.id == 6] == [["assign"]]
+    assert S.scan_secrets(odd.limit(0)).collect() == []
