@@ -19,9 +19,7 @@ def test_one_query_for_each_operator():
 
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_query_equals_oracle(spark, name):
-    df = catalog.QUERIES[name](spark, FOLDER)
-    con, sql = database(FOLDER), catalog.ORACLE_SQL[name]
-    assert compare(spark, con, name, FOLDER, df, sql) is None
+    assert compare(spark, database(FOLDER), name, FOLDER) is None
 
 
 def test_stages_equal_their_operators_brute_forced(spark):
@@ -38,7 +36,7 @@ def test_stages_equal_their_operators_brute_forced(spark):
 
     clean = steps["toxicity"](spark, docs, FOLDER)
     kept = sorted(map(tuple, clean.collect()))
-    assert clean.columns == names and set(kept) < set(map(tuple, docs.collect()))
+    assert clean.columns == names and set(kept) <= set(map(tuple, docs.collect()))
 
     single = steps["near_duplicates"](spark, spark.createDataFrame(kept, docs.schema), FOLDER)
     rows = sorted(map(tuple, single.collect()))
