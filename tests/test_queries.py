@@ -2,6 +2,7 @@ import pytest
 from oracle_check import compare, database
 
 import __spark_entry__ as entry
+from ripplelog.plans import catalog, oracle
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -12,11 +13,11 @@ def con():
 
 
 def test_registries_match():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"lag_drain"}
+    assert set(catalog.registered()) - set(oracle.oracle()) == {"lag_drain"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.registered()))
 def test_query_equals_oracle(spark, con, name):
     assert compare(spark, con, name, FOLDER) is None
 
