@@ -109,8 +109,22 @@ def encode(*fields: Column | str) -> Column:
 
 
 def decode_envelope(df: DataFrame, *keep: str, payload: str = "value") -> DataFrame:
-    """Envelope columns of validated log rows. A row that does not decode fails the job: such a
-    row is a bug upstream, not bad input."""
-    options = {"mode": "FAILFAST", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
-    envelope = F.from_json(text(F.col(payload)), S.ENVELOPE, options)
-    return df.withColumn("_envelope", envelope).select(*keep, "_envelope.*")
+    """Envelope columns of validated log rows; an absent field has its zero value. A row that is not
+    exactly one JSON object with the expected types fails the job: such a row is a bug upstream,
+    not bad input."""
+    decoded = flagged_envelopes(df, S.ENVELOPE, *keep, payload=payload)
+    failed = "raise_error('malformed envelope on the validated topic')"
+    return decoded.where(F.expr(f"CASE WHEN _broken THEN {failed} ELSE true END")).drop("_broken")
+
+
+def flagged_envelopes(
+    df: DataFrame, fields: S.T.StructType, *keep: str, payload: str = "value"
+) -> DataFrame:
+    """Flat JSON objects as columns, with ``_broken`` for values that do not decode strictly."""
+    opened = J.open_document(configured(df), payload, fields)
+    typed = opened.withColumns(
+        {f"_f_{f.name}": F.expr(J.field(fields, f.name)) for f in fields}
+        | {"_ok": F.expr(f"coalesce({J.decodes(fields)}, false)")}
+    )
+    judged = J.close_document(typed, fields).withColumn("_broken", F.expr(J.pinned("NOT _ok")))
+    return judged.select(*keep, *[F.col(f"_f_{f.name}").alias(f.name) for f in fields], "_broken")

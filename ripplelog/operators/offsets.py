@@ -41,6 +41,8 @@ def assign_offsets(
     them, rows are range-partitioned by order and staged in the shared folder, and each range is
     a chunk; staging fixes the range bounds, which Spark samples anew for every plan.
 
+    No row is lost: group columns may be null, and a row that finds no start is an error.
+
     ``order_by`` must be unique per log partition. ``high_water`` (topic, partition, high) gives
     the first free offsets; a partition without a row starts at 0.
     """
@@ -72,8 +74,11 @@ def assign_offsets(
     numbered = df.withColumn(
         "_row", F.row_number().over(Window.partitionBy(*group).orderBy(*order_by))
     )
+    starts = starts.select("_start", *[F.col(name).alias(f"_of_{name}") for name in group])
+    same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in group]
+    lost = F.raise_error(F.lit("a message has no offset")).cast("bigint")
     return (
-        numbered.join(starts, group)
-        .withColumn("offset", F.col("_start") + F.col("_row") - F.lit(1))
-        .drop("_row", "_start", "_range")
+        numbered.join(starts, same, "left")
+        .withColumn("offset", F.coalesce(F.col("_start") + F.col("_row") - F.lit(1), lost))
+        .drop("_row", "_start", "_range", *[f"_of_{name}" for name in group])
     )

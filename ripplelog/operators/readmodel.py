@@ -76,9 +76,12 @@ def wiki_stats(events: DataFrame) -> DataFrame:
 
 def counts(pages: DataFrame, ledger: DataFrame) -> DataFrame:
     """One row: pages tracked and events processed."""
-    tracked = pages.agg(F.count(F.lit(1)).alias("pages"))
-    processed = ledger.agg(F.count(F.lit(1)).alias("processed_events"))
-    return tracked.join(processed)
+    one = lambda page: F.lit(page).alias("page")
+    both = pages.select(one(1)).union(ledger.select(one(0)))
+    return both.agg(
+        F.count_if(F.col("page") == 1).alias("pages"),
+        F.count_if(F.col("page") == 0).alias("processed_events"),
+    )
 
 
 def counts_of_events(events: DataFrame) -> DataFrame:

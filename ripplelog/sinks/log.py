@@ -11,18 +11,25 @@ from ripplelog.operators.offsets import LOG_PARTITION, assign_offsets
 from ripplelog.sources.log import RANGES, log_folder, ranges_folder, segment_ranges
 
 
-def _partition_count() -> Column:
-    count = F.lit(None).cast("int")
-    for topic, partitions in S.TOPIC_PARTITIONS.items():
-        count = F.when(F.col("topic") == topic, F.lit(partitions)).otherwise(count)
+def _partition_count(partitions: dict[str, int] | None) -> Column:
+    unknown = F.raise_error(
+        F.concat(F.lit("no partition count is known for topic "), F.coalesce("topic", F.lit("null")))
+    )
+    count = unknown.cast("int")
+    for topic, number in {**S.TOPIC_PARTITIONS, **(partitions or {})}.items():
+        count = F.when(F.col("topic") == topic, F.lit(number)).otherwise(count)
     return count
 
 
-def with_partition(messages: DataFrame) -> DataFrame:
-    """Add the partition of each message: by key hash, over the partition count of its topic."""
-    return messages.withColumn(
-        "partition", partition_for(F.col("key").cast("string"), _partition_count())
-    )
+def with_partition(messages: DataFrame, partitions: dict[str, int] | None = None) -> DataFrame:
+    """Add the partition of each message: by key hash, over the partition count of its topic.
+
+    A message without a key goes by its value instead, so it has one place, too, and messages
+    without keys are spread. ``partitions`` names further topics or other counts; a topic without
+    a count is an error.
+    """
+    home = F.coalesce("key", "value", F.lit(b"")).cast("string")
+    return messages.withColumn("partition", partition_for(home, _partition_count(partitions)))
 
 
 def append_log(
@@ -32,12 +39,16 @@ def append_log(
     order_by: list[str],
     chunk_by: list[str] | None = None,
     cache: bool = False,
+    partitions: dict[str, int] | None = None,
 ) -> None:
     """Append ``key``, ``value``, ``topic`` rows to the file log as one named segment.
 
+    Every row is stored, also without a key; see :func:`with_partition` for ``partitions``.
     Offsets continue where other segments end and follow ``order_by`` (see
-    :func:`assign_offsets`). Appending the same segment again replaces it with the same offsets,
-    so a retried micro-batch does not duplicate. One writer per topic at a time.
+    :func:`assign_offsets`). A segment is published by its offset ranges, which are written last.
+    Appending a published segment again does nothing, so a retried micro-batch does not duplicate
+    and readers keep the files they hold; what a crash left of an unpublished one is replaced.
+    One writer per topic at a time.
 
     Numbering reads the messages twice. ``cache`` keeps them in between, for messages that are
     costly to make; a lost executor only means that its share is made again.
@@ -45,18 +56,19 @@ def append_log(
     if cache:
         messages = messages.persist()
         try:
-            append_log(messages, root, segment, order_by, chunk_by)
+            append_log(messages, root, segment, order_by, chunk_by, partitions=partitions)
         finally:
             messages.unpersist()
         return
     spark = messages.sparkSession
     taken = segment_ranges(spark, root)
     if taken is not None:
-        taken = taken.where(F.col("segment") != segment)
+        if not taken.where(F.col("segment") == segment).isEmpty():
+            return
         taken = taken.groupBy(*LOG_PARTITION).agg((F.max("hi") + 1).alias("high"))
     if "timestamp" not in messages.columns:
         messages = messages.withColumn("timestamp", F.current_timestamp())
-    numbered = assign_offsets(with_partition(messages), order_by, chunk_by, taken)
+    numbered = assign_offsets(with_partition(messages, partitions), order_by, chunk_by, taken)
     (
         numbered.withColumn("segment", F.lit(segment))
         .sortWithinPartitions(*LOG_PARTITION, "segment", "offset")
@@ -84,10 +96,12 @@ def append_log(
     )
 
 
-def append_kafka(messages: DataFrame, servers: str) -> None:
+def append_kafka(
+    messages: DataFrame, servers: str, partitions: dict[str, int] | None = None
+) -> None:
     """Append to Kafka, with the same key-to-partition rule."""
     (
-        with_partition(messages)
+        with_partition(messages, partitions)
         .select("key", "value", "topic", "partition")
         .write.format("kafka")
         .option("kafka.bootstrap.servers", servers)

@@ -6,32 +6,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplelog import schema as S
-from ripplelog.functions.keys import join_key, range_label
+from ripplelog.functions.keys import range_label
 from ripplelog.functions.times import utc_date
-from ripplelog.operators.decode import text
+from ripplelog.operators.decode import text, with_page_key
 from ripplelog.operators.offsets import chunk_of
 from ripplelog.sinks.log import append_log
 from ripplelog.sources.lake import backup_folder, backup_lines, lake_folder
 
 
-def with_range(batch: DataFrame, rows: int, *extra: str) -> DataFrame:
+def with_range(batch: DataFrame, rows: int, *extra: str, unbroken: bool = False) -> DataFrame:
     """Add the offset range ``rng`` of the object each row belongs to.
 
     An object covers at most ``rows`` offsets of a log partition. The window therefore holds a
     bounded group, the batch is shuffled once, and a partition with most of the rows is spread
-    over many tasks.
+    over many tasks. ``unbroken`` ends an object at each gap, so that objects of batches that hold
+    other offsets in between don't overlap and their names sort like all their rows.
     """
     cut = batch.withColumn("_chunk", chunk_of(F.col("offset"), rows))
-    group = Window.partitionBy("topic", "partition", *extra, "_chunk")
+    keys = ["topic", "partition", *extra, "_chunk"]
+    if unbroken:
+        ordered = Window.partitionBy(*keys).orderBy("offset")
+        jump = F.coalesce(F.col("offset") != F.lag("offset").over(ordered) + 1, F.lit(True))
+        so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cut = cut.withColumn("_jump", jump).withColumn("_run", F.sum(F.col("_jump").cast("int")).over(so_far))
+        cut, keys = cut.drop("_jump"), [*keys, "_run"]
+    group = Window.partitionBy(*keys)
     ends = [F.min("offset").over(group), F.max("offset").over(group)]
-    return cut.withColumn("rng", range_label(*ends)).withColumnRenamed("partition", "p").drop("_chunk")
+    return cut.withColumn("rng", range_label(*ends)).withColumnRenamed("partition", "p").drop("_chunk", "_run")
 
 
 def write_backup(batch: DataFrame, root: str, rows: int = S.BACKUP_MAX_ROWS) -> None:
     """Message values verbatim as gzip text lines in offset order."""
     folders = ["topic", "p", "rng"]
     (
-        with_range(batch.select("topic", "partition", "offset", "value"), rows)
+        with_range(batch.select("topic", "partition", "offset", "value"), rows, unbroken=True)
         .sortWithinPartitions(*folders, "offset")
         .select(text(F.col("value")).alias("value"), *folders)
         .write.partitionBy(*folders)
@@ -62,15 +70,14 @@ def write_lake(events: DataFrame, root: str, rows: int = S.LAKE_MAX_ROWS) -> Non
 
 
 def restore(spark, backup_root: str, log_root: str, segment: str = "restore") -> None:
-    """Put backup lines back on the log, values untouched and in their old order.
+    """Put all backup lines back on the log, values untouched and in their old order.
 
-    The backup holds values only, so the key is computed from ``wiki`` and ``title`` again. An
-    object is a bounded chunk, which numbers the rows without gathering a partition.
+    The backup holds values only, so the key is computed from ``wiki`` and ``title`` again; a line
+    that yields none is restored without a key. An object is a bounded chunk, which numbers the
+    rows without gathering a partition.
     """
-    lines = backup_lines(spark, backup_root)
-    page = F.from_json("value", "wiki string, title string")
-    messages = lines.select(
-        join_key(page["wiki"], page["title"]).cast("binary").alias("key"),
+    messages = with_page_key(backup_lines(spark, backup_root)).select(
+        F.col("page_key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         "topic",
         F.col("rng"),

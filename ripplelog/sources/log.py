@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ripplelog import schema as S
 from ripplelog.files import exists
-from ripplelog.operators.decode import text
+from ripplelog.operators.decode import flagged_envelopes
 
 _FILE_LOG = T.StructType([*S.LOG.fields, T.StructField("segment", T.StringType())])
 
@@ -115,24 +115,12 @@ def topics(log: DataFrame) -> DataFrame:
 
 
 _BROKEN = "_broken"
-_DEFAULTS = {T.StringType: "", T.LongType: 0, T.BooleanType: False}
 
 
 def flagged_rows(log: DataFrame, row_schema: T.StructType, *keep: str) -> DataFrame:
-    """JSON-per-row values as columns (absent fields get their zero value) and ``_broken``."""
-    options = {
-        "columnNameOfCorruptRecord": _BROKEN,
-        "allowSingleQuotes": "false",
-        "allowNonNumericNumbers": "false",
-    }
-    parsed = T.StructType([*row_schema.fields, T.StructField(_BROKEN, T.StringType())])
-    rows = log.withColumn("_row", F.from_json(text(F.col("value")), parsed, options))
-    fields = [
-        F.coalesce(F.col(f"_row.{f.name}"), F.lit(_DEFAULTS[type(f.dataType)])).alias(f.name)
-        for f in row_schema
-    ]
-    broken = F.col("_row").isNull() | F.col(f"_row.{_BROKEN}").isNotNull()
-    return rows.select(*keep, *fields, broken.alias(_BROKEN))
+    """JSON-per-row values as columns (absent fields get their zero value) and ``_broken``, decoded
+    as strictly as events are."""
+    return flagged_envelopes(log, row_schema, *keep)
 
 
 class TooManyBrokenMessages(RuntimeError):

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from ripplelog import schema as S
 from ripplelog.files import exists, remove
@@ -16,7 +15,8 @@ PROGRESS = T.StructType(
     [
         T.StructField("topic", T.StringType()),
         T.StructField("partition", T.IntegerType()),
-        T.StructField("committed", T.LongType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("total", T.LongType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -27,35 +27,25 @@ def _folder(log_root: str, group: str) -> str:
 
 
 def commit_progress(batch: DataFrame, log_root: str, group: str, batch_id: int) -> None:
-    """Publish the next offset per partition of a handled batch (a few rows)."""
-    done = batch.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("committed"))
-    path = f"{_folder(log_root, group)}/batch_id={batch_id}"
-    done.coalesce(1).write.mode("overwrite").parquet(path)
+    """Publish how many rows per partition a handled batch had.
 
+    Offsets have no gaps, so the rows handled so far are the next offset of a group that reads in
+    order. A batch that is limited by files need not hold the lowest offsets; the rows it leaves
+    out stay in the lag, which its highest offset would hide.
+    """
+    done = batch.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("rows"))
+    _publish(done.withColumn("total", F.lit(None).cast("bigint")), log_root, group, batch_id)
 
-def position_metrics(topic: str) -> list[Column]:
-    """Highest offset per partition as observed metrics, for queries whose sink is not a function."""
-    return [
-        F.max(F.when(F.col("partition") == number, F.col("offset"))).alias(f"p{number}")
-        for number in range(S.TOPIC_PARTITIONS[topic])
-    ]
 
+def commit_totals(totals: DataFrame, log_root: str, group: str, batch_id: int) -> None:
+    """Publish the rows (topic, partition, total) that a group has handled in all its batches."""
+    _publish(totals.withColumn("rows", F.lit(None).cast("bigint")), log_root, group, batch_id)
 
-def save_progress(
-    spark: SparkSession, query: StreamingQuery, metric: str, log_root: str, group: str, topic: str
-) -> None:
-    """Publish the offsets a query observed with :func:`position_metrics` in its finished batches."""
-    rows = []
-    for progress in query.recentProgress:
-        seen = progress.observedMetrics.get(metric)
-        for number in range(S.TOPIC_PARTITIONS[topic]):
-            high = seen[f"p{number}"] if seen else None
-            if high is not None:
-                rows.append((topic, number, high + 1, progress.batchId))
-    if rows:
-        table = spark.createDataFrame(rows, PROGRESS)
-        folder = table.coalesce(1).write.partitionBy("batch_id").mode("overwrite")
-        folder.option("partitionOverwriteMode", "dynamic").parquet(_folder(log_root, group))
+
+def _publish(done: DataFrame, log_root: str, group: str, batch_id: int) -> None:
+    columns = [name for name in PROGRESS.fieldNames() if name != "batch_id"]
+    path = f"{_folder(log_root, group)}/batch_id={batch_id}"
+    done.select(columns).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def forget_progress(spark: SparkSession, log_root: str, group: str) -> bool:
@@ -71,9 +61,17 @@ def progress(spark: SparkSession, log_root: str, group: str) -> DataFrame:
     return spark.read.schema(PROGRESS).parquet(folder)
 
 
-def partition_list(spark: SparkSession, topic: str) -> DataFrame:
-    """Partition numbers of a topic."""
-    return spark.range(S.TOPIC_PARTITIONS[topic]).select(F.col("id").cast("int").alias("partition"))
+def partition_list(
+    spark: SparkSession, topic: str, log_root: str | None = None
+) -> DataFrame:
+    """Partition numbers of a topic: the usual ones, and any other that the log holds."""
+    numbers = spark.range(S.TOPIC_PARTITIONS.get(topic, 0)).select(
+        F.col("id").cast("int").alias("partition")
+    )
+    ranges = segment_ranges(spark, log_root) if log_root else None
+    if ranges is None:
+        return numbers
+    return numbers.union(ranges.where(F.col("topic") == topic).select("partition")).distinct()
 
 
 def group_lag(
@@ -83,7 +81,7 @@ def group_lag(
     topic: str = S.TOPIC_VALIDATED,
     up_to_batch: int | None = None,
 ) -> DataFrame:
-    """Lag of a group on a topic, now or as of one of its batches.
+    """Lag of a group on a topic, now or as of one of its batches: the rows it has not handled.
 
     Both inputs are small tables that grow with the number of appends and batches, not with the
     log: the offset ranges of its segments and the commits of the group.
@@ -91,36 +89,28 @@ def group_lag(
     commits = progress(spark, log_root, group).where(F.col("topic") == topic)
     if up_to_batch is not None:
         commits = commits.where(F.col("batch_id") <= up_to_batch)
-    committed = commits.groupBy("partition").agg(F.max("committed").alias("committed"))
+    committed = commits.groupBy("partition").agg(
+        F.coalesce(F.max("total"), F.sum("rows")).alias("committed")
+    )
     ranges = segment_ranges(spark, log_root)
     if ranges is None:
         high = committed.select("partition", F.lit(0).cast("bigint").alias("high"))
     else:
         own = ranges.where(F.col("topic") == topic)
         high = own.groupBy("partition").agg((F.max("hi") + 1).alias("high"))
-    return compute_lag(partition_list(spark, topic), committed, high)
+    return compute_lag(partition_list(spark, topic, log_root), committed, high)
 
 
-def lag_history(spark: SparkSession, log_root: str, group: str, topic: str) -> DataFrame:
+def lag_after_batches(spark: SparkSession, log_root: str, group: str, topic: str) -> DataFrame:
     """Total lag after each batch of a group, against the present high-water marks.
 
-    Every batch is paired with the topic's few partitions; the tables are per batch, not per row.
+    Needs a group that publishes the rows of each batch, as all but the projector do.
     """
     commits = progress(spark, log_root, group).where(F.col("topic") == topic)
-    numbers = F.sequence(F.lit(0), F.lit(S.TOPIC_PARTITIONS[topic] - 1))
-    grid = commits.select("batch_id").distinct().withColumn("partition", F.explode(numbers))
-    so_far = Window.partitionBy("partition").orderBy("batch_id").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    known = grid.join(commits.drop("topic"), ["batch_id", "partition"], "left").withColumn(
-        "committed", F.coalesce(F.max("committed").over(so_far), F.lit(0).cast("bigint"))
-    )
+    done = commits.groupBy("batch_id").agg(F.sum("rows").alias("rows"))
+    # One row per batch.
+    so_far = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranges = segment_ranges(spark, log_root).where(F.col("topic") == topic)
-    high = ranges.groupBy("partition").agg((F.max("hi") + 1).alias("high"))
-    left = F.greatest(F.coalesce(F.col("high"), F.lit(0)) - F.col("committed"), F.lit(0))
-    return (
-        known.join(high, "partition", "left")
-        .groupBy("batch_id")
-        .agg(F.sum(left).cast("bigint").alias("total_lag"))
-        .orderBy("batch_id")
-    )
+    high = ranges.agg(F.sum("rows")).first()[0] or 0
+    left = F.lit(high) - F.sum("rows").over(so_far)
+    return done.select("batch_id", "rows", left.cast("bigint").alias("total_lag"))

@@ -2,7 +2,8 @@
 
 The query aggregates the validated topic by event id, keeping the first copy; ids met for the
 first time leave the aggregation once, in the micro-batch that brought them. Copies of one id are
-combined before the shuffle, so a flood of redeliveries does not gather in one task.
+combined before the shuffle, so a flood of redeliveries does not gather in one task. The same
+aggregation counts the rows per log partition, which is what a batch publishes as its progress.
 
 A micro-batch is the transaction: it writes the new ledger rows, what they add per page and per
 wiki, and last a commit row, each into a folder of its own batch that a retry replaces. Readers
@@ -25,11 +26,9 @@ from ripplelog.operators import readmodel as R
 from ripplelog.operators.decode import decode_envelope
 from ripplelog.session import configure
 from ripplelog.sources.log import log_batch, log_stream
-from ripplelog.streaming.progress import forget_progress, position_metrics, save_progress
+from ripplelog.streaming.progress import commit_totals, forget_progress, progress
 from ripplelog.streaming.runner import DRAIN, drain
 
-CONSUMED = "consumed"
-
 _LONG, _STRING, _INT = T.LongType(), T.StringType(), T.IntegerType()
 
 APPLIED = T.StructType(
@@ -118,26 +117,29 @@ class ReadModel:
 
 
 def _first_copies(events: DataFrame) -> DataFrame:
-    """Events whose id this micro-batch met for the first time, each as its first copy.
+    """Events whose id this micro-batch met for the first time, each as its first copy; and, with
+    ``_is_event`` false, the rows of each log partition in all micro-batches so far.
 
     The current time is one value per micro-batch, kept in the checkpoint for retries. All copies
     of an id carrying one and the same time means that they all came in the running batch.
     """
     rest = [name for name in APPLIED.fieldNames() if name not in ("event_id", *R.ARRIVAL)]
-    timed = events.withColumn("_seen", F.current_timestamp())
-    copies = timed.groupBy("event_id").agg(
-        F.min(F.struct(*R.ARRIVAL, *rest)).alias("_first"),
+    first = F.struct(*R.ARRIVAL, *rest)
+    event = F.struct(F.lit(True).alias("_is_event"), F.col("event_id"), first.alias("_row"))
+    place = F.struct(
+        F.lit(False).alias("_is_event"),
+        F.col("partition").cast("string").alias("event_id"),
+        F.lit(None).cast("struct<" + ",".join(f"`{n}`:{APPLIED[n].dataType.simpleString()}" for n in (*R.ARRIVAL, *rest)) + ">").alias("_row"),
+    )
+    timed = events.select(F.explode(F.array(event, place)).alias("_e"), F.current_timestamp().alias("_seen"))
+    copies = timed.groupBy("_e._is_event", "_e.event_id").agg(
+        F.min("_e._row").alias("_first"),
+        F.count(F.lit(1)).alias("_rows"),
         F.min("_seen").alias("_since"),
         F.max("_seen").alias("_until"),
     )
-    fresh = copies.where(F.col("_since") == F.col("_until"))
-    return fresh.select("event_id", "_first.*").select(APPLIED.fieldNames())
-
-
-def _first_copies_within(events: DataFrame, within: str) -> DataFrame:
-    timed = events.withColumn("_time", F.timestamp_seconds("occurred_at"))
-    unique = timed.withWatermark("_time", within).dropDuplicatesWithinWatermark(["event_id"])
-    return unique.select(APPLIED.fieldNames())
+    fresh = copies.where(~F.col("_is_event") | (F.col("_since") == F.col("_until")))
+    return fresh.select("_is_event", "event_id", "_first.*", "_rows")
 
 
 def start_projector(
@@ -146,43 +148,48 @@ def start_projector(
     model: ReadModel,
     trigger: dict | None = None,
     max_per_trigger: int | None = None,
-    within: str | None = None,
     source: DataFrame | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Validated topic (of the file log, or ``source``) to read model; a row that does not decode
     fails the query.
 
-    State grows with the number of ids. ``within`` (such as ``"7 days"``) bounds it by forgetting
-    an id that much event time later, which changes the result: a copy that comes later still
-    counts again, and of copies in one micro-batch any may be kept.
+    State grows with the number of ids and lives in ``state_partitions`` stores, which Spark fixes
+    at the first start (``spark.sql.shuffle.partitions`` by default). Each micro-batch publishes its
+    progress, so the lag of a running projector is known.
     """
     configure(spark)
     if source is None:
         source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger)
-    seen = source.observe(
-        CONSUMED, F.count(F.lit(1)).alias("rows"), *position_metrics(S.TOPIC_VALIDATED)
-    )
-    events = decode_envelope(seen, "partition", "offset").select(APPLIED.fieldNames())
-    fresh = _first_copies(events) if within is None else _first_copies_within(events, within)
+    events = decode_envelope(source, "partition", "offset").select(APPLIED.fieldNames())
+    fresh = _first_copies(events)
 
     def transact(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            batch.write.mode("overwrite").parquet(model.batch("applied", batch_id))
+            places = batch.where(~F.col("_is_event")).select(
+                F.lit(S.TOPIC_VALIDATED).alias("topic"),
+                F.col("event_id").cast("int").alias("partition"),
+                F.col("_rows").alias("total"),
+            )
+            new = batch.where("_is_event").select(APPLIED.fieldNames())
+            new.write.mode("overwrite").parquet(model.batch("applied", batch_id))
             for name, table in TABLES.items():
-                table.additions(batch).write.mode("overwrite").parquet(model.batch(name, batch_id))
-            commit = batch.agg(F.count(F.lit(1)).alias("applied"))
+                table.additions(new).write.mode("overwrite").parquet(model.batch(name, batch_id))
+            commit = new.agg(F.count(F.lit(1)).alias("applied"))
             commit.write.mode("overwrite").parquet(model.batch("commits", batch_id))
+            commit_totals(places, log_root, S.GROUP_PROJECTOR, batch_id)
         finally:
             batch.unpersist()
 
-    writer = fresh.writeStream.outputMode("update" if within is None else "append")
-    return (
-        writer.foreachBatch(transact)
-        .option("checkpointLocation", model.checkpoint)
-        .trigger(**(trigger or DRAIN))
-        .start()
-    )
+    writer = fresh.writeStream.outputMode("update").foreachBatch(transact)
+    writer = writer.option("checkpointLocation", model.checkpoint).trigger(**(trigger or DRAIN))
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", state_partitions or usual)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
 
 
 def _numbers(names: list[str]) -> list[int]:
@@ -191,9 +198,9 @@ def _numbers(names: list[str]) -> list[int]:
 
 def _last_commit(spark: SparkSession, model: ReadModel) -> int:
     """Number of the newest committed batch, -1 before the first. A batch commits after all its
-    tables are written, and batches run one after the other."""
+    tables are written, and batches run one after the other. A commit counts by its row."""
     for number in reversed(_numbers(children(spark, model.table("commits")))):
-        if "_SUCCESS" in children(spark, model.batch("commits", number)):
+        if not spark.read.schema(_COMMIT).parquet(model.batch("commits", number)).isEmpty():
             return number
     return -1
 
@@ -257,25 +264,28 @@ def compact(spark: SparkSession, model: ReadModel, name: str) -> None:
 
 def project(
     spark: SparkSession, log_root: str, model: ReadModel, max_per_trigger: int | None = None
-) -> StreamingQuery:
-    """Bring the read model up to date with the log and return the finished query."""
-    query = start_projector(spark, log_root, model, max_per_trigger=max_per_trigger)
-    drain(query)
-    save_progress(spark, query, CONSUMED, log_root, S.GROUP_PROJECTOR, S.TOPIC_VALIDATED)
-    return query
-
-
-def run_counts(spark: SparkSession, model: ReadModel, query: StreamingQuery) -> dict[str, int]:
-    """Events a finished query applied and skipped in the batches Spark still reports."""
-    batches, consumed = set(), 0
-    for report in query.recentProgress:
-        seen = report.observedMetrics.get(CONSUMED)
-        if seen:
-            batches.add(report.batchId)
-            consumed += seen["rows"]
-    rows = applied_counts(spark, model).where(F.col("batch_id").isin(sorted(batches)))
+) -> dict[str, int]:
+    """Bring the read model up to date with the log; returns how many events this run applied and
+    skipped."""
+    before = _last_commit(spark, model)
+    drain(start_projector(spark, log_root, model, max_per_trigger=max_per_trigger))
+    return run_counts(spark, log_root, model, before)
+
+
+def run_counts(
+    spark: SparkSession, log_root: str, model: ReadModel, after: int = -1
+) -> dict[str, int]:
+    """Events that the batches after a given one applied and skipped, from what they committed."""
+    rows = applied_counts(spark, model).where(F.col("batch_id") > after)
     applied = rows.agg(F.coalesce(F.sum("applied"), F.lit(0))).first()[0]
-    return {"applied": applied, "skipped": consumed - applied}
+    totals = progress(spark, log_root, S.GROUP_PROJECTOR)
+
+    def consumed(commits: DataFrame) -> int:
+        highest = commits.groupBy("topic", "partition").agg(F.max("total").alias("total"))
+        return highest.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+
+    done = consumed(totals) - consumed(totals.where(F.col("batch_id") <= after))
+    return {"applied": applied, "skipped": done - applied}
 
 
 def inspect(spark: SparkSession, model: ReadModel, n: int = 10) -> dict[str, DataFrame]:
@@ -292,7 +302,7 @@ def reset(spark: SparkSession, model: ReadModel, log_root: str | None = None) ->
     return removed
 
 
-def rebuild(spark: SparkSession, log_root: str, model: ReadModel) -> StreamingQuery:
+def rebuild(spark: SparkSession, log_root: str, model: ReadModel) -> dict[str, int]:
     """Drop the read model and replay the log from its beginning."""
     reset(spark, model, log_root)
     return project(spark, log_root, model)

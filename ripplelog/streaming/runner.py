@@ -34,15 +34,21 @@ def consume(
 
     Spark records the input of a batch before it runs and its completion afterwards, so a crash
     repeats the same batch; handlers write per ``batch_id`` or offset range and replace what a
-    first try left. With ``group`` and ``log_root``, the next offsets are published for lag
-    reports once the handler has succeeded.
+    first try left. With ``group`` and ``log_root``, the rows handled are published for lag
+    reports once the handler has succeeded; the batch is kept meanwhile, so the source is read once.
     """
     configure(stream.sparkSession)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        handler(batch, batch_id)
-        if group and log_root:
+        if not (group and log_root):
+            handler(batch, batch_id)
+            return
+        batch.persist()
+        try:
+            handler(batch, batch_id)
             commit_progress(batch, log_root, group, batch_id)
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or DRAIN)).start()

@@ -13,7 +13,7 @@ def con():
 
 
 def test_registries_match():
-    assert set(catalog.registered()) - set(oracle.oracle()) == {"lag_drain"}
+    assert set(catalog.registered()) - set(oracle.oracle()) == set()
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -22,10 +22,5 @@ def test_query_equals_oracle(spark, con, name):
     assert compare(spark, con, name, FOLDER) is None
 
 
-def test_lag_drains_to_zero(spark):
-    history = [r.total_lag for r in entry.queries()["lag_drain"](spark, FOLDER).collect()]
-    assert history == sorted(history, reverse=True) and history[-1] == 0
-
-
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
