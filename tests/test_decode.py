@@ -188,3 +188,33 @@ def test_parse_runs_once_below_the_filter(spark):
     rows = to_envelope(classify(raw_rows(spark, [GOOD])))
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson") == 1
+
+
+ENVELOPE = '{"event_id":"k","event_type":"edit","wiki":"w","title":"t","user":"u","bot":true,"occurred_at":5}'
+
+
+@pytest.mark.parametrize(
+    "text", [ENVELOPE + "x", ENVELOPE * 2, f"{ENVELOPE},{ENVELOPE}", "", "[]", "5", "x", '{"title":5}', '{"user":{}}', '{"bot":"true"}', '{"occurred_at":5.0}']
+)
+def test_any_other_envelope_fails_the_job(spark, text):
+    with pytest.raises(Exception, match="malformed envelope"):
+        decode_envelope(raw_rows(spark, [ENVELOPE, text]), "offset").count()
+
+
+def test_absent_envelope_fields_have_zero_values(spark):
+    rows = decode_envelope(raw_rows(spark, [ENVELOPE, "{}", '{"bot":null,"more":1}']), "offset")
+    zero = ("", "", "", "", "", False, 0)
+    assert [tuple(r) for r in rows.orderBy("offset").collect()] == [(0, "k", "edit", "w", "t", "u", True, 5), (1, *zero), (2, *zero)]
+
+
+def test_known_deviations_of_repeated_keys_and_parser_limits(spark):
+    """The last copy of a repeated key decides alone, and the parser has limits for unknown fields."""
+    vectors = {
+        GOOD[:-1] + ',"user":5,"user":"x"}': None,
+        GOOD[:-1] + ',"title":null}': S.MISSING_TITLE,
+        GOOD[:-1] + ',"meta":{"stream":"s"}}': S.MISSING_ID,
+        GOOD[:-1] + ',"x":' + "[" * 1500 + "]" * 1500 + "}": S.DECODE_REASON,
+        GOOD[:-1] + ',"x":' + "9" * 1200 + "}": S.DECODE_REASON,
+    }
+    rows = classify(raw_rows(spark, list(vectors))).orderBy("offset").collect()
+    assert [r.reason for r in rows] == list(vectors.values())

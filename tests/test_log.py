@@ -84,6 +84,31 @@ def test_append_and_retry(spark, tmp_path):
     assert segment_ranges(spark, root).where("segment = 'b'").agg(F.sum("rows")).collect()[0][0] == 15
 
 
+def test_every_message_is_stored(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(b"k" if n % 3 else None, f"v{n}".encode() if n % 7 else None, "other", n) for n in range(60)]
+    messages = spark.createDataFrame(rows, "key binary, value binary, topic string, n bigint").repartition(4)
+    append_log(messages, root, "a", ["n"], partitions={"other": 9})
+    log = log_batch(spark, root, "other").collect()
+    assert sorted((r.key and bytes(r.key), r.value and bytes(r.value)) for r in log if r.key and r.value) == sorted(
+        r[:2] for r in rows if r[0] and r[1]
+    )
+    assert len(log) == 60 and {r.partition for r in log} <= set(range(9)) and len({r.partition for r in log}) > 3
+    for part in offset_ranges(log_batch(spark, root)).collect():
+        assert (part.lo, part.hi) == (0, part.rows - 1)
+    assert len({r.partition for r in log if r.key}) == 1
+    with pytest.raises(Exception, match="no partition count"):
+        append_log(messages, str(tmp_path / "x"), "a", ["n"])
+
+
+def test_a_published_segment_keeps_its_files(spark, tmp_path):
+    root = str(tmp_path)
+    append_log(validated_messages(spark, MESSAGES), root, "a", ["n"])
+    before = set(log_batch(spark, root).inputFiles())
+    append_log(validated_messages(spark, MESSAGES), root, "a", ["n"])
+    assert set(log_batch(spark, root).inputFiles()) == before
+
+
 def test_append_nothing(spark, tmp_path):
     append_log(validated_messages(spark, MESSAGES).where("false"), str(tmp_path), "a", ["n"])
     assert segment_ranges(spark, str(tmp_path)) is None
@@ -128,13 +153,22 @@ def test_block_fails_beyond_that(spark):
         pass
 
 
+def test_broken_rows_are_told_strictly(spark):
+    good = '{"event_id":"a"}'
+    bad = [good + "x", good + good, '{"title":5}', '{"user":{}}', '{"occurred_at":"5"}', '{"occurred_at":1.5}', "[]", "", "1"]
+    with log_rows(raw_rows(spark, [*bad, good, "null", '{"bot":null}']), S.ENVELOPE, "offset") as rows:
+        got = sorted(map(tuple, rows.collect()))
+    zero = ("", "", "", "", "", False, 0)
+    assert got == [(9, "a", *zero[1:]), (10, *zero), (11, *zero)]
+
+
 def test_lag(spark):
-    partitions = spark.createDataFrame([(2,), (0,), (1,), (3,)], "partition int")
-    committed = spark.createDataFrame([(0, 10), (1, -1), (2, 100)], "partition int, committed bigint")
-    high = spark.createDataFrame([(0, 15), (1, 20), (2, 100)], "partition int, high bigint")
+    partitions = spark.createDataFrame([(7,), (4,), (0,), (5,)], "partition int")
+    committed = spark.createDataFrame([(0, 61), (5, -1), (7, 33)], "partition int, committed bigint")
+    high = spark.createDataFrame([(0, 90), (4, 8), (5, 12), (7, 33)], "partition int, high bigint")
     lag = compute_lag(partitions, committed, high)
-    assert [tuple(r) for r in lag.collect()] == [(0, 10, 15, 5), (1, 0, 20, 20), (2, 100, 100, 0), (3, 0, 0, 0)]
-    assert total_lag(lag).collect()[0].total_lag == 25
+    assert [tuple(r) for r in lag.collect()] == [(0, 61, 90, 29), (4, 0, 8, 8), (5, 0, 12, 12), (7, 33, 33, 0)]
+    assert total_lag(lag).collect()[0].total_lag == 49
     over = compute_lag(partitions.where("partition = 0"), committed, high.withColumn("high", F.lit(3)))
     assert over.collect()[0].lag == 0
     rows = spark.createDataFrame([(0, 4), (0, 2), (1, 0)], "partition int, offset bigint")

@@ -10,7 +10,8 @@ from ripplelog.sinks.objects import restore, write_backup, write_lake
 from ripplelog.sources.lake import backup, lake
 from ripplelog.sources.log import log_batch
 
-BEFORE, AFTER = 1782777590, 1782777630
+# Seconds around the end of a leap day, 2028-02-29.
+MIDNIGHT = 1835481600
 
 
 def messages(spark, values, partition=2, first=10):
@@ -47,22 +48,30 @@ def test_empty_batch_writes_nothing(spark, tmp_path):
 
 
 def test_midnight_split(spark, tmp_path):
-    rows = [("a", "w", "t", "u", False, BEFORE), ("b", "w", "t", "u", False, AFTER), ("c", "w", "t", "u", False, BEFORE)]
-    events = envelope_rows(spark, rows).withColumn("offset", F.col("offset") + 10)
+    times = [MIDNIGHT, MIDNIGHT - 1, MIDNIGHT + 86_399, MIDNIGHT - 2, MIDNIGHT + 86_400]
+    rows = [(f"x{n}", "ptwiki", "Mar", "ana", False, time) for n, time in enumerate(times)]
+    events = envelope_rows(spark, rows).withColumn("offset", F.col("offset") + 300)
     write_lake(events, str(tmp_path))
     days = sorted(glob.glob(f"{tmp_path}/lake/dt=*/p=0/rng=*"))
     assert [day.split("/lake/")[1] for day in days] == [
-        f"dt=2026-06-29/p=0/rng={10:020d}-{12:020d}",
-        f"dt=2026-06-30/p=0/rng={11:020d}-{11:020d}",
+        f"dt=2028-02-29/p=0/rng={301:020d}-{303:020d}",
+        f"dt=2028-03-01/p=0/rng={300:020d}-{302:020d}",
+        f"dt=2028-03-02/p=0/rng={304:020d}-{304:020d}",
     ]
-    assert [r.event_id for r in spark.read.parquet(days[0]).collect()] == ["a", "c"]
+    assert [r.event_id for r in spark.read.parquet(days[0]).collect()] == ["x1", "x3"]
+
+
+def test_times_beyond_the_calendar_share_its_last_day(spark, tmp_path):
+    rows = [("a", "w", "t", "u", False, 253_402_300_799), ("b", "w", "t", "u", False, 1_700_000_000_000)]
+    write_lake(envelope_rows(spark, rows), str(tmp_path))
+    assert [str(r.dt) for r in lake(spark, str(tmp_path)).collect()] == ["9999-12-31"] * 2
 
 
 def test_lake_round_trip_and_rewrite(spark, tmp_path):
     rows = [
-        ("a", "enwiki", "Title", "Alice", False, 1000),
-        ("b", "commonswiki", "has,comma", "Bot", True, 2000),
-        ("c", "dewiki", "", "", False, 0),
+        ("p1", "svwiki", "Å/ä ö", "Nils", True, 77),
+        ("p2", "", "=\t'\"", "", False, 0),
+        ("p3", "ptwiki", "a b", "x=y", False, 86_399),
     ]
     events = envelope_rows(spark, rows)
     for _ in range(2):
@@ -78,6 +87,29 @@ def test_lake_round_trip_and_rewrite(spark, tmp_path):
     assert back.where("dt = DATE'1970-01-02'").count() == 0
 
 
+def test_restore_keeps_every_line(spark, tmp_path):
+    values = ['{"wiki":"w","title":"t"}', "not json", '{"wiki":"w"}', '{"title":5,"wiki":"w"}', "", '{"wiki":"w","title":"t"}']
+    write_backup(messages(spark, values), str(tmp_path / "backup"))
+    restore(spark, str(tmp_path / "backup"), str(tmp_path / "log"))
+    log = log_batch(spark, str(tmp_path / "log")).collect()
+    assert sorted(bytes(r.value).decode() for r in log) == sorted(values)
+    assert sorted(str(r.key and bytes(r.key)) for r in log) == ["None"] * 4 + [str(b"w:t")] * 2
+
+
+def test_objects_of_interleaved_batches_do_not_overlap(spark, tmp_path):
+    """Batches that hold every third block of offsets, written in any order, restore in order."""
+    values = [f'{{"wiki":"w","title":"t","n":{n}}}' for n in range(90)]
+    whole = messages(spark, values, first=0)
+    for part in (2, 0, 1):
+        write_backup(whole.where(F.floor(F.col("offset") / 5) % 3 == part), str(tmp_path / "backup"), rows=40)
+    labels = sorted(f.split("rng=")[1].split("/")[0] for f in glob.glob(f"{tmp_path}/backup/raw/topic=*/p=2/rng=*/*.gz"))
+    ends = [tuple(map(int, label.split("-"))) for label in labels]
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+    restore(spark, str(tmp_path / "backup"), str(tmp_path / "log"))
+    log = log_batch(spark, str(tmp_path / "log")).orderBy("offset").collect()
+    assert [bytes(r.value).decode() for r in log] == values
+
+
 def test_restore_gives_the_same_log(spark, tmp_path):
     rows = [(f"e{n}", "enwiki", f"T{n % 5}", "u", n % 2 == 0, n + 1) for n in range(60)]
     events = envelope_rows(spark, rows)

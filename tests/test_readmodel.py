@@ -18,45 +18,42 @@ def pages_by_hand(rows):
     return pages, seen
 
 
-def test_duplicate_with_other_content_is_skipped(spark):
-    rows = [("e1", "enwiki", "Go", "alice", False, 100), ("e1", "enwiki", "Go", "mallory", True, 200)]
-    page = R.page_activity(R.dedupe(envelope_rows(spark, rows))).collect()
-    assert [tuple(p) for p in page] == [("enwiki", "Go", 1, 0, 100, "alice")]
-    rows.append(("e2", "enwiki", "Go", "bob", True, 150))
-    page = R.page_activity(R.dedupe(envelope_rows(spark, rows))).collect()
-    assert [tuple(p) for p in page] == [("enwiki", "Go", 2, 1, 150, "bob")]
+def test_only_the_first_copy_of_an_id_counts(spark):
+    copies = [("k7", "svwiki", "Lake", f"editor{n}", n % 2 == 1, 900 - n) for n in range(4)]
+    page = R.page_activity(R.dedupe(envelope_rows(spark, copies))).collect()
+    assert [tuple(p) for p in page] == [("svwiki", "Lake", 1, 0, 900, "editor0")]
+    more = [*copies, ("k8", "svwiki", "Lake", "robot", True, 640)]
+    page = R.page_activity(R.dedupe(envelope_rows(spark, more))).collect()
+    assert [tuple(p) for p in page] == [("svwiki", "Lake", 2, 1, 900, "robot")]
 
 
 def test_reports(spark):
+    pages = {("svwiki", "Lake"): 3, ("svwiki", "Hill"): 1, ("ptwiki", "Rio"): 2, ("ptwiki", "Mar"): 2, ("ptwiki", "Sol"): 1}
     rows = [
-        ("1", "enwiki", "Go", "a", False, 10),
-        ("2", "enwiki", "Go", "b", True, 20),
-        ("3", "enwiki", "Rust", "c", False, 30),
-        ("4", "dewiki", "Auto", "d", True, 40),
+        (f"{wiki}-{title}-{n}", wiki, title, "someone", n == 1, 70 * n + 5)
+        for (wiki, title), edits in pages.items()
+        for n in range(edits)
     ]
     events = R.dedupe(envelope_rows(spark, rows))
-    pages, stats, ledger = R.page_activity(events), R.wiki_stats(events), R.processed_events(events)
-    report = R.inspect(pages, stats, ledger)
-    assert tuple(report["counts"].collect()[0]) == (3, 4)
+    tables = R.page_activity(events), R.wiki_stats(events), R.processed_events(events)
+    report = R.inspect(*tables)
+    assert tuple(report["counts"].collect()[0]) == (5, 9)
+    # Most edits first, then by wiki and title.
     assert [(p.title, p.edit_count) for p in report["top"].collect()] == [
-        ("Go", 2),
-        ("Auto", 1),
-        ("Rust", 1),
-    ]
-    assert [tuple(s) for s in report["stats"].collect()] == [
-        ("enwiki", 3, 1, 2, 30),
-        ("dewiki", 1, 1, 0, 40),
-    ]
-    assert tuple(R.counts_of_events(events).collect()[0]) == (3, 4)
-    assert R.top_pages(pages, 1).count() == 1
-    assert R.get_page(pages, "enwiki", "Rust").collect()[0].edit_count == 1
-    assert R.get_page(pages, "enwiki", "None").count() == 0
-
-
-def test_out_of_order_time(spark):
-    rows = [("a", "enwiki", "Go", "first", False, 500), ("b", "enwiki", "Go", "second", False, 200)]
+        ("Lake", 3), ("Mar", 2), ("Rio", 2), ("Sol", 1), ("Hill", 1)
+    ]
+    assert [tuple(s) for s in report["stats"].collect()] == [("ptwiki", 5, 2, 3, 75), ("svwiki", 4, 1, 3, 145)]
+    assert tuple(R.counts_of_events(events).collect()[0]) == (5, 9)
+    assert R.top_pages(tables[0], 2).count() == 2
+    assert R.get_page(tables[0], "ptwiki", "Sol").collect()[0].edit_count == 1
+    assert R.get_page(tables[0], "ptwiki", "Lake").count() == 0
+
+
+def test_arrival_decides_the_user_and_time_the_latest_time(spark):
+    times = [31, 77, 12, 50]
+    rows = [(f"t{n}", "svwiki", "Lake", f"by{n}", False, time) for n, time in enumerate(times)]
     page = R.page_activity(envelope_rows(spark, rows)).collect()[0]
-    assert (page.last_event_at, page.last_user) == (500, "second")
+    assert (page.last_event_at, page.last_user) == (max(times), "by3")
 
 
 def test_empty_input(spark):
