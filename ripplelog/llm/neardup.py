@@ -23,10 +23,10 @@ BATCH = 32
 #: A pair is pruned when the posterior probability that its similarity reaches the threshold falls
 #: below this.
 MISS = 1e-5
-#: Members of a bucket that are compared with each other in one task.
-TILE = 2048
-#: Documents that every member of their buckets is compared with first.
-PIVOTS = 3
+#: Documents, and shingles of them, in each half of a block that one task compares.
+TILE, TILE_SHINGLES = 2048, 4_000_000
+#: Up to this size, what the buckets join is compared as a whole, above it bucket by bucket.
+WHOLE = 16_384
 
 
 def least_matches(threshold: float, miss: float, hashes: int = HASHES, batch: int = BATCH) -> list[int]:
@@ -45,6 +45,17 @@ def least_matches(threshold: float, miss: float, hashes: int = HASHES, batch: in
     return out
 
 
+def _set_hashes(grams: np.ndarray, bounds: np.ndarray, factors: np.ndarray) -> list[np.ndarray]:
+    """Two numbers that together identify each set; 0 for an empty one."""
+    out, some = [], np.flatnonzero(np.diff(bounds))
+    for factor in factors[:2]:
+        sums = np.zeros(len(bounds) - 1, np.uint64)
+        if len(some):
+            sums[some] = np.add.reduceat(mixed(grams ^ factor), bounds[:-1][some])
+        out.append(sums.view(np.int64))
+    return out
+
+
 def _sign(df: DataFrame) -> DataFrame:
     """(id, n_shingles, h1, h2, bands, signature) of rows (id, text).
 
@@ -53,20 +64,15 @@ def _sign(df: DataFrame) -> DataFrame:
 
     def sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, factors, band_factors = Hasher(), constants(HASHES, 3), constants(ROWS, 4)
-        for batch in batches_of(rows, 4 << 20):
+        for batch in batches_of(rows, 2 << 20):
             grams, bounds = shingles(*hasher.words(batch.column(1)), SHINGLE)
             sizes = np.diff(bounds)
             some = np.flatnonzero(sizes)
             least = np.zeros((HASHES, len(sizes)), np.uint64)
-            h1 = np.zeros(len(sizes), np.uint64)
-            h2 = np.zeros(len(sizes), np.uint64)
-            if len(some):
-                starts = bounds[:-1][some]
-                for k in range(HASHES):
-                    least[k, some] = np.minimum.reduceat(grams * factors[k], starts)
-                least = mixed(least)
-                h1[some] = np.add.reduceat(mixed(grams ^ factors[0]), starts)
-                h2[some] = np.add.reduceat(mixed(grams ^ factors[1]), starts)
+            for k in range(HASHES if len(some) else 0):
+                least[k, some] = np.minimum.reduceat(grams * factors[k], bounds[:-1][some])
+            least = mixed(least)
+            h1, h2 = _set_hashes(grams, bounds, factors)
             by_band = least.reshape(BANDS, ROWS, -1)
             bands = mixed((by_band * band_factors[:, None]).sum(1) + constants(BANDS, 5)[:, None])
             signature = np.ascontiguousarray((least >> np.uint64(48)).astype("<u2").T)
@@ -74,8 +80,8 @@ def _sign(df: DataFrame) -> DataFrame:
                 [
                     batch.column(0),
                     pa.array(sizes, pa.int64()),
-                    pa.array(h1.view(np.int64)),
-                    pa.array(h2.view(np.int64)),
+                    pa.array(h1),
+                    pa.array(h2),
                     pa.array(list(np.ascontiguousarray(bands.T).view(np.int64)), pa.list_(pa.int64())),
                     pa.array([x.tobytes() for x in signature], pa.binary()),
                 ],
@@ -86,110 +92,134 @@ def _sign(df: DataFrame) -> DataFrame:
     return df.mapInArrow(sign, schema)
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
-    data = b"".join(column.to_pylist())
-    return np.frombuffer(data, "<u2").reshape(-1, HASHES)
-
+def _grams(df: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(h1, h2, grams) of the nodes (node, h1, h2): their shingle sets, from rows (id, text)."""
+    wanted = share(df.sparkSession, id_map(nodes, "node"))  # of fixed size
 
-def _prune(pairs: DataFrame, stay: list[int]) -> DataFrame:
-    """Pairs (a, b, sa, sb) that survive every batch of the comparison: (a, b, matches)."""
-
-    def prune(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of(rows, 16 << 20):
-            left, right = _signatures(batch.column(2)), _signatures(batch.column(3))
-            alive = np.arange(len(left))
-            matches = np.zeros(len(left), np.int64)
-            for step, least in enumerate(stay):
-                part = slice(step * BATCH, (step + 1) * BATCH)
-                matches[alive] += (left[alive, part] == right[alive, part]).sum(1)
-                alive = alive[matches[alive] >= least]
-            taken = pa.array(alive)
+    def sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, factors, bits = Hasher(), constants(HASHES, 3), wanted()
+        for batch in batches_of(rows, 2 << 20):
+            batch = batch.filter(in_map(bits, batch.column(2)))
+            grams, bounds = shingles(*hasher.words(batch.column(1)), SHINGLE)
+            h1, h2 = _set_hashes(grams, bounds, factors)
+            data = [grams[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]  # noqa: B905
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(matches[alive])],
-                ["a", "b", "matches"],
+                [batch.column(0), pa.array(h1), pa.array(h2), pa.array(data, pa.binary())],
+                ["node", "h1", "h2", "grams"],
             )
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(prune, "a bigint, b bigint, matches bigint")
+    rows = df.where("id IS NOT NULL").select("id", "text", map_bit("id").alias("bit"))
+    return rows.mapInArrow(sets, "node bigint, h1 bigint, h2 bigint, grams binary")
 
 
-def _tiles(rows: DataFrame, stay: list[int]) -> DataFrame:
-    """Pairs (a, b) that survive within tiles of (bucket, i, j).
+class _Forest:
+    """Union-find over the rows of a block."""
 
-    Rows: bucket, i, j, minor (the row is compared, else compared with), node, root, signature. A
-    tile holds at most TILE rows of each kind, sorted together, and is compared as one block.
-    """
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
 
-    def one(minor, node, root, signature) -> tuple[np.ndarray, np.ndarray]:
-        left, right = np.flatnonzero(minor), np.flatnonzero(~minor)
-        out = [], []
-        for some in np.array_split(left, -(-len(left) // 64)):
-            x, y = np.nonzero(root[some][:, None] != root[right])
-            x, y = some[x], right[y]
-            matches = np.zeros(len(x), np.int64)
-            for step, least in enumerate(stay):
-                part = slice(step * BATCH, (step + 1) * BATCH)
-                matches += (signature[x, part] == signature[y, part]).sum(1)
-                alive = matches >= least
-                x, y, matches = x[alive], y[alive], matches[alive]
-            out[0].append(node[x])
-            out[1].append(node[y])
-        return np.concatenate(out[0]), np.concatenate(out[1])
+    def roots(self) -> np.ndarray:
+        while True:
+            up = self.parent[self.parent]
+            if (up == self.parent).all():
+                return up
+            self.parent = up
 
-    def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in rows:
-            held = batch if held is None else pa.concat_batches([held, batch])
-            key = np.stack([held.column(k).to_numpy() for k in range(3)])
-            ends = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
-            if len(ends):
-                yield from finish(held.slice(0, ends[-1]), ends[:-1])
-                held = held.slice(ends[-1])
-        if held is not None and held.num_rows:
-            yield from finish(held, [])
-
-    def finish(batch: pa.RecordBatch, cuts) -> Iterator[pa.RecordBatch]:
-        minor = batch.column(3).to_numpy(zero_copy_only=False)
-        node, root = batch.column(4).to_numpy(), batch.column(5).to_numpy()
-        signature = _signatures(batch.column(6))
-        bounds = [0, *cuts, batch.num_rows]
-        for a, b in zip(bounds, bounds[1:]):  # noqa: B905
-            if minor[a:b].any() and not minor[a:b].all():
-                x, y = one(minor[a:b], node[a:b], root[a:b], signature[a:b])
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], ["a", "b"])
-
-    return rows.select("bucket", "i", "j", "minor", "node", "root", "signature").mapInArrow(
-        compare, "a bigint, b bigint"
-    )
+    def find(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = x = self.parent[self.parent[x]]
+        return int(x)
 
 
-def _verify(df: DataFrame, pairs: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the threshold; df has rows (id, text)."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-    shared = share(df.sparkSession, id_map(ids, "id"))  # of fixed size
+def _linked(
+    half: np.ndarray, cross: bool, signature: np.ndarray, grams: np.ndarray, bounds: np.ndarray,
+    stay: list[int], threshold: tuple[int, int],
+) -> list[tuple[int, int]]:
+    """Links that join the rows of a block as all its links do; no more of them than rows.
 
-    def sets(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, wanted = Hasher(), shared()
-        for batch in batches_of(rows, 4 << 20):
-            batch = batch.filter(in_map(wanted, batch.column(2)))
-            grams, bounds = shingles(*hasher.words(batch.column(1)), SHINGLE)
-            data = [grams[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]  # noqa: B905
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["id", "grams"])
+    Each row is compared with the later ones (of the other half, if ``cross``): signatures first,
+    batch by batch, then the full sets of the survivors that aren't joined with it yet.
+    """
+    n, size = len(half), np.diff(bounds)
+    shingle = np.unique(grams, return_inverse=True)[1].reshape(-1)
+    marked = np.zeros(int(shingle.max(initial=0)) + 1, bool)
+    forest, links = _Forest(n), []
+    other = np.flatnonzero(half) if cross else None
+    for x in np.flatnonzero(half == 0) if cross else range(n - 1):
+        y = other if cross else np.arange(x + 1, n)
+        # A set that is too small or too large cannot reach the threshold.
+        least, most = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
+        y = y[threshold[1] * least >= threshold[0] * most]
+        matches = np.zeros(len(y), np.int64)
+        for step, fewest in enumerate(stay):
+            part = slice(step * BATCH, (step + 1) * BATCH)
+            matches += (signature[y, part] == signature[x, part]).sum(1)
+            alive = matches >= fewest
+            y, matches = y[alive], matches[alive]
+        if len(y):
+            y = y[forest.roots()[y] != forest.find(x)]
+        if not len(y):
+            continue
+        own = shingle[bounds[x] : bounds[x + 1]]
+        marked[own] = True
+        for some in np.array_split(y, -(-int(size[y].sum()) // 4_000_000)):
+            lengths = size[some]
+            starts = np.cumsum(lengths) - lengths
+            places = np.arange(int(lengths.sum())) + np.repeat(bounds[some] - starts, lengths)
+            both = np.add.reduceat(marked[shingle[places]].astype(np.int64), starts)
+            good = threshold[1] * both >= threshold[0] * (size[x] + lengths - both)
+            for z in some[good].tolist():
+                a, b = forest.find(x), forest.find(z)
+                if a != b:
+                    forest.parent[max(a, b)] = min(a, b)
+                    links.append((int(x), z))
+        marked[own] = False
+    return links
+
+
+def _compare(rows: DataFrame, stay: list[int], threshold: tuple[int, int]) -> DataFrame:
+    """Links (a, b) found in blocks (unit, i, j), which are sorted together.
+
+    Rows: unit, i, j, half, node, signature, grams.
+    """
 
     def compare(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches_of(rows, 16 << 20):
-            linked = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(threshold[1] * both >= threshold[0] * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    grams = df.select("id", "text", map_bit("id").alias("bit")).mapInArrow(sets, "id bigint, grams binary")
-    # Versions of one id are one document: any of them may make the link.
-    of = lambda name, data: grams.select(F.col("id").alias(name), F.col("grams").alias(data))
-    both = pairs.select("a", "b").join(of("a", "ga"), "a").join(of("b", "gb"), "b")
-    return both.select("a", "b", "ga", "gb").mapInArrow(compare, "a bigint, b bigint")
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in rows:
+            key = np.stack([batch.column(k).to_numpy() for k in range(3)])
+            cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(0)) + 1
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):  # noqa: B905
+                if b == a:
+                    continue
+                here = tuple(key[:, a])
+                if held and here != last:
+                    yield from block(held)
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = here
+        if held:
+            yield from block(held)
+
+    def block(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(parts).combine_chunks()
+        if whole.num_rows < 2:
+            return
+        half, node = whole["half"].to_numpy(), whole["node"].to_numpy()
+        data = b"".join(whole["signature"].to_pylist())
+        signature = np.frombuffer(data, "<u2").reshape(-1, HASHES)
+        sets = whole["grams"].to_pylist()
+        bounds = np.cumsum([0] + [len(x) // 8 for x in sets])
+        grams = np.frombuffer(b"".join(sets), np.uint64)
+        cross = whole["i"][0] != whole["j"][0]
+        found = _linked(half, cross, signature, grams, bounds, stay, threshold)
+        if found:
+            a, b = np.array(found).T
+            yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
+
+    return rows.select("unit", "i", "j", "half", "node", "signature", "grams").mapInArrow(
+        compare, "a bigint, b bigint"
+    )
 
 
 def near_duplicates(
@@ -205,13 +235,15 @@ def near_duplicates(
     similarity; a component is what links reach, named by its least id, and kept is that id's.
 
     1. Equal sets become one node. MinHash bands put nodes into buckets.
-    2. Each node is compared with a few pivots of each of its buckets, batch by batch of its
-       signature, and its likeliest survivor is verified on the full sets.
-    3. In each bucket that still has several components, all pairs of nodes of different
-       components are compared in tiles, save those of step 2, and every survivor of either step
-       whose components still differ is verified on the full sets.
+    2. Nodes that buckets join, directly or through others, make a unit of comparison; if there are
+       more than ``WHOLE`` of them, each of their buckets is one. A unit is cut into halves of
+       bounded size, and each pair of halves is a block, compared in one task.
+    3. In a block, signatures are compared batch by batch, and a pair is dropped once the posterior
+       probability that it reaches the threshold is below ``miss``. Survivors are verified on their
+       full sets, unless links have joined them already. A block returns the links that join its
+       rows, fewer than it has rows; components of these links are those of all links.
 
-    So no pair that a bucket holds is left out, and pairs are only written after pruning.
+    So no pair that shares a bucket is left out, and no list of pairs is ever written.
 
     Null and blank texts have no shingles and link with nothing. Null ids take no part: component
     null, kept. Rows of one id are one document, linked with each other. Equal rows get equal results.
@@ -223,65 +255,52 @@ def near_duplicates(
     used = signed.where("id IS NOT NULL AND n_shingles > 0")
     nodes = cut(
         used.groupBy("h1", "h2").agg(
-            F.min("id").alias("node"), F.first("bands").alias("bands"), F.first("signature").alias("signature")
+            F.min("id").alias("node"),
+            F.max("n_shingles").alias("size"),
+            F.first("bands").alias("bands"),
+            F.first("signature").alias("signature"),
         ),
         "nodes",
     )
     classes = nodes.select("h1", "h2", "node")
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
-    pivots = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"].alias(f"p{k}") for k in range(PIVOTS)]
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = cut(members.join(shared.select("bucket"), "bucket"), "members")
-    buckets = cut(members.groupBy("bucket").agg(F.count("*").alias("n"), *pivots), "buckets")
-
-    # Step 2
-    met = members.join(buckets, "bucket").select(
-        "node", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS)]))).alias("pivot")
+    # Two sets may have one id; within the comparison each set is a node of its own.
+    key = F.xxhash64("h1", "h2").alias("key")
+    members = nodes.select(key, "size", F.explode("bands").alias("bucket"))
+    buckets = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("least")).where("n > 1")
+    members = cut(members.join(buckets.select("bucket", "least"), "bucket"), "members")
+    groups = components(members.select(F.col("key").alias("a"), F.col("least").alias("b")))
+    groups = groups.select(F.col("node").alias("key"), F.col("root").alias("group"))
+    sizes = groups.groupBy("group").agg(F.count("*").alias("n")).where(f"n > {WHOLE}")
+    placed = members.select("key", "size", "bucket").join(groups, "key").join(
+        sizes.select("group", F.lit(True).alias("large")), "group", "left"
     )
-    met = met.where("node <> pivot").select(
-        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
+    placed = placed.select("key", "size", F.when(F.col("large"), F.col("bucket")).otherwise(F.col("group")).alias("unit"), F.coalesce("large", F.lit(False)).alias("large"))
+    placed = cut(placed.distinct(), "placed")
+    units = placed.groupBy("unit", "large").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
+    halves = F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("shingles") / TILE_SHINGLES)).cast("int")
+    units = units.where("n > 1").select("unit", "large", halves.alias("halves"))
+    mine = F.pmod(F.xxhash64("key"), F.col("halves")).cast("int")
+    blocks = placed.join(units, ["unit", "large"]).select(
+        # A bucket and a group may have the same number.
+        F.xxhash64("unit", "large").alias("unit"), "key", mine.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("halves") - 1)).alias("with"),
+    )
+    blocks = blocks.select(
+        "unit",
+        "key",
+        F.least("mine", "with").alias("i"),
+        F.greatest("mine", "with").alias("j"),
+        (F.col("mine") > F.col("with")).cast("int").alias("half"),
     )
-    sign_of = lambda name, data: nodes.groupBy(F.col("node").alias(name)).agg(F.first("signature").alias(data))
-    signs = met.distinct().join(sign_of("a", "sa"), "a").join(sign_of("b", "sb"), "b")
-    survivors = cut(_prune(signs, stay), "survivors")
-    ends = survivors.select("a", "b", "matches", F.explode(F.array("a", "b")).alias("node"))
-    best = ends.groupBy("node").agg(F.max(F.struct("matches", "a", "b")).alias("m")).select("m.a", "m.b").distinct()
+    chosen = nodes.select("h1", "h2", "node", "signature", key).join(placed.select("key").distinct(), "key", "left_semi")
+    grams = _grams(plain, chosen.select("node")).dropDuplicates(["node", "h1", "h2"])
+    full = chosen.join(grams, ["node", "h1", "h2"]).select("key", "node", "signature", "grams")
+    rows = blocks.join(full, "key").repartition("unit", "i", "j").sortWithinPartitions("unit", "i", "j")
+    links = _compare(rows, stay, threshold)
+
     versions = used.join(classes, ["h1", "h2"]).select("id", "node")
     several = versions.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
     versions = versions.join(several, "id").select("a", F.col("node").alias("b"))
-    links = cut(_verify(plain, best, threshold).union(versions), "verified")
-    roots = components(links)
-
-    # Step 3
-    rooted = lambda frame, name, root: (
-        frame.join(roots.select(F.col("node").alias(name), F.col("root").alias(root)), name, "left").withColumn(
-            root, F.coalesce(root, name)
-        )
-    )
-    apart = rooted(rooted(survivors, "a", "ra"), "b", "rb").where("ra <> rb").select("a", "b")
-    is_pivot = F.col("node").isin(*[F.col(f"p{k}") for k in range(PIVOTS)])
-    others = members.join(buckets.where("n > 2"), "bucket").where(~is_pivot).select("bucket", "node")
-    others = rooted(others, "node", "root")
-    sizes = others.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    mixed_buckets = sizes.groupBy("bucket").agg(
-        F.max(F.struct("n", "root"))["root"].alias("major"), F.sum("n").alias("n"), F.count("*").alias("roots"),
-        F.max("n").alias("most"),
-    )
-    mixed_buckets = mixed_buckets.where("roots > 1").select("bucket", "major", "n", (F.col("n") - F.col("most")).alias("few"))
-    unsure = others.join(mixed_buckets, "bucket")
-    parts = lambda n: F.ceil(F.col(n) / TILE).cast("int")
-    upto = lambda n: F.sequence(F.lit(0), F.greatest(parts(n) - 1, F.lit(0)))
-    spread = lambda n: F.pmod(F.xxhash64("node"), F.greatest(parts(n), F.lit(1))).cast("int")
-    major = F.col("root") == F.col("major")
-    compared = unsure.where(~major).select("bucket", spread("few").alias("i"), F.explode(upto("n")).alias("j"), F.lit(True).alias("minor"), "node", "root")
-    against = unsure.select("bucket", F.explode(upto("few")).alias("i"), spread("n").alias("j"), F.lit(False).alias("minor"), "node", "root")
-    tiles = compared.union(against).join(sign_of("node", "signature"), "node")
-    tiles = tiles.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    found = _tiles(tiles, stay).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cut(found.union(apart).distinct(), "rest")
-    links = cut(_verify(plain, rest, threshold).union(links), "links")
-    roots = components(links)
-
+    roots = components(links.union(versions))
     named = classes.join(roots, "node", "left").select("h1", "h2", F.coalesce("root", "node").alias("root"))
     result = signed.drop("bands", "signature").join(named, ["h1", "h2"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("root")), "id"))
@@ -289,7 +308,7 @@ def near_duplicates(
     result = cut(
         result.select("id", "n_shingles", component.alias("component_id"), kept.alias("kept")), "near"
     )
-    for frame in (signed, nodes, members, buckets, survivors, rest, links):
+    for frame in (signed, nodes, members, placed):
         drop_cut(frame)
     return result
 

@@ -52,8 +52,9 @@ def corpus(prose):
 def test_components_equal_brute_force(docs, prose, monkeypatch):
     texts = corpus(prose)
     want = brute(texts)
-    for tile in (2048, 3):  # small tiles cut every bucket
+    for tile, whole in ((2048, 10_000), (7, 10_000), (3, 5)):  # blocks of groups, and of buckets
         monkeypatch.setattr(N, "TILE", tile)
+        monkeypatch.setattr(N, "WHOLE", whole)
         got = {r.id: (r.n_shingles, r.component_id, r.kept) for r in N.near_duplicates(docs(texts)).collect()}
         assert got == {i: (n, c, i == c) for i, (n, c) in enumerate(want)}
 
