@@ -548,6 +548,17 @@ def sse_stream_payloads(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@_query
+def stream_produced(spark, sf_dir):
+    """Capture to raw topic as a stream."""
+    root = workspace(spark, "log")
+    drain(C.producer(spark, _capture(spark, sf_dir), root, workspace(spark, "checkpoint")))
+    rows = log_batch(spark, root, S.TOPIC_RAW)
+    return rows.select(
+        F.col("key").cast("string").alias("key"), "partition", text(F.col("value")).alias("value")
+    )
+
+
 @_query
 def produced_log(spark, sf_dir):
     """Capture to raw topic: key, partition and value of every keyable event."""

@@ -68,6 +68,7 @@ def _bodies() -> dict[str, str]:
       AND json_type(doc) = 'OBJECT'
       AND json_type(doc, '$.wiki') = 'VARCHAR' AND json_type(doc, '$.title') = 'VARCHAR'"""
     key = "(doc->>'$.wiki') || ':' || (doc->>'$.title')"
+    produced = f"SELECT {key} AS key, partition, payload AS value FROM parsed WHERE {keyed}"
     return {
         "top_pages": f"{_PAGES} ORDER BY edit_count DESC, wiki, title LIMIT 10",
         "page_key": f"""SELECT event_id, redelivery, CASE WHEN {keyed} THEN {key} END AS page_key
@@ -155,8 +156,8 @@ def _bodies() -> dict[str, str]:
         "sse_payloads": "SELECT payload FROM raw_log",
         "sse_server_payloads": "SELECT payload FROM raw_log",
         "sse_stream_payloads": "SELECT payload FROM raw_log",
-        "produced_log": f"""SELECT {key} AS key, partition, payload AS value FROM parsed
-          WHERE {keyed}""",
+        "produced_log": produced,
+        "stream_produced": produced,
     }
 
 

@@ -39,31 +39,46 @@ def sse_capture(
 
     An event ends at a blank line or the end of its file. Comments, other fields and events
     without data give no row. Line ends may be ``\\n`` or ``\\r\\n`` in any mix. ``position`` adds
-    the columns of :data:`POSITION` (batch reads only).
+    the columns of :data:`POSITION`.
 
     Files are split between tasks. By default the lines of a file block are put together in one
     task and events cut by a block end are joined afterwards, which is right for any capture and
     shuffles it once. ``single_blank`` says that events are separated by exactly one blank line
     (``crlf``: that ends in ``\\r\\n``), as servers write them: the blank line is then the record
     separator of the text source and nothing is shuffled. Runs of blank lines are also read right
-    that way unless a file is split inside of one. Streams always read so.
+    that way unless a file is split inside of one.
+
+    A stream takes new files as they appear, each whole, so it reads any capture right; a file has
+    to fit into a row (rotate captures well below 1 GB).
     """
-    if stream or single_blank:
-        return _by_separator(spark, path, stream, crlf, position)
+    if stream:
+        return _by_file(spark, path, position)
+    if single_blank:
+        return _by_separator(spark, path, crlf, position)
     return _by_lines(spark, path, position)
 
 
-def _by_separator(
-    spark: SparkSession, path: str, stream: bool, crlf: bool, position: bool
-) -> DataFrame:
-    reader = spark.readStream if stream else spark.read
-    chunks = reader.option("lineSep", "\r\n\r\n" if crlf else "\n\n").text(path)
-    # A chunk can still hold blank lines with the other line end.
-    unix = F.regexp_replace(F.col("value"), r"\r(\n|\z)", "$1")
+def _events(text: Column) -> Column:
+    """Texts between blank lines, whose own ends may be of either kind."""
+    return F.split(F.regexp_replace(text, r"\r(\n|\z)", "$1"), "\n\n")
+
+
+def _by_file(spark: SparkSession, path: str, position: bool) -> DataFrame:
+    files = spark.readStream.text(path, wholetext=True)
+    events = files.select(*_where(), F.posexplode(_events(F.col("value"))).alias("seq", "_event"))
+    return _payloads(events.withColumn("seq", F.col("seq").cast("bigint")), position)
+
+
+def _by_separator(spark: SparkSession, path: str, crlf: bool, position: bool) -> DataFrame:
+    chunks = spark.read.option("lineSep", "\r\n\r\n" if crlf else "\n\n").text(path)
     where = _where() if position else []
-    events = chunks.select(*where, F.explode(F.split(unix, "\n\n")).alias("_event"))
+    events = chunks.select(*where, F.explode(_events(F.col("value"))).alias("_event"))
     if position:
         events = events.withColumn("seq", F.monotonically_increasing_id())
+    return _payloads(events, position)
+
+
+def _payloads(events: DataFrame, position: bool) -> DataFrame:
     lines = F.regexp_extract_all(F.col("_event"), F.lit(_DATA_LINE), F.lit(1))
     payloads = events.withColumn("payload", _joined(lines)).where(F.col("payload") != "")
     return payloads.select("payload", *(POSITION if position else []))

@@ -38,6 +38,23 @@ def produce(spark: SparkSession, capture: str, log_root: str, segment: str, **ho
     append_log(messages, log_root, segment, POSITION, BLOCK, cache=True)
 
 
+def producer(
+    spark: SparkSession,
+    capture: str,
+    log_root: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append the keyable events of capture files to the raw topic as the files appear."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        messages = produced(batch, "payload", *POSITION)
+        append_log(messages, log_root, f"producer-{batch_id:012d}", POSITION, BLOCK, cache=True)
+
+    source = sse_capture(spark, capture, stream=True, position=True)
+    return consume(source, handle, checkpoint, trigger)
+
+
 def routed_segment(raw: DataFrame, log_root: str, segment: str) -> None:
     """Append the routed messages of some raw log rows as one segment."""
     routed = route(raw).withColumn("source_chunk", chunk_of(F.col("source_offset")))
