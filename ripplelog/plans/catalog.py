@@ -298,6 +298,17 @@ def backup_round_trip(spark, sf_dir):
     return rows.select(*S.ENVELOPE_COLUMNS, "p")
 
 
+@_query
+def backup_rewritten(spark, sf_dir):
+    """The same objects put twice: lines per partition stay as they are."""
+    root = workspace(spark, "backup")
+    values = encode(*S.ENVELOPE_COLUMNS).cast("binary").alias("value")
+    log = _validated(spark, sf_dir).select("topic", "partition", "offset", values)
+    for _ in range(2):
+        write_backup(log, root, BACKFILL_ROWS)
+    return K.backup_lines(spark, root).groupBy("p").agg(F.count(F.lit(1)).alias("lines"))
+
+
 @_query
 def restore_round_trip(spark, sf_dir):
     """Backup lines put back on a log: same keys, partitions and order, offsets without gaps."""
@@ -336,6 +347,13 @@ def stream_wiki_stats(spark, sf_dir):
     return R.wiki_stats_ranked(P.current(spark, model, "wiki_stats"))
 
 
+@_query
+def inspect_report(spark, sf_dir):
+    """Report over the stored read model: its counts beside each of its top pages."""
+    report = P.inspect(spark, _projected(spark, sf_dir)[1])
+    return report["top"].join(report["counts"])  # one row of counts
+
+
 @_query
 def stream_ledger(spark, sf_dir):
     _, model = _projected(spark, sf_dir)

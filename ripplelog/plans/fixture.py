@@ -1,7 +1,8 @@
 """Raw change events derived from the ``events`` table, in Spark and as SQL for the oracle.
 
-Every event is delivered once and every 25th again. Some deliveries carry a defect: cut text, text
-after the document, a number as text, or a missing field. ``FIXTURES.md`` lists the rules.
+Every event is delivered once and every 25th again, then with another user, bot flag and time. Some
+deliveries carry a defect: cut text, text after the document, a wrong type in a used, an unused or a
+nested field, or a missing field. ``FIXTURES.md`` lists the rules.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ COLUMNS = {
     "wiki": "CASE user_id % 5 WHEN 0 THEN 'enwiki' WHEN 1 THEN 'dewiki' WHEN 2 THEN 'frwiki'"
     " WHEN 3 THEN 'commonswiki' ELSE 'wikidatawiki' END",
     "title": "concat('Page ', CAST(user_id % 40 AS {text}))",
-    "editor": "concat('User ', CAST(event_id % 17 AS {text}))",
-    "bot": "event_id % 4 = 0",
+    "editor": "concat('User ', CAST((event_id + 5 * redelivery) % 17 AS {text}))",
+    "bot": "(event_id + redelivery) % 4 = 0",
     "defect": "event_id % 50",
 }
 
@@ -41,14 +42,15 @@ DOCUMENT = """concat(
   ',"title_url":"https://', wiki, '.example.org/', CAST(user_id AS {text}),
   '","comment":"edit of ', event_type, '","timestamp":',
   CASE WHEN defect = 29 THEN '0' WHEN defect = 31 THEN concat('"', CAST(seconds AS {text}), '"')
-       ELSE CAST(seconds AS {text}) END,
+       ELSE CAST(seconds + 60 * redelivery AS {text}) END,
   ',"user":"', CASE WHEN defect = 23 THEN '' ELSE editor END,
   '","bot":', CASE WHEN bot THEN 'true' ELSE 'false' END,
-  CASE WHEN event_id % 3 = 0 THEN ''
+  CASE WHEN defect = 43 THEN ',"length":{{"old":"1"}}' WHEN event_id % 3 = 0 THEN ''
        ELSE concat(',"minor":true,"length":{{"old":', CAST(event_id % 900 AS {text}), ',"new":',
                    CAST(event_id % 900 + 7 AS {text}), '}},"revision":{{"old":',
                    CAST(event_id AS {text}), ',"new":', CAST(event_id + 1 AS {text}), '}}') END,
-  ',"server_name":"', wiki, '.example.org","server_url":"https://', wiki, '.example.org"',
+  ',"server_name":', CASE WHEN defect = 41 THEN '7' ELSE concat('"', wiki, '.example.org"') END,
+  ',"server_url":"https://', wiki, '.example.org"',
   CASE WHEN defect = 19 THEN '' ELSE concat(',"wiki":"', wiki, '"') END,
   '}}')"""
 
@@ -179,6 +181,9 @@ def oracle_ctes() -> str:
     AND coalesce(json_type(doc, '$.wiki') IN ('VARCHAR', 'NULL'), true)
     AND coalesce(json_type(doc, '$.user') IN ('VARCHAR', 'NULL'), true)
     AND coalesce(json_type(doc, '$.bot') IN ('BOOLEAN', 'NULL'), true)
+    AND coalesce(json_type(doc, '$.server_name') IN ('VARCHAR', 'NULL'), true)
+    AND coalesce(json_type(doc, '$.length') IN ('OBJECT', 'NULL'), true)
+    AND coalesce(json_type(doc, '$.length.old') IN ('BIGINT', 'UBIGINT', 'NULL'), true)
     AND coalesce(json_type(doc, '$.timestamp') IN ('BIGINT', 'UBIGINT', 'NULL'), true) AS decode_ok,
     coalesce(doc->>'$.meta.id', '') AS ev_id,
     coalesce(doc->>'$.type', '') AS ev_type,

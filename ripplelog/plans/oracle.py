@@ -122,6 +122,10 @@ def _bodies() -> dict[str, str]:
           ORDER BY c DESC, wiki LIMIT 10""",
         "backup_round_trip": """SELECT event_id, event_type, wiki, title, "user", bot, occurred_at,
           partition AS p FROM envelopes""",
+        "backup_rewritten": "SELECT partition AS p, count(*) AS lines FROM envelopes GROUP BY partition",
+        "inspect_report": f"""SELECT *, (SELECT count(*) FROM pages_of) AS pages,
+          (SELECT count(*) FROM unique_events) AS processed_events
+          FROM ({_PAGES}) ORDER BY edit_count DESC, wiki, title LIMIT 10""",
         "restore_round_trip": f"""SELECT *, wiki || ':' || title AS key FROM ({_RENUMBERED})""",
         "stream_page_activity": _PAGES,
         "stream_wiki_stats": _STATS,
