@@ -204,7 +204,7 @@ class Network:
         g["input"], g["input0"] = projected_inputs.T @ d_word, d_word.sum(0)
         return loss, g, d_word @ self.w["input"].T
 
-    def logits(self, coded: Coded, chunk: int = 8192) -> np.ndarray:
+    def logits(self, coded: Coded, chunk: int = 2048) -> np.ndarray:
         """For each text, the logit of its most toxic window."""
         text, first, length = windows(coded)
         x, _ = self.inputs(self.lookup(coded), coded.grams, coded.bounds)
@@ -249,22 +249,22 @@ def train(texts: list[str], labels: list[int], steps: int = 96, batch: int = 102
     for label in (0, 1):
         of_label = rng.permutation(np.flatnonzero(target == label))
         aside[of_label[: len(of_label) // 5]] = True
-    of_text = np.repeat(np.arange(len(texts)), np.diff(coded.offsets))
-    pairs = np.unique(coded.word.astype(np.int64) * (len(texts) + 1) + of_text)
-    pairs = pairs[~aside[pairs % (len(texts) + 1)]]
-    whose, text_of = pairs // (len(texts) + 1), pairs % (len(texts) + 1)
+    n_word, t_word, n_gram, t_gram = (np.zeros(n) for n in [len(coded.hashes)] * 2 + [BUCKETS] * 2)
+    for i in np.flatnonzero(~aside):
+        words = np.unique(coded.word[coded.offsets[i] : coded.offsets[i + 1]])
+        size = coded.bounds[words + 1] - coded.bounds[words]
+        places = np.arange(int(size.sum())) + np.repeat(coded.bounds[words] - (np.cumsum(size) - size), size)
+        grams = np.unique(coded.grams[places])
+        n_word[words] += 1
+        n_gram[grams] += 1
+        t_word[words] += target[i]
+        t_gram[grams] += target[i]
     share_toxic = float(target[~aside].mean()) if len(texts) else 0.0
 
-    def spread(which: np.ndarray, toxic: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        n, t = np.bincount(which, minlength=size), np.bincount(which, toxic, minlength=size)
-        return n, (t - n * share_toxic) / np.sqrt(n * share_toxic * (1 - share_toxic) + 1)
+    def lean(n: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        return (toxic - n * share_toxic) / np.sqrt(n * share_toxic * (1 - share_toxic) + 1)
 
-    n_word, z_word = spread(whose, target[text_of], len(coded.hashes))
-    of_gram = np.repeat(np.arange(len(pairs)), np.diff(coded.bounds)[whose])
-    first_gram = np.repeat(coded.bounds[whose], np.diff(coded.bounds)[whose])
-    within = np.arange(len(of_gram)) - np.searchsorted(of_gram, of_gram)
-    in_text = np.unique(coded.grams[first_gram + within] * (len(texts) + 1) + text_of[of_gram])
-    n_gram, z_gram = spread(in_text // (len(texts) + 1), target[in_text % (len(texts) + 1)], BUCKETS)
+    z_word, z_gram = lean(n_word, t_word), lean(n_gram, t_gram)
     common = np.argsort(-n_word, kind="stable")[:MOST_WORDS]
     common = common[n_word[common] >= KNOWN_FROM]
     common = common[np.argsort(coded.hashes[common])]
