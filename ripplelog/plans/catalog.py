@@ -30,7 +30,7 @@ from ripplelog.session import configure, workspace
 from ripplelog.sinks.objects import restore, write_backup, write_lake
 from ripplelog.sinks.olap import events_table, write_events_ordered
 from ripplelog.sources import lake as K
-from ripplelog.sources.log import log_batch, segment_ranges, topics
+from ripplelog.sources.log import log_batch, segment_ranges, stored_topics
 from ripplelog.sources.sse import sse_capture
 from ripplelog.streaming import consumers as C
 from ripplelog.streaming import projector as P
@@ -238,7 +238,7 @@ def _routed_log(spark: SparkSession, sf_dir: str, segments: int = 1) -> str:
 
 @_query
 def log_topics(spark, sf_dir):
-    return topics(log_batch(spark, _routed_log(spark, sf_dir)))
+    return stored_topics(spark, _routed_log(spark, sf_dir))
 
 
 @_query

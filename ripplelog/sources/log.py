@@ -114,6 +114,12 @@ def topics(log: DataFrame) -> DataFrame:
     return log.select("topic").distinct().orderBy("topic")
 
 
+def stored_topics(spark: SparkSession, root: str) -> DataFrame:
+    """The same for a file log, from the offset ranges of its appends and not from its rows."""
+    ranges = segment_ranges(spark, root)
+    return topics(spark.createDataFrame([], RANGES) if ranges is None else ranges)
+
+
 _BROKEN = "_broken"
 
 

@@ -15,6 +15,7 @@ from ripplelog.sources.log import (
     log_batch,
     log_rows,
     segment_ranges,
+    stored_topics,
     topics,
 )
 
@@ -121,6 +122,8 @@ def test_topics_and_segments(spark, tmp_path):
     append_log(messages.withColumn("topic", F.lit(S.TOPIC_DEAD_LETTER)), root, "b", ["n"])
     log = log_batch(spark, root)
     assert [r.topic for r in topics(log).collect()] == [S.TOPIC_DEAD_LETTER, S.TOPIC_VALIDATED]
+    assert stored_topics(spark, root).collect() == topics(log).collect()
+    assert stored_topics(spark, root + "/none").collect() == []
     dead = log_batch(spark, root, S.TOPIC_DEAD_LETTER)
     assert {r.partition for r in dead.collect()} == {0}
     plan = dead._jdf.queryExecution().executedPlan().toString()
