@@ -7,8 +7,8 @@ A record file is a row of frames, each of them::
 
 All numbers are little-endian. A checksum is CRC-32, masked by rotating it right by 15 bits and
 adding a constant, so that a checksum stored inside a payload doesn't check itself. The payload is
-one flag byte (1: the id is null), the id as int64 and the token ids as uint32. Beside each file
-``x.rec`` lies ``x.idx``, the uint64 offset of each frame, so a reader can take frames in any order.
+one flag byte (1: the id is null), one byte with the width of a token id (2 or 4), the id as int64
+and the token ids as unsigned numbers of that width. Beside each file ``x.rec`` lies ``x.idx``, the uint64 offset of each frame, so a reader can take frames in any order.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,14 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ripplelog.llm.frames import batches_of, cut
+from ripplelog.llm.frames import batches_of, cut, kept
 from ripplelog.session import workspace
 
 END_ID = 2
 #: Frames of one file that a reading task takes.
 READ_FRAMES = 4096
-_LENGTH, _CHECK, _HEAD = "<Q", "<I", "<Bq"
-_HEAD_BYTES = 9
+_LENGTH, _CHECK, _HEAD = "<Q", "<I", "<BBq"
+_HEAD_BYTES = 10
 
 
 def masked(data: bytes) -> int:
@@ -63,12 +64,14 @@ def unframe(file, offset: int) -> bytes:
 class Encoder:
     """Token ids of texts by a public tokenizer's file.
 
-    Byte-level BPE cuts a text into pieces first and codes each piece by itself, and a space that
-    stands before a character other than white space always begins a piece. So a text is cut there,
-    and what each part is coded as is kept for the next time, up to ``most`` parts.
+    Byte-level BPE cuts a text into pieces first and codes each piece by itself. Where no two white
+    space characters meet, a space always begins a piece, a line feed is one, and a full stop or
+    comma after a word is one. So a text is cut at spaces and line feeds, and what each part is
+    coded as is kept for the next time, up to ``most`` parts. Other texts are only cut at spaces
+    before a character that isn't white space.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -76,31 +79,69 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[str, bytes] = {}
         self.most = most
-        self.joined = re.compile(r" (?:\s|$)")
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.feed, *marks = self._encode(["\n", ".", ","])
+        self.marks = dict(zip(".,", marks, strict=True))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        kind = "H" if self.width == 2 else "I"
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in coded]
-
-    def __call__(self, text: str) -> bytes:
-        """The ids as little-endian uint32."""
-        if not text:
-            return b""
-        if self.joined.search(text):
-            parts = re.split(r" (?=\S)", text)
-        else:
-            parts = text.split(" ")
-        # Only the first part stands without a space before it.
-        first, rest = parts[0], parts[1:]
-        known = self.known
-        new = [x for x in set(rest) if x not in known]
-        if new:
-            if len(known) + len(new) > self.most:
-                known.clear()
-                new = list(set(rest))
-            known.update(zip(new, self._encode([" " + x for x in new]), strict=True))
-        head = self._encode([first])[0] if first else b""
-        return head + b"".join([known[x] for x in rest])
+        return [array(kind, x.ids).tobytes() for x in coded]
+
+    def _encode_words(self, words: list[str], before: str) -> list[bytes]:
+        """Codes of words without white space, each after ``before``; many go through as one text.
+
+        A line feed between them is a piece and a token by itself.
+        """
+        out = []
+        for a in range(0, len(words), 1000):
+            some = words[a : a + 1000]
+            data = self._encode([before + f"\n{before}".join(some)])[0]
+            ids = np.frombuffer(data, f"<u{self.width}")
+            cuts = np.flatnonzero(ids == np.frombuffer(self.feed, ids.dtype)[0]) * self.width
+            bounds = [-self.width, *cuts.tolist(), len(data)]
+            parts = [data[i + self.width : j] for i, j in zip(bounds, bounds[1:])]  # noqa: B905
+            out += parts if len(parts) == len(some) else self._encode([before + x for x in some])
+        return out
+
+    def _learn(self, parts: set[str]) -> None:
+        """Parts that begin with a line feed stand for themselves, the others follow a space."""
+        known, marks = self.known, self.marks
+        new = parts.difference(known)
+        if len(known) + 2 * len(new) > self.most:
+            known.clear()
+            new = parts
+        marked = {x for x in new if x[-1:] in marks and x[:-1].isalpha()}
+        plain = (new - marked | {x[:-1] for x in marked}).difference(known)
+        words = [x for x in plain if x.isalnum()]
+        known.update(zip(words, self._encode_words(words, " "), strict=True))
+        lines = [x for x in plain if x[:1] == "\n" and x[1:].isalnum()]
+        known.update(
+            (x, self.feed + code) for x, code in zip(lines, self._encode_words([x[1:] for x in lines], ""), strict=True)
+        )
+        others = list(plain.difference(words, lines))
+        known.update(zip(others, self._encode([x if x[:1] == "\n" else " " + x for x in others]), strict=True))
+        known.update((x, known[x[:-1]] + marks[x[-1]]) for x in marked)
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian numbers of ``width`` bytes."""
+        parts = []
+        for text in texts:
+            if not text:
+                parts.append([])
+            elif len(" ".join(text.split())) != len(text):  # white space meets, or stands at an end
+                first, *rest = re.split(r" (?=\S)", text)
+                parts.append((self._encode([first])[0] if first else b"", rest))
+            else:
+                # The first part is coded as after a line feed, which is taken off again.
+                parts.append((None, ("\n" + text.replace("\n", " \n")).split(" ")))
+        self._learn({x for p in parts if p for x in p[1]})
+        code = self.known.__getitem__
+        out = []
+        for p in parts:
+            whole = b"".join(map(code, p[1])) if p else b""
+            out.append(whole[len(self.feed) :] if p and p[0] is None else (p[0] if p else b"") + whole)
+        return out
 
 
 def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -132,18 +173,18 @@ def write_records(
         name, offsets, tokens, at = f"part-{part:06d}-{uuid.uuid4().hex}", [], 0, 0
         store, root = _filesystem(folder)
         out = None
-        for batch in batches_of(rows, 8 << 20):
+        for batch in batches_of(rows, 2 << 20):
             if out is None:
-                encode = Encoder(tokenizer)
+                encode = kept(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
                 store.create_dir(root, recursive=True)
                 out = store.open_output_stream(f"{root}/{name}.rec")
-            end = struct.pack("<I", end_id)
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = encode(text or "") + end
-                data = frame(struct.pack(_HEAD, key is None, key or 0) + ids)
+            end = end_id.to_bytes(encode.width, "little")
+            for key, ids in zip(batch.column(0).to_pylist(), encode.many(batch.column(1).to_pylist()), strict=True):
+                ids += end
+                data = frame(struct.pack(_HEAD, key is None, encode.width, key or 0) + ids)
                 out.write(data)
                 offsets.append(at)
-                at, tokens = at + len(data), tokens + len(ids) // 4
+                at, tokens = at + len(data), tokens + len(ids) // encode.width
         if out is not None:
             out.close()
             with store.open_output_stream(f"{root}/{name}.idx") as index:
@@ -186,9 +227,9 @@ def read_records(
     def _decoded(job: dict, numbers: np.ndarray, payloads: Iterable[bytes]) -> pa.RecordBatch:
         ids, tokens = [], []
         for payload in payloads:
-            missing, key = struct.unpack_from(_HEAD, payload)
+            missing, width, key = struct.unpack_from(_HEAD, payload)
             ids.append(None if missing else key)
-            tokens.append(payload[_HEAD_BYTES:])
+            tokens.append(np.frombuffer(payload, f"<u{width}", offset=_HEAD_BYTES).astype("<u4").tobytes())
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([job["part"]] * len(ids), pa.int64()),
