@@ -317,4 +317,5 @@ def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", **options) -> Da
     """One document of each group of near duplicates, with the columns of ``df``."""
     groups = near_duplicates(df, id_col=id_col, **options)
     gone = groups.where(~F.col("kept")).select(F.col("id").alias("gone")).distinct()
-    return df.join(gone, df[id_col] == gone["gone"], "left_anti")
+    # One kind of join at every size, so that what is shuffled grows with the documents.
+    return df.join(gone.hint("merge"), df[id_col] == gone["gone"], "left_anti")
