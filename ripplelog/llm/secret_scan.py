@@ -18,16 +18,19 @@ HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20
-#: Bits per character that a window must reach, by the class of characters of its candidate.
+#: Bits per character that a window must reach, by the class of its characters.
 THRESHOLDS = {"hex": 3.0, "base64": 3.8, "letters": 4.15}
-#: Strings that look random and are no secrets.
+#: Letters of each case in a window that words in camel case don't have.
+MIXED = 6
+#: Parts of a candidate, between its marks, that are no secrets.
 ALLOWED = (
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",  # identifiers of version 1 to 8
-    r"(https?|ftp|www)\W.*",
-    r"\d{4}-\d\d-\d\d[T_].*",
-    r"[\d.+/_=-]+",  # numbers
-    r".*(EXAMPLE|example|0123456789|abcdefghij).*",
-    r"([A-Za-z]+[-_./])+[A-Za-z]*\d{0,4}",  # words joined by marks
+    r"(https?|ftp|www)[^A-Za-z0-9][^/=]*",  # up to the end of the host
+    r"\d{4}-\d\d-\d\d[T_]\d{0,6}",
+    r"\d[\d.+/_=-]*\d",  # numbers
+    r"[A-Za-z0-9]*(EXAMPLE|example|0123456789|abcdefghij)[A-Za-z0-9]*",
+    r"[A-Z]?[a-z]{3,18}|[A-Z]{4,18}",  # a word
+    r"^([A-Za-z]{1,19}[-_./])+[A-Za-z]{0,19}\d{0,4}$",  # nothing but words joined by marks
 )
 
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -39,27 +42,53 @@ def _char_class(text: str) -> str:
     return "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", text) else "base64"
 
 
-def high_entropy(text: str, window: int, threshold: float) -> list[tuple[int, int]]:
-    """Stretches covered by windows of at least ``threshold`` bits per character.
+def _kind_of(char: str) -> int:
+    """Digit, a-f, other small letter, A-F, other capital letter, mark."""
+    if "0" <= char <= "9":
+        return 0
+    if "a" <= char <= "z":
+        return 1 if char <= "f" else 2
+    if "A" <= char <= "Z":
+        return 3 if char <= "F" else 4
+    return 5
 
-    The window's sum of c*log2(c) changes by two terms as it moves by one character.
+
+def _window_class(n: list[int], window: int) -> str:
+    small, capital = n[1] + n[2], n[3] + n[4]
+    if n[0] and (n[0] + n[1] == window or n[0] + n[3] == window) and n[0] < window:
+        return "hex"
+    return "base64" if min(small, capital) >= MIXED or (n[0] and small + capital) else "letters"
+
+
+def high_entropy(text: str, window: int, threshold: float, thresholds: dict[str, float] | None = None) -> list[tuple[int, int]]:
+    """Stretches covered by windows of at least ``threshold`` bits per character, or of what
+    ``thresholds`` ask of the window's own class if that is less.
+
+    The window's sum of c*log2(c) changes by two terms as it moves by one character, and so do the
+    counts of its classes of characters.
     """
     if len(text) < window:
         return []
     term = [0.0] + [c * math.log2(c) for c in range(1, window + 1)]
     counts: dict[str, int] = {}
     total, out = 0.0, []
-    most = (math.log2(window) - threshold) * window + 1e-9
+    bound = lambda bits: (math.log2(window) - bits) * window + 1e-9
+    most = bound(threshold)
+    own = {k: max(most, bound(bits)) for k, bits in (thresholds or {}).items()}
+    least = max(own.values(), default=most)
+    kinds = [0] * 6
     for i, char in enumerate(text):
         c = counts.get(char, 0)
         total += term[c + 1] - term[c] if c < window else 0.0
         counts[char] = c + 1
+        kinds[_kind_of(char)] += 1
         if i >= window:
             old = text[i - window]
             c = counts[old]
             total += term[c - 1] - term[min(c, window)]
             counts[old] = c - 1
-        if i >= window - 1 and total <= most:
+            kinds[_kind_of(old)] -= 1
+        if i >= window - 1 and total <= least and (total <= most or total <= own[_window_class(kinds, window)]):
             start = i - window + 1
             if out and start <= out[-1][1]:
                 out[-1] = (out[-1][0], i + 1)
@@ -78,7 +107,8 @@ class Scanner:
         # A run is matched from its first character, so only starts of runs are tried.
         self.hex = re.compile("(?<![0-9a-f])[0-9a-f]{32,}")
         self.candidate = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d,}" % window)
-        self.allowed = re.compile("|".join(f"(?:{x})" for x in allowed)) if allowed else None
+        # At each place the pattern that reaches furthest counts, so each is looked for by itself.
+        self.allowed = [re.compile(f"(?<![A-Za-z0-9])(?:{x})(?![A-Za-z0-9])") for x in allowed]
 
     def base(self, text: str) -> list[tuple[int, int, int]]:
         spans = []
@@ -88,17 +118,25 @@ class Scanner:
         spans += [(m.start(), 2, m.end()) for m in self.hex.finditer(text)]
         return spans
 
+    def parts(self, run: str) -> Iterator[tuple[int, str]]:
+        """What of a candidate lies outside allowed parts, with its place."""
+        place = 0
+        for a, b in sorted(x.span() for pattern in self.allowed for x in pattern.finditer(run)):
+            if a > place:
+                yield place, run[place:a]
+            place = max(place, b)
+        if place < len(run):
+            yield place, run[place:]
+
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(start, number of the kind, end) in order."""
         found = self.base(text)
         for m in self.candidate.finditer(text):
-            run = m[0]
-            if self.allowed and self.allowed.fullmatch(run):
-                continue
-            for a, b in high_entropy(run, self.window, self.thresholds[_char_class(run)]):
-                a, b = a + m.start(), b + m.start()
-                if not any(s <= a and b <= e for s, kind, e in found if kind < 3):
-                    found.append((a, 3, b))
+            for first, part in self.parts(m[0]):
+                for a, b in high_entropy(part, self.window, self.thresholds[_char_class(part)], self.thresholds):
+                    a, b = a + first + m.start(), b + first + m.start()
+                    if not any(s <= a and b <= e for s, kind, e in found if kind < 3):
+                        found.append((a, 3, b))
         return sorted(found)
 
 
@@ -113,9 +151,9 @@ def scan_secrets(
     """One row (id, spans) per row: spans are structs of kind, start and end in code points.
 
     Kinds ``assign``, ``access`` and ``hex`` are the fixed shapes. ``entropy`` spans are unions of
-    windows whose Shannon entropy reaches the threshold of their candidate's character class; a
-    candidate that an allowed pattern matches whole is suppressed, and so is what a fixed shape
-    already covers. Null and empty texts have no spans; null ids, repeated rows and other columns
+    windows whose Shannon entropy reaches the threshold of their own character class or of what they
+    lie in between allowed parts; a window that touches an allowed part is suppressed, and so is
+    what a fixed shape already covers. Null and empty texts have no spans; null ids, repeated rows and other columns
     of any name don't matter; an empty table gives an empty table. A text is scanned whole, in
     time proportional to its length.
     """

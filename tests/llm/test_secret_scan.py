@@ -52,6 +52,27 @@ def test_entropy_finds_random_strings_and_allows_known_shapes(docs):
     assert [x[0] for x in got[3]] == ["assign"]  # what a fixed shape covers isn't told twice
 
 
+def test_what_is_glued_to_a_secret_does_not_hide_it():
+    rng = random.Random(8)
+    scanner = S.Scanner(S.WINDOW, S.THRESHOLDS, S.ALLOWED)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    digits, small = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+
+    def share(prefix, letters, n):
+        hits = 0
+        for _ in range(200):
+            text = prefix + draw(letters, n)
+            hits += any(k == 3 and b > len(prefix) for a, k, b in scanner.spans(text))
+        return hits / 200
+
+    assert all(share(p, digits + "abcdef", 24) > 0.9 for p in ("", "id=", "build-", "path/"))
+    for p in ("www.shop.com/reset/", "2024-01-02T10_", "example/", "0123456789-"):
+        assert share(p, digits + small + small.upper(), 40) > 0.99, p
+    assert share("", small + small.upper(), 40) > 0.95
+    plain = ["www.shop.com/products/item-12345/reviews", "2024-01-02T10_report_final_version", "com.host.MyClassName.getValue2024", "path/to/getElementsByTagNameFromDocument"]
+    assert [scanner.spans(x) for x in plain] == [[]] * len(plain)
+
+
 def test_odd_rows(spark, odd):
     got = S.scan_secrets(odd).collect()
     assert len(got) == odd.count()
