@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -73,18 +74,66 @@ def run_for(query: StreamingQuery, max_seconds: int = 30) -> None:
 
 def counted(df: DataFrame, name: str, **counters: Column) -> DataFrame:
     """Count rows while they pass: ``rows`` and any named condition, as an observed metric."""
+    _listen(df.sparkSession)
     sums = [F.sum(F.when(test, 1).otherwise(0)).alias(key) for key, test in counters.items()]
     return df.observe(name, F.count(F.lit(1)).alias("rows"), *sums)
 
 
-def metrics(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Observed counters summed over the micro-batches Spark still reports."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(name)
-        for key, value in (row.asDict() if row else {}).items():
-            totals[key] = totals.get(key, 0) + (value or 0)
-    return totals
+class _Totals(StreamingQueryListener):
+    """Observed counters of each run, added up as its micro-batches end."""
+
+    def __init__(self):
+        self._sums: dict[str, dict[str, dict[str, int]]] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self._ended[str(event.runId)] = threading.Event()
+
+    def onQueryProgress(self, event) -> None:
+        run = self._sums.setdefault(str(event.progress.runId), {})
+        for name, row in event.progress.observedMetrics.items():
+            sums = run.setdefault(name, {})
+            for key, value in row.asDict().items():
+                sums[key] = sums.get(key, 0) + (value or 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) in self._ended:
+            self._ended[str(event.runId)].set()
+
+    def knows(self, query: StreamingQuery) -> bool:
+        return str(query.runId) in self._ended
+
+    def of(self, query: StreamingQuery, name: str, wait_seconds: int) -> dict[str, int]:
+        run = str(query.runId)
+        # Progress is reported in order and before the end, but on a thread of its own.
+        if not query.isActive and not self._ended[run].wait(wait_seconds):
+            raise TimeoutError(f"the end of run {run} was not reported in {wait_seconds} seconds")
+        return dict(self._sums.get(run, {}).get(name, {}))
+
+
+_LISTENING: dict[str, _Totals] = {}
+
+
+def _listen(spark: SparkSession) -> None:
+    """Add up the counters of a session's queries from the first call on."""
+    session = str(spark._jsparkSession.sessionUUID())
+    if session not in _LISTENING:
+        _LISTENING[session] = _Totals()
+        spark.streams.addListener(_LISTENING[session])
+
+
+def metrics(query: StreamingQuery, name: str, wait_seconds: int = 60) -> dict[str, int]:
+    """Observed counters, set by ``counted``, summed over all micro-batches of a run.
+
+    Of a run that still goes on, over those reported so far.
+    """
+    for totals in _LISTENING.values():
+        if totals.knows(query):
+            return totals.of(query, name, wait_seconds)
+    raise ValueError("the run was started before anything in its session was counted")
 
 
 class EveryN(StreamingQueryListener):

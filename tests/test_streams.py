@@ -253,3 +253,18 @@ def test_bounded_run_and_progress_reports(spark, tmp_path):
         assert reports == [7]
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_observed_counters_cover_batches_that_spark_forgets(spark, tmp_path):
+    root, usual = str(tmp_path / "log"), "spark.sql.streaming.numRecentProgressUpdates"
+    for number in range(5):
+        append(spark, root, f"s{number}", [edit(f"f{number}-{n}") for n in range(3)])
+    spark.conf.set(usual, "2")
+    try:
+        stream = counted(log_stream(spark, root, S.TOPIC_VALIDATED, 1), "all", odd=F.col("offset") % 2 == 1)
+        query = consume(stream, lambda batch, _: batch.count() and None, str(tmp_path / "c"))
+        drain(query)
+        assert len(query.recentProgress) <= 2
+        assert metrics(query, "all") == {"rows": 15, "odd": 7}
+    finally:
+        spark.conf.unset(usual)
