@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplelog.llm import chat, decontam, fingerprints, mixing, neardup, pii, records, repeats, secret_scan, toxicity
+from ripplelog.llm import (
+    centroids,
+    chat,
+    decontam,
+    fingerprints,
+    mixing,
+    neardup,
+    negatives,
+    pii,
+    records,
+    repeats,
+    secret_scan,
+    toxicity,
+    warc,
+)
 from ripplelog.llm.frames import count_words, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -315,6 +329,97 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    rows, final = centroids.cluster(table(spark, folder, "embeddings"))
+    digest = F.lit(None).cast("string")
+    for number, text in enumerate(centroids.digests(final)):
+        digest = F.when(F.col("cluster") == number, text).otherwise(digest)
+    return rows.withColumnRenamed("id", "vec_id").withColumn("centroid_sha256", digest)
+
+
+def _op11_sql() -> str:
+    """The rounds written out one after the other."""
+    away = "CAST(list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT)"
+    nearest = f"SELECT p.n, p.vec_id, arg_min(c.c, [{away}, c.c]) AS c, min({away}) AS d FROM kept p, c{{0}} c GROUP BY p.n, p.vec_id"
+    steps = "".join(
+        f""", a{i} AS MATERIALIZED ({nearest.format(i)}), s{i} AS (
+  SELECT c, dim, sum(x)::HUGEINT AS s, count(*)::HUGEINT AS n FROM (
+    SELECT a.c, unnest(k.v)::HUGEINT AS x, unnest(range(1, 65)) AS dim FROM a{i} a JOIN kept k USING (n))
+  GROUP BY c, dim
+), m{i} AS (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY dim) AS v FROM s{i} GROUP BY c
+), c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(m.v, o.v) AS v FROM c{i} o LEFT JOIN m{i} m USING (c)
+)"""
+        for i in range(10)
+    )
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS INTEGER) AS c, v FROM kept
+  QUALIFY c < 8
+){steps}, a AS MATERIALIZED ({nearest.format(10)})
+SELECT vec_id, c AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(v, ',')) AS centroid_sha256
+FROM a JOIN c10 USING (c)
+"""
+
+
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    rows = warc.deduplicated_pages(table(spark, folder, "pages"))
+    return rows.select(
+        "page_id",
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        F.col("kind").alias("record_type"),
+        "refers_to",
+    )
+
+
+OP12_SQL = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+         row_number() OVER same AS place, first_value(page_id) OVER same AS first_id
+  FROM pages WINDOW same AS (PARTITION BY coalesce(html, '') ORDER BY page_id NULLS LAST, url)
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND place > 1 THEN first_id END AS refers_to
+FROM payloads
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings"), label=label)
+
+
+OP13_SQL = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), scored AS MATERIALIZED (
+  SELECT a.n AS a, a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, o.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM kept a JOIN kept o ON a.n <> o.n WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS nth
+  FROM scored WHERE same QUALIFY nth <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.a, p.nth ORDER BY o.score DESC, o.vec_id) AS INTEGER) AS rank,
+       o.vec_id AS negative_id, p.score AS positive_score, o.score AS negative_score
+FROM positives p JOIN scored o ON o.a = p.a AND NOT o.same
+WHERE 50 * p.score <= 100 * o.score AND 100 * o.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_mixing": op2_mixing,
@@ -326,6 +431,9 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_repeats": op9_repeats,
     "op10_personal_data": op10_personal_data,
+    "op11_centroids": op11_centroids,
+    "op12_warc": op12_warc,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_mixing": OP2_SQL,
@@ -333,6 +441,9 @@ ORACLE_SQL: dict[str, str] = {
     "op6_decontamination": OP6_SQL,
     "op8_near_duplicates": OP8_SQL,
     "op9_repeats": OP9_SQL,
+    "op11_centroids": _op11_sql(),
+    "op12_warc": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
 
 

@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     names = [n for n in catalog.QUERIES if n != "pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES)
 
 
