@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplelog import schema as S
@@ -513,18 +513,16 @@ def restore_verbatim(spark, sf_dir):
 
 @_query
 def limited_backup_order(spark, sf_dir):
-    """A consumer of one file per batch, its backup restored: events of each page that kept their place."""
+    """A consumer of one file per batch, its backup restored: events of each page that are where they were."""
     root = _routed_log(spark, sf_dir, segments=2)
     backup, again = workspace(spark, "backup"), workspace(spark, "restored")
     drain(C.archiver(spark, root, backup, workspace(spark, "checkpoint"), max_per_trigger=1))
     restore(spark, backup, again)
 
-    def order(log):
-        rows = decode_envelope(log, "partition", "offset")
-        part = Window.partitionBy("wiki", "title").orderBy("partition", "offset")
-        return rows.select("wiki", "title", F.row_number().over(part).alias("n"), "event_id")
-    old, new = (order(log_batch(spark, where, S.TOPIC_VALIDATED)) for where in (root, again))
-    same = old.join(new, ["wiki", "title", "n", "event_id"], "left_semi")
+    old, new = (
+        decode_envelope(log_batch(spark, where, S.TOPIC_VALIDATED), "partition", "offset") for where in (root, again)
+    )
+    same = old.join(new, ["partition", "offset", "event_id"], "left_semi")
     return same.groupBy("wiki", "title").agg(F.count(F.lit(1)).alias("in_order"))
 
 

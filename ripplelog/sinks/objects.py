@@ -1,45 +1,103 @@
-"""Backup and lake: one folder per log partition and offset range, replaced when written again."""
+"""Backup and lake: one folder per object of a log partition, replaced when written again."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplelog import schema as S
+from ripplelog.files import remove
 from ripplelog.functions.keys import range_label
 from ripplelog.functions.times import utc_date
 from ripplelog.operators.decode import text, with_page_key
 from ripplelog.operators.offsets import chunk_of
+from ripplelog.session import workspace
 from ripplelog.sinks.log import append_log
-from ripplelog.sources.lake import backup_folder, backup_lines, lake_folder
+from ripplelog.sources.lake import backup_folder, lake_folder, ordered_lines, runs_folder
+
+
+#: Pieces of an offset range that are counted to pack objects: the share by which one may be larger.
+_PIECES = 64
 
 
-def with_range(batch: DataFrame, rows: int, *extra: str, unbroken: bool = False) -> DataFrame:
-    """Add the offset range ``rng`` of the object each row belongs to.
+def pack(batch: DataFrame, rows: int, *extra: str) -> DataFrame:
+    """Offset runs of a batch, each with the object it goes to.
 
-    An object covers at most ``rows`` offsets of a log partition. The window therefore holds a
-    bounded group, the batch is shuffled once, and a partition with most of the rows is spread
-    over many tasks. ``unbroken`` ends an object at each gap, so that objects of batches that hold
-    other offsets in between don't overlap and their names sort like all their rows.
+    Per log partition (and ``extra``), objects take ``rows`` rows in offset order, at most a 64th
+    more, so there are no more of them than rows / ``rows`` and one for the rest, whatever offsets
+    the batch leaves out. ``first`` is where the first unbroken run of the object ends, ``last``
+    where the object does. Only offsets are shuffled, in bounded groups; what is ordered per log
+    partition is one row per piece of its offset range.
     """
-    cut = batch.withColumn("_chunk", chunk_of(F.col("offset"), rows))
-    keys = ["topic", "partition", *extra, "_chunk"]
-    if unbroken:
-        ordered = Window.partitionBy(*keys).orderBy("offset")
-        jump = F.coalesce(F.col("offset") != F.lag("offset").over(ordered) + 1, F.lit(True))
-        so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cut = cut.withColumn("_jump", jump).withColumn("_run", F.sum(F.col("_jump").cast("int")).over(so_far))
-        cut, keys = cut.drop("_jump"), [*keys, "_run"]
-    group = Window.partitionBy(*keys)
-    ends = [F.min("offset").over(group), F.max("offset").over(group)]
-    return cut.withColumn("rng", range_label(*ends)).withColumnRenamed("partition", "p").drop("_chunk", "_run")
+    group = ["topic", "partition", *extra]
+    piece = chunk_of(F.col("offset"), max(1, rows // _PIECES)).alias("piece")
+    inside = Window.partitionBy(*group, "piece").orderBy("offset")
+    jump = F.when(F.col("offset") > F.lag("offset").over(inside) + 1, 1).otherwise(0)
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    runs = (
+        batch.select(*group, "offset", piece)
+        .withColumn("jump", jump)
+        .withColumn("run", F.sum("jump").over(inside.rowsBetween(*so_far)))
+        .groupBy(*group, "piece", "run")
+        .agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("rows"))
+    )
+    earlier = Window.partitionBy(*group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = runs.groupBy(*group, "piece").agg(F.sum("rows").alias("size"))
+    ahead = F.coalesce(F.sum("size").over(earlier), F.lit(0))
+    homes = sizes.select(*group, "piece", F.floor(ahead / rows).alias("object"))
+    whole = Window.partitionBy(*group, "object")
+    joint = F.when(F.col("lo") > F.lag("hi").over(whole.orderBy("lo")) + 1, 1).otherwise(0)
+    return (
+        runs.drop("run")
+        .join(homes, [*group, "piece"])
+        .withColumn("joint", joint)
+        .withColumn("run", F.sum("joint").over(whole.orderBy("lo").rowsBetween(*so_far)))
+        .withColumns(
+            {
+                "start": F.min("lo").over(whole),
+                "first": F.max(F.when(F.col("run") == 0, F.col("hi"))).over(whole),
+                "last": F.max("hi").over(whole),
+            }
+        )
+        .drop("joint", "run", "object")
+    )
+
+
+def with_range(batch: DataFrame, runs: DataFrame, rows: int, *extra: str) -> DataFrame:
+    """Add the name ``rng`` of the object each row goes to, from staged :func:`pack` rows that have
+    it. These are far fewer than rows; Spark broadcasts them if their files are small."""
+    group = ["topic", "partition", *extra, "piece"]
+    names = runs.select(*group, "rng").distinct()
+    lost = F.raise_error(F.lit("a row has no object")).cast("string")
+    placed = batch.withColumn("piece", chunk_of(F.col("offset"), max(1, rows // _PIECES)))
+    named = placed.join(names, group, "left").withColumn("rng", F.coalesce("rng", lost))
+    return named.drop("piece").withColumnRenamed("partition", "p")
+
+
+def _stage(runs: DataFrame, path: str) -> DataFrame:
+    runs.write.parquet(path)
+    return runs.sparkSession.read.schema(runs.schema).parquet(path)
 
 
 def write_backup(batch: DataFrame, root: str, rows: int = S.BACKUP_MAX_ROWS) -> None:
-    """Message values verbatim as gzip text lines in offset order."""
+    """Message values verbatim as gzip text lines in offset order.
+
+    An object may hold several offset runs. It is named by the first of them: no two runs share an
+    offset, so neither names nor, for batches that hold other offsets in between, their order get
+    mixed up. All runs stand in a manifest beside the objects, from which :func:`ordered_lines`
+    finds the place of every line. A batch that is written again replaces its objects and repeats
+    their manifest rows.
+    """
     folders = ["topic", "p", "rng"]
+    messages = batch.select("topic", "partition", "offset", "value")
+    runs = pack(messages, rows).withColumn("rng", range_label(F.col("start"), F.col("first")))
+    manifest = f"{runs_folder(root)}/write={uuid.uuid4().hex}"
+    staged = _stage(runs.drop("start", "first", "last"), manifest)
     (
-        with_range(batch.select("topic", "partition", "offset", "value"), rows, unbroken=True)
+        with_range(messages, staged, rows)
+        .repartition(*folders)
         .sortWithinPartitions(*folders, "offset")
         .select(text(F.col("value")).alias("value"), *folders)
         .write.partitionBy(*folders)
@@ -57,8 +115,12 @@ def write_lake(events: DataFrame, root: str, rows: int = S.LAKE_MAX_ROWS) -> Non
     """
     folders = ["dt", "p", "rng"]
     dated = events.withColumn("dt", utc_date(F.col("occurred_at")))
+    runs = pack(dated, rows, "dt").withColumn("rng", range_label(F.col("start"), F.col("last")))
+    path = workspace(events.sparkSession, "runs")
+    staged = _stage(runs.drop("start", "first", "last", "lo", "hi", "rows"), path)
     (
-        with_range(dated, rows, "dt")
+        with_range(dated, staged, rows, "dt")
+        .repartition(*folders)
         .sortWithinPartitions(*folders, "offset")
         .select(*S.ENVELOPE_COLUMNS, *folders)
         .write.partitionBy(*folders)
@@ -67,21 +129,22 @@ def write_lake(events: DataFrame, root: str, rows: int = S.LAKE_MAX_ROWS) -> Non
         .option("compression", "snappy")
         .parquet(lake_folder(root))
     )
+    remove(events.sparkSession, path)
 
 
 def restore(spark, backup_root: str, log_root: str, segment: str = "restore") -> None:
-    """Put all backup lines back on the log, values untouched and in their old order.
+    """Put all backup lines back on a log, values untouched and in their old order.
 
     The backup holds values only, so the key is computed from ``wiki`` and ``title`` again; a line
-    that yields none is restored without a key. An object is a bounded chunk, which numbers the
-    rows without gathering a partition.
+    that yields none is restored without a key. Lines are numbered by bounded stretches of offsets
+    (see :func:`ordered_lines`), without gathering a partition.
     """
-    messages = with_page_key(backup_lines(spark, backup_root)).select(
+    messages = with_page_key(ordered_lines(spark, backup_root)).select(
         F.col("page_key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         "topic",
-        F.col("rng"),
-        "file",
+        "at",
+        "p",
         "seq",
     )
-    append_log(messages, log_root, segment, ["rng", "file", "seq"], ["rng", "file"])
+    append_log(messages, log_root, segment, ["at", "p", "seq"], ["at", "p"])

@@ -1,5 +1,6 @@
 import glob
 import gzip
+import random
 
 from helpers import envelope_rows
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from ripplelog import schema as S
 from ripplelog.operators.decode import decode_envelope, encode
 from ripplelog.sinks.objects import restore, write_backup, write_lake
-from ripplelog.sources.lake import backup, lake
+from ripplelog.sources.lake import backup, backup_runs, lake, ordered_lines
 from ripplelog.sources.log import log_batch
 
 # Seconds around the end of a leap day, 2028-02-29.
@@ -110,6 +111,53 @@ def test_objects_of_interleaved_batches_do_not_overlap(spark, tmp_path):
     assert [bytes(r.value).decode() for r in log] == values
 
 
+def objects(root):
+    return sorted(glob.glob(f"{root}/raw/topic=*/p=*/rng=*/*.gz"))
+
+
+def test_objects_of_a_log_with_gaps_are_packed(spark, tmp_path):
+    """As many objects as rows need, however many offsets are missing; the manifest has all runs."""
+    values = [f"v{n}" for n in range(3000)]
+    kept = messages(spark, values, first=0).where((F.col("offset") % 7 != 3) & (F.col("offset") % 11 > 1))
+    kept = kept.union(kept.withColumn("partition", F.lit(4)).where("offset % 100 < 9"))
+    sizes = {r.partition: r.n for r in kept.groupBy("partition").agg(F.count("*").alias("n")).collect()}
+    for _ in range(2):  # a retried batch replaces its objects
+        write_backup(kept, str(tmp_path), rows=640)
+        found = objects(tmp_path)
+        assert len(found) == sum(-(-n // 640) for n in sizes.values())
+    lines = [lines_of(f) for f in found]
+    assert sorted(len(x) for x in lines)[-1] <= 640 + 10
+    assert sorted(x for y in lines for x in y) == sorted(r.value.decode() for r in kept.collect())
+    runs = backup_runs(spark, str(tmp_path))
+    held = {(r.p, n) for r in runs.collect() for n in range(r.lo, r.hi + 1)}
+    assert held == {(r.partition, r.offset) for r in kept.collect()}
+    assert runs.agg(F.sum("rows")).first()[0] == len(held)
+    dense = messages(spark, values, partition=5, first=0)
+    write_backup(dense, str(tmp_path / "dense"), rows=640)
+    assert [f.split("rng=")[1].split("/")[0] for f in objects(tmp_path / "dense")] == [
+        f"{a:020d}-{min(a + 639, 2999):020d}" for a in range(0, 3000, 640)
+    ]
+
+
+def test_batches_out_of_order_on_a_log_with_gaps_restore_in_order(spark, tmp_path):
+    rng = random.Random(5)
+    whole = messages(spark, [f'{{"wiki":"w","title":"t","n":{n}}}' for n in range(1200)], first=0)
+    whole = whole.where("offset % 13 != 5").withColumn("batch", F.floor(F.col("offset") / 40) % 4)
+    whole = whole.withColumn("batch", F.when(F.col("offset") > 900, 5 + F.col("offset") % 2).otherwise(F.col("batch")))
+    order = [0, 1, 2, 3, 5, 6]
+    rng.shuffle(order)
+    for number in order:
+        write_backup(whole.where(F.col("batch") == number).drop("batch"), str(tmp_path / "backup"), rows=100)
+    assert len(objects(tmp_path / "backup")) <= 1200 // 100 + len(order)
+    write_backup(messages(spark, ["x", "y"], partition=3), str(tmp_path / "backup"))
+    lines = ordered_lines(spark, str(tmp_path / "backup")).orderBy("p", "at", "seq")
+    want = [r.value.decode() for r in whole.orderBy("offset").collect()]
+    assert [r.value for r in lines.collect()] == [*want, "x", "y"]
+    restore(spark, str(tmp_path / "backup"), str(tmp_path / "log"))
+    log = log_batch(spark, str(tmp_path / "log")).where("key IS NOT NULL").orderBy("offset").collect()
+    assert [bytes(r.value).decode() for r in log] == want
+
+
 def test_restore_gives_the_same_log(spark, tmp_path):
     rows = [(f"e{n}", "enwiki", f"T{n % 5}", "u", n % 2 == 0, n + 1) for n in range(60)]
     events = envelope_rows(spark, rows)
