@@ -27,6 +27,26 @@ def chunk_of(position: Column, rows: int = CHUNK_ROWS) -> Column:
     return position - position % rows
 
 
+def offset_runs(batch: DataFrame, width: int = CHUNK_ROWS, *extra: str) -> DataFrame:
+    """Unbroken runs (lo, hi, rows) of a batch's offsets per log partition (and ``extra``).
+
+    Runs end at multiples of ``width``, the column ``piece``, so that a window holds a bounded
+    group. Only offsets are shuffled.
+    """
+    group = [*LOG_PARTITION, *extra]
+    inside = Window.partitionBy(*group, "piece").orderBy("offset")
+    jump = F.when(F.col("offset") > F.lag("offset").over(inside) + 1, 1).otherwise(0)
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        batch.select(*group, "offset", chunk_of(F.col("offset"), width).alias("piece"))
+        .withColumn("jump", jump)
+        .withColumn("run", F.sum("jump").over(so_far))
+        .groupBy(*group, "piece", "run")
+        .agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("rows"))
+        .drop("run")
+    )
+
+
 def assign_offsets(
     df: DataFrame,
     order_by: list[str],

@@ -30,12 +30,12 @@ from ripplelog.session import configure, workspace
 from ripplelog.sinks.objects import restore, write_backup, write_lake
 from ripplelog.sinks.olap import events_table, write_events_ordered
 from ripplelog.sources import lake as K
-from ripplelog.sources.log import log_batch, segment_ranges, stored_topics
+from ripplelog.sources.log import log_batch, log_stream, segment_ranges, stored_topics
 from ripplelog.sources.sse import sse_capture
 from ripplelog.streaming import consumers as C
 from ripplelog.streaming import projector as P
 from ripplelog.streaming import progress as G
-from ripplelog.streaming.runner import drain
+from ripplelog.streaming.runner import consume, drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -490,6 +490,37 @@ def lag_after_each_batch(spark, sf_dir):
     return ends.select(F.lit(0).alias("k"), "*").join(wrote.select(F.lit(0).alias("k"), "*"), "k").drop("k")
 
 
+def _read_raw(spark, root: str, group: str, *segments: str) -> None:
+    """A group that reads some segments of the raw topic, two files at a time, and keeps nothing."""
+    stream = log_stream(spark, root, S.TOPIC_RAW, max_per_trigger=2, segments=True)
+    stream = stream.where(F.col("segment").isin(*segments)) if segments else stream
+    checkpoint = workspace(spark, "checkpoint")
+    drain(consume(stream, lambda batch, batch_id: None, checkpoint, group=group, log_root=root))
+
+
+@_query
+def lag_on_gaps(spark, sf_dir):
+    """Lag on a topic whose offsets have gaps, of a group that read all of it in batches of two files."""
+    root = workspace(spark, "log")
+    X.mirror_raw_topic(spark, sf_dir, root)
+    _read_raw(spark, root, "all")
+    rows = G.group_lag(spark, root, "all", S.TOPIC_RAW).withColumnRenamed("lag", "rows_left")
+    offsets = G.offset_lag(spark, root, "all", S.TOPIC_RAW)
+    return rows.join(offsets, ["partition", "committed", "high"])
+
+
+@_query
+def lag_out_of_order(spark, sf_dir):
+    """Lag of a group that read the second of two appends first: nothing is committed, and what it
+    has not handled is the first append."""
+    root = workspace(spark, "log")
+    X.mirror_raw_topic(spark, sf_dir, root)
+    _read_raw(spark, root, "late", "seed-1")
+    rows = G.group_lag(spark, root, "late", S.TOPIC_RAW).withColumnRenamed("lag", "rows_left")
+    offsets = G.offset_lag(spark, root, "late", S.TOPIC_RAW)
+    return rows.join(offsets, ["partition", "committed", "high"])
+
+
 @_query
 def null_key_routing(spark, sf_dir):
     """Raw rows that lost their key, routed: every one comes out on exactly one topic."""

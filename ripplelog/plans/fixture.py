@@ -15,7 +15,7 @@ from ripplelog.functions.keys import partition_for
 from ripplelog.functions.times import unix_seconds
 from ripplelog.operators.decode import classify, to_envelope
 from ripplelog.operators.offsets import assign_offsets
-from ripplelog.sinks.log import append_log
+from ripplelog.sinks.log import append_log, mirror_log
 
 ARRIVALS = 1_000_003
 CHUNK_ROWS = 50_000
@@ -143,6 +143,13 @@ def write_raw_topic(spark: SparkSession, sf_dir: str, root: str, segments: int =
         append_log(part, root, f"seed-{redelivery}", ORDER, ["chunk"])
 
 
+def mirror_raw_topic(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The raw topic under its own offsets, which have gaps: first deliveries, then redeliveries."""
+    rows = raw_log(spark, sf_dir).drop("chunk")
+    for redelivery in (0, 1):
+        mirror_log(rows.where(F.col("redelivery") == redelivery), root, f"seed-{redelivery}")
+
+
 def events_of(log: DataFrame) -> DataFrame:
     """Envelopes of a raw log with their log position, redeliveries included."""
     return to_envelope(classify(log), "partition", "offset")

@@ -62,6 +62,13 @@ LEFT JOIN (
 ) c ON c.partition = h.partition"""
 
 
+# Raw topic under offsets with gaps: next free offset and first deliveries of each partition.
+_SPARSE = """(SELECT CAST(unnest(range(6)) AS INTEGER) AS partition) ids LEFT JOIN (
+  SELECT partition, max(arrival * 4000000000000 + event_id) + 1 AS high,
+         count(*) FILTER (redelivery = 0) AS first
+  FROM raw_log GROUP BY partition) r ON r.partition = ids.partition"""
+
+
 def _bodies() -> dict[str, str]:
     keyed = """coalesce(try_cast(doc->>'$.wiki' AS varchar), '') <> ''
       AND coalesce(try_cast(doc->>'$.title' AS varchar), '') <> ''
@@ -150,6 +157,10 @@ def _bodies() -> dict[str, str]:
           FROM (SELECT CAST(unnest(range(6)) AS INTEGER) AS partition) ids LEFT JOIN (
             SELECT partition, count(*) AS n FROM envelopes GROUP BY partition) r
           ON r.partition = ids.partition ORDER BY ids.partition""",
+        "lag_on_gaps": f"""SELECT ids.partition, coalesce(high, 0) AS committed, coalesce(high, 0) AS high,
+          CAST(0 AS BIGINT) AS rows_left, CAST(0 AS BIGINT) AS lag FROM {_SPARSE}""",
+        "lag_out_of_order": f"""SELECT ids.partition, CAST(0 AS BIGINT) AS committed, coalesce(high, 0) AS high,
+          coalesce(first, 0) AS rows_left, coalesce(high, 0) AS lag FROM {_SPARSE}""",
         "lag_after_each_batch": """SELECT CAST(0 AS BIGINT) AS last_lag,
           CAST(count(*) AS BIGINT) AS "rows", count(*) AS lines FROM envelopes""",
         "null_key_routing": f"""SELECT CASE WHEN reason IS NULL THEN '{_VALID}' ELSE '{_DEAD}' END

@@ -68,7 +68,23 @@ def append_log(
         taken = taken.groupBy(*LOG_PARTITION).agg((F.max("hi") + 1).alias("high"))
     if "timestamp" not in messages.columns:
         messages = messages.withColumn("timestamp", F.current_timestamp())
-    numbered = assign_offsets(with_partition(messages, partitions), order_by, chunk_by, taken)
+    _publish(assign_offsets(with_partition(messages, partitions), order_by, chunk_by, taken), root, segment)
+
+
+def mirror_log(rows: DataFrame, root: str, segment: str) -> None:
+    """Store log rows as one named segment under the partitions and offsets they have, gaps and all,
+    as for a copy of a compacted topic. Offsets must lie beyond those of earlier segments; mirroring
+    a published segment again does nothing."""
+    if "timestamp" not in rows.columns:
+        rows = rows.withColumn("timestamp", F.current_timestamp())
+    taken = segment_ranges(rows.sparkSession, root)
+    if taken is None or taken.where(F.col("segment") == segment).isEmpty():
+        _publish(rows, root, segment)
+
+
+def _publish(numbered: DataFrame, root: str, segment: str) -> None:
+    """Write the rows of a segment, then its offset ranges, which make it count."""
+    spark = numbered.sparkSession
     (
         numbered.withColumn("segment", F.lit(segment))
         .sortWithinPartitions(*LOG_PARTITION, "segment", "offset")

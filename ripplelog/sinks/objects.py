@@ -12,7 +12,7 @@ from ripplelog.files import remove
 from ripplelog.functions.keys import range_label
 from ripplelog.functions.times import utc_date
 from ripplelog.operators.decode import text, with_page_key
-from ripplelog.operators.offsets import chunk_of
+from ripplelog.operators.offsets import chunk_of, offset_runs
 from ripplelog.session import workspace
 from ripplelog.sinks.log import append_log
 from ripplelog.sources.lake import backup_folder, lake_folder, ordered_lines, runs_folder
@@ -32,28 +32,18 @@ def pack(batch: DataFrame, rows: int, *extra: str) -> DataFrame:
     partition is one row per piece of its offset range.
     """
     group = ["topic", "partition", *extra]
-    piece = chunk_of(F.col("offset"), max(1, rows // _PIECES)).alias("piece")
-    inside = Window.partitionBy(*group, "piece").orderBy("offset")
-    jump = F.when(F.col("offset") > F.lag("offset").over(inside) + 1, 1).otherwise(0)
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    runs = (
-        batch.select(*group, "offset", piece)
-        .withColumn("jump", jump)
-        .withColumn("run", F.sum("jump").over(inside.rowsBetween(*so_far)))
-        .groupBy(*group, "piece", "run")
-        .agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("rows"))
-    )
+    runs = offset_runs(batch, max(1, rows // _PIECES), *extra)
     earlier = Window.partitionBy(*group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     sizes = runs.groupBy(*group, "piece").agg(F.sum("rows").alias("size"))
     ahead = F.coalesce(F.sum("size").over(earlier), F.lit(0))
     homes = sizes.select(*group, "piece", F.floor(ahead / rows).alias("object"))
     whole = Window.partitionBy(*group, "object")
+    so_far = whole.orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joint = F.when(F.col("lo") > F.lag("hi").over(whole.orderBy("lo")) + 1, 1).otherwise(0)
     return (
-        runs.drop("run")
-        .join(homes, [*group, "piece"])
+        runs.join(homes, [*group, "piece"])
         .withColumn("joint", joint)
-        .withColumn("run", F.sum("joint").over(whole.orderBy("lo").rowsBetween(*so_far)))
+        .withColumn("run", F.sum("joint").over(so_far))
         .withColumns(
             {
                 "start": F.min("lo").over(whole),

@@ -52,19 +52,24 @@ def log_batch(
 
 
 def log_stream(
-    spark: SparkSession, root: str, topic: str, max_per_trigger: int | None = None
+    spark: SparkSession,
+    root: str,
+    topic: str,
+    max_per_trigger: int | None = None,
+    segments: bool = False,
 ) -> DataFrame:
     """One topic of the file log as a stream from its first file on.
 
     Progress lives in the checkpoint of the query that uses it, so any number of consumers read
-    the log independently. ``max_per_trigger`` bounds the files of a micro-batch.
+    the log independently. ``max_per_trigger`` bounds the files of a micro-batch. ``segments`` adds
+    the column ``segment``, from which progress knows what a batch left out.
     """
     inside = T.StructType([field for field in _FILE_LOG if field.name != "topic"])
     reader = spark.readStream.schema(inside)
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
     rows = reader.parquet(f"{log_folder(root)}/topic={topic}")
-    return rows.withColumn("topic", F.lit(topic)).select(S.LOG_COLUMNS)
+    return rows.withColumn("topic", F.lit(topic)).select(*S.LOG_COLUMNS, *(["segment"] if segments else []))
 
 
 def kafka_options(

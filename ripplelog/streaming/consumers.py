@@ -87,7 +87,7 @@ def validator(
             routed_segment(batch, log_root, f"{S.GROUP_VALIDATOR}-{batch_id:012d}")
 
     if source is None:
-        source = log_stream(spark, log_root, S.TOPIC_RAW, max_per_trigger)
+        source = log_stream(spark, log_root, S.TOPIC_RAW, max_per_trigger, segments=True)
     return consume(source, handle, checkpoint, trigger, S.GROUP_VALIDATOR, log_root)
 
 
@@ -107,7 +107,7 @@ def archiver(
         write_backup(batch, backup_root, rows)
 
     if source is None:
-        source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger)
+        source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger, segments=True)
     return consume(source, handle, checkpoint, trigger, S.GROUP_BACKUP, log_root)
 
 
@@ -127,7 +127,7 @@ def laker(
         write_lake(decode_envelope(batch, *POSITION_COLUMNS), lake_root, rows)
 
     if source is None:
-        source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger)
+        source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger, segments=True)
     return consume(source, handle, checkpoint, trigger, S.GROUP_LAKE, log_root)
 
 
@@ -152,5 +152,5 @@ def ingest_events(
             )
 
     if source is None:
-        source = log_stream(spark, log_root, topic, max_per_trigger)
+        source = log_stream(spark, log_root, topic, max_per_trigger, segments=True)
     return consume(source, handle, checkpoint, trigger, S.GROUP_OLAP, log_root)

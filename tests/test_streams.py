@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from ripplelog import schema as S
 from ripplelog.operators import readmodel as R
 from ripplelog.operators.decode import decode_envelope
-from ripplelog.sinks.log import append_log
+from ripplelog.sinks.log import append_log, mirror_log
 from ripplelog.sinks.olap import events_table
 from ripplelog.sources.lake import backup_lines, lake
 from ripplelog.sources.log import log_batch, log_stream
@@ -222,6 +223,52 @@ def test_lag_is_what_was_not_read(spark, tmp_path):
     assert G.group_lag(spark, root, "slow").count() == 11
 
 
+def test_lag_on_offsets_with_gaps_and_files_out_of_order(spark, tmp_path):
+    """Against the offsets themselves, after each of many batches."""
+    root, rng = str(tmp_path / "log"), random.Random(8)
+    offsets = sorted(rng.sample(range(50, 5000), 300))
+    seen = []
+    for number, part in enumerate((offsets[:140], offsets[140:260], offsets[260:])):
+        rows = validated_messages(spark, [edit(f"g{o}") for o in part]).drop("n")
+        places = spark.createDataFrame([(f"g{o}", o % 2, o) for o in part], "id string, partition int, offset bigint")
+        event = F.get_json_object(rows["value"].cast("string"), "$.event_id")
+        rows = rows.withColumn("id", event).join(places, "id").drop("id").repartition(5)
+        mirror_log(rows, root, f"m{number}")
+        mirror_log(rows, root, f"m{number}")  # does nothing
+
+    def handle(batch, batch_id):
+        seen.append({r.offset for r in batch.select("offset").collect()})
+
+    stream = log_stream(spark, root, S.TOPIC_VALIDATED, 2, segments=True)
+    drain(consume(stream, handle, str(tmp_path / "cp"), group="g", log_root=root))
+    assert len(seen) > 4 and sum(map(len, seen)) == 300
+    for number in range(len(seen)):
+        done = set().union(*seen[: number + 1])
+        lag = {r.partition: r for r in G.group_lag(spark, root, "g", up_to_batch=number).collect()}
+        behind = {r.partition: r.lag for r in G.offset_lag(spark, root, "g", up_to_batch=number).collect()}
+        for p in (0, 1):
+            own = [o for o in offsets if o % 2 == p]
+            first = next((o for o in own if o not in done), own[-1] + 1)
+            assert lag[p].lag == sum(o not in done for o in own) and lag[p].high == own[-1] + 1
+            # Never beyond the first row that is left; there at the end.
+            assert lag[p].committed <= first and behind[p] == lag[p].high - lag[p].committed
+    assert [lag[p].committed == lag[p].high and lag[p].lag == behind[p] == 0 for p in (0, 1)] == [True, True]
+
+
+def test_kafka_lag_of_a_progress_report():
+    report = {
+        "sources": [
+            {"description": "FileStreamSource[x]", "endOffset": {"logOffset": 3}},
+            {
+                "description": "KafkaV2[Subscribe[t]]",
+                "endOffset": '{"t":{"0":40,"2":-1}}',
+                "latestOffset": {"t": {"0": 90, "1": 7, "2": 5}},
+            },
+        ]
+    }
+    assert G.kafka_lag(report) == [("t", 0, 40, 90, 50), ("t", 1, 0, 7, 7), ("t", 2, 0, 5, 5)]
+
+
 def test_a_retried_append_is_read_once(spark, tmp_path):
     """A reader that saw a segment isn't disturbed when its writer appends it again."""
     root, checkpoint = str(tmp_path / "log"), str(tmp_path / "cp")
