@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplelog import schema as S
 from ripplelog.functions.keys import partition_for
-from ripplelog.functions.times import utc_timestamp
+from ripplelog.functions.times import utc_now, utc_timestamp
 from ripplelog.operators import lag as L
 from ripplelog.operators import olap as O
 from ripplelog.operators import readmodel as R
@@ -27,15 +28,17 @@ from ripplelog.operators.offsets import offset_ranges
 from ripplelog.operators.routing import keyable, route
 from ripplelog.plans import fixture as X
 from ripplelog.session import configure, workspace
+from ripplelog.sinks.log import append_log
 from ripplelog.sinks.objects import restore, write_backup, write_lake
-from ripplelog.sinks.olap import events_table, write_events_ordered
+from ripplelog.sinks.olap import events_table, latest_stored, quarantine, write_events_ordered
 from ripplelog.sources import lake as K
-from ripplelog.sources.log import log_batch, log_stream, segment_ranges, stored_topics
+from ripplelog.sources.log import log_batch, log_stream, stored_topics
 from ripplelog.sources.sse import sse_capture
 from ripplelog.streaming import consumers as C
 from ripplelog.streaming import projector as P
 from ripplelog.streaming import progress as G
-from ripplelog.streaming.runner import consume, drain
+from ripplelog.streaming.panels import start_throughput, throughput_now
+from ripplelog.streaming.runner import EveryN, consume, drain, run_for, trigger_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -429,17 +432,14 @@ def rebuild_equals(spark, sf_dir):
 
 @_query
 def run_counters(spark, sf_dir):
-    """Counters of one run of validator and projector."""
+    """Counters of validator and projector, as their batches committed them."""
     root = workspace(spark, "log")
     model = P.ReadModel(workspace(spark, "model"))
     X.write_raw_topic(spark, sf_dir, root)
     drain(C.validator(spark, root, workspace(spark, "checkpoint")))
     counts = P.project(spark, root, model)
-    routed = segment_ranges(spark, root).where(F.col("topic") != S.TOPIC_RAW)
-    return routed.agg(
-        F.sum(F.when(F.col("topic") == S.TOPIC_VALIDATED, F.col("rows"))).alias("validated"),
-        F.sum(F.when(F.col("topic") == S.TOPIC_DEAD_LETTER, F.col("rows"))).alias("dead_lettered"),
-    ).select(
+    value = lambda name: F.sum(F.when(F.col("name") == name, F.col("value"))).alias(name)
+    return G.counters(spark, root, S.GROUP_VALIDATOR).agg(value("validated"), value("dead_lettered")).select(
         "validated",
         "dead_lettered",
         F.lit(counts["applied"]).cast("bigint").alias("applied"),
@@ -447,6 +447,153 @@ def run_counters(spark, sf_dir):
     )
 
 
+@_query
+def backup_counters(spark, sf_dir):
+    """Rows that the backup consumer handled in two runs, and whether it needed no more objects than
+    rows, batches and partitions allow."""
+    root, backup, checkpoint = (workspace(spark, name) for name in ("log", "backup", "checkpoint"))
+    X.write_raw_topic(spark, sf_dir, root, segments=2)
+    for number in (0, 1):
+        C.routed_segment(log_batch(spark, root, S.TOPIC_RAW, f"seed-{number}"), root, f"routed-{number}")
+        drain(C.archiver(spark, root, backup, checkpoint))
+    value = lambda name: F.sum(F.when(F.col("name") == name, F.col("value")))
+    most = value("rows") / S.BACKUP_MAX_ROWS + value("flushes") * S.TOPIC_PARTITIONS[S.TOPIC_VALIDATED]
+    return G.counters(spark, root, S.GROUP_BACKUP).agg(
+        value("rows").alias("rows"), (value("objects") <= most).alias("few_objects")
+    )
+
+
+@_query
+def throughput_running(spark, sf_dir):
+    """The running view after first deliveries, then redeliveries, whose minutes are all late."""
+    root, panel, checkpoint = (workspace(spark, name) for name in ("log", "panel", "checkpoint"))
+    X.write_raw_topic(spark, sf_dir, root, segments=2)
+    event_time = utc_timestamp(F.col("occurred_at"))
+    for number in (0, 1):
+        C.routed_segment(log_batch(spark, root, S.TOPIC_RAW, f"seed-{number}"), root, f"routed-{number}")
+        drain(start_throughput(spark, root, panel, checkpoint, ingested_at=event_time))
+    return throughput_now(spark, panel)
+
+
+@_query
+def latest_events_stored(spark, sf_dir):
+    """The same panel over the stored table, from the batches that its zone map names."""
+    root, table = _routed_log(spark, sf_dir, segments=2), workspace(spark, "events-table")
+    event_time = utc_timestamp(F.col("occurred_at"))
+    drain(C.ingest_events(spark, root, table, workspace(spark, "checkpoint"), ingested_at=event_time, max_per_trigger=24))
+    return latest_stored(spark, table).select("occurred_at", "wiki", "event_type")
+
+
+@_query
+def ingest_with_broken(spark, sf_dir):
+    """Ten undecodable messages in the last block: set aside, and all other rows ingested."""
+    root, table, checkpoint = _routed_log(spark, sf_dir), workspace(spark, "events-table"), workspace(spark, "checkpoint")
+    rows = log_batch(spark, root, S.TOPIC_VALIDATED)
+    broken = rows.orderBy("partition", "offset").limit(10).select("key", F.lit(b"{oops").alias("value"), "topic", "partition", "offset")
+    drain(C.ingest_events(spark, root, table, checkpoint))
+    append_log(broken.drop("partition").withColumnRenamed("offset", "n"), root, "broken", ["n", "key"])
+    drain(C.ingest_events(spark, root, table, checkpoint))
+    aside = spark.read.parquet(quarantine(table)).agg(F.count("value").alias("broken"))
+    counted = events_table(spark, table).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.select(F.lit(0).alias("k"), "rows").join(aside.select(F.lit(0).alias("k"), "broken"), "k").drop("k")
+
+
+@_query
+def stored_page_lookup(spark, sf_dir):
+    """One page of the stored read model, from its clustered snapshot and the batches since."""
+    _, model = _projected(spark, sf_dir)
+    P.compact(spark, model, "page_activity")
+    return P.get_page(spark, model, "enwiki", "Page 0")
+
+
+@_query
+def state_audit(spark, sf_dir):
+    """Ids of the projector's state held against its ledger."""
+    _, model = _projected(spark, sf_dir)
+    return P.state_audit(spark, model)
+
+
+@_query
+def ingest_time_default(spark, sf_dir):
+    """Rows stamped without a given ingest time, and those stamped while the ingest ran."""
+    root, table = _routed_log(spark, sf_dir), workspace(spark, "events-table")
+    now = lambda: F.lit(spark.range(1).select(utc_now().cast("string")).first()[0]).cast("timestamp_ntz")
+    start = now()
+    drain(C.ingest_events(spark, root, table, workspace(spark, "checkpoint")))
+    inside = F.col("ingested_at").between(start, now())
+    return events_table(spark, table).agg(F.count(F.lit(1)).alias("rows"), F.count_if(inside).alias("in_time"))
+
+
+@_query
+def retry_after_failure(spark, sf_dir):
+    """A backup whose handler fails after it wrote: nothing is committed; the next start writes the
+    same batch again, and no line twice."""
+    root, backup, checkpoint = _routed_log(spark, sf_dir), workspace(spark, "backup"), workspace(spark, "checkpoint")
+    stream = log_stream(spark, root, S.TOPIC_VALIDATED, segments=True)
+
+    def failing(batch, batch_id):
+        write_backup(batch, backup)
+        raise RuntimeError("lost before the commit")
+
+    try:
+        drain(consume(stream, failing, checkpoint, group="retried", log_root=root))
+    except StreamingQueryException as error:
+        if "lost before the commit" not in str(error):
+            raise
+    left = G.group_lag(spark, root, "retried", S.TOPIC_VALIDATED).agg(F.sum("lag").alias("left_by_failure"))
+    failed = left.first()[0]
+    drain(consume(stream, lambda batch, _: write_backup(batch, backup) and None, checkpoint, group="retried", log_root=root))
+    now = G.group_lag(spark, root, "retried", S.TOPIC_VALIDATED).agg(F.sum("lag")).first()[0]
+    return K.backup_lines(spark, backup).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.lit(failed).cast("bigint").alias("left_by_failure"),
+        F.lit(now).cast("bigint").alias("left_at_end"),
+    )
+
+
+@_query
+def bounded_flushes(spark, sf_dir):
+    """Backup flushed by rows: lines of each partition, and whether every object keeps its limit (and a 64th)."""
+    root, backup = _routed_log(spark, sf_dir), workspace(spark, "backup")
+    drain(C.archiver(spark, root, backup, workspace(spark, "checkpoint"), rows=S.BACKUP_MAX_ROWS))
+    sizes = K.backup_lines(spark, backup).groupBy("p", "rng").agg(F.count(F.lit(1)).alias("lines"))
+    limit = S.BACKUP_MAX_ROWS + S.BACKUP_MAX_ROWS // 64
+    return sizes.groupBy("p").agg(F.sum("lines").alias("lines"), (F.max("lines") <= limit).alias("within"))
+
+
+@_query
+def bounded_run(spark, sf_dir):
+    """A running consumer stopped after some seconds, then drained: no row lost or handled twice; and
+    whether progress was reported on the way."""
+    root, backup, checkpoint = _routed_log(spark, sf_dir), workspace(spark, "backup"), workspace(spark, "checkpoint")
+    reports = []
+    listener = EveryN(100, lambda name, rows: reports.append(rows))
+    spark.streams.addListener(listener)
+    try:
+        run_for(C.archiver(spark, root, backup, checkpoint, trigger=trigger_for(1), max_per_trigger=24), 5)
+        drain(C.archiver(spark, root, backup, checkpoint))
+        handled = G.counters(spark, root, S.GROUP_BACKUP).where("name = 'rows'").first().value
+        lines = K.backup_lines(spark, backup).agg(F.count(F.lit(1)).alias("lines"))
+        return lines.select("lines", F.lit(handled).cast("bigint").alias("handled"), F.lit(bool(reports)).alias("reported"))
+    finally:
+        spark.streams.removeListener(listener)
+
+
+@_query
+def poison_fails(spark, sf_dir):
+    """One undecodable message on the validated topic: the read model stops, and keeps what it had."""
+    root, model = _projected(spark, sf_dir)
+    rows = log_batch(spark, root, S.TOPIC_VALIDATED).orderBy("partition", "offset").limit(1)
+    append_log(rows.select("key", F.lit(b"{oops").alias("value"), "topic", F.lit(0).alias("n")), root, "poison", ["n"])
+    try:
+        P.project(spark, root, model)
+        stopped = False
+    except StreamingQueryException as error:
+        stopped = "malformed envelope" in str(error)
+    pages, ledger = P.current(spark, model, "page_activity"), P.ledger(spark, model)
+    return R.counts(pages, ledger).select("*", F.lit(stopped).alias("stopped"))
+
+
 # Lag
 
 
@@ -491,8 +638,8 @@ def lag_after_each_batch(spark, sf_dir):
 
 
 def _read_raw(spark, root: str, group: str, *segments: str) -> None:
-    """A group that reads some segments of the raw topic, two files at a time, and keeps nothing."""
-    stream = log_stream(spark, root, S.TOPIC_RAW, max_per_trigger=2, segments=True)
+    """A group that reads some segments of the raw topic, some files at a time, and keeps nothing."""
+    stream = log_stream(spark, root, S.TOPIC_RAW, max_per_trigger=24, segments=True)
     stream = stream.where(F.col("segment").isin(*segments)) if segments else stream
     checkpoint = workspace(spark, "checkpoint")
     drain(consume(stream, lambda batch, batch_id: None, checkpoint, group=group, log_root=root))
@@ -500,7 +647,7 @@ def _read_raw(spark, root: str, group: str, *segments: str) -> None:
 
 @_query
 def lag_on_gaps(spark, sf_dir):
-    """Lag on a topic whose offsets have gaps, of a group that read all of it in batches of two files."""
+    """Lag on a topic whose offsets have gaps, of a group that read all of it in batches of some files."""
     root = workspace(spark, "log")
     X.mirror_raw_topic(spark, sf_dir, root)
     _read_raw(spark, root, "all")
@@ -589,10 +736,9 @@ def sse_server_payloads(spark, sf_dir):
 def sse_stream_payloads(spark, sf_dir):
     """The same capture read as a stream."""
     out = workspace(spark, "payloads")
-    stream = sse_capture(spark, _capture(spark, sf_dir), stream=True)
-    query = stream.writeStream.format("parquet").trigger(availableNow=True)
-    drain(query.option("checkpointLocation", workspace(spark, "checkpoint")).start(out))
-    return spark.read.parquet(out)
+    keep = lambda payloads, batch_id: payloads.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+    drain(C.consume_captures(spark, _capture(spark, sf_dir), keep, workspace(spark, "checkpoint"), max_files=3))
+    return spark.read.parquet(out).select("payload")
 
 
 @_query

@@ -157,6 +157,23 @@ def _bodies() -> dict[str, str]:
           FROM (SELECT CAST(unnest(range(6)) AS INTEGER) AS partition) ids LEFT JOIN (
             SELECT partition, count(*) AS n FROM envelopes GROUP BY partition) r
           ON r.partition = ids.partition ORDER BY ids.partition""",
+        "backup_counters": """SELECT CAST(count(*) AS BIGINT) AS "rows", true AS few_objects FROM envelopes""",
+        "throughput_running": f"""SELECT date_trunc('minute', {_TIME}) AS time,
+          count(*) AS events FROM envelopes GROUP BY ALL ORDER BY time""",
+        "latest_events_stored": f"""SELECT {_TIME} AS occurred_at, wiki, event_type FROM envelopes
+          ORDER BY {_TIME} DESC, partition DESC, "offset" DESC LIMIT 10""",
+        "ingest_with_broken": """SELECT count(*) AS "rows", CAST(10 AS BIGINT) AS broken FROM envelopes""",
+        "stored_page_lookup": f"{_PAGES} WHERE wiki = 'enwiki' AND title = 'Page 0'",
+        "state_audit": """SELECT count(*) AS state_ids, count(*) AS ledger_ids, CAST(0 AS BIGINT) AS only_state,
+          CAST(0 AS BIGINT) AS only_ledger FROM unique_events""",
+        "ingest_time_default": """SELECT count(*) AS "rows", count(*) AS in_time FROM envelopes""",
+        "retry_after_failure": """SELECT count(*) AS lines, count(*) AS left_by_failure,
+          CAST(0 AS BIGINT) AS left_at_end FROM envelopes""",
+        "bounded_flushes": """SELECT partition AS p, CAST(count(*) AS BIGINT) AS lines, true AS within
+          FROM envelopes GROUP BY partition""",
+        "bounded_run": "SELECT count(*) AS lines, count(*) AS handled, true AS reported FROM envelopes",
+        "poison_fails": """SELECT (SELECT count(*) FROM pages_of) AS pages,
+          (SELECT count(*) FROM unique_events) AS processed_events, true AS stopped""",
         "lag_on_gaps": f"""SELECT ids.partition, coalesce(high, 0) AS committed, coalesce(high, 0) AS high,
           CAST(0 AS BIGINT) AS rows_left, CAST(0 AS BIGINT) AS lag FROM {_SPARSE}""",
         "lag_out_of_order": f"""SELECT ids.partition, CAST(0 AS BIGINT) AS committed, coalesce(high, 0) AS high,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ripplelog import schema as S
@@ -66,13 +66,17 @@ def with_range(batch: DataFrame, runs: DataFrame, rows: int, *extra: str) -> Dat
     return named.drop("piece").withColumnRenamed("partition", "p")
 
 
-def _stage(runs: DataFrame, path: str) -> DataFrame:
-    runs.write.parquet(path)
-    return runs.sparkSession.read.schema(runs.schema).parquet(path)
+def _stage(runs: DataFrame, path: str, *drop: str) -> tuple[DataFrame, int]:
+    """Packed runs written and read again, and how many objects there are."""
+    seen = Observation()
+    out = runs.observe(seen, F.count_if(F.col("lo") == F.col("start")).alias("objects"))
+    out = out.drop("start", "first", "last", *drop)
+    out.write.parquet(path)
+    return out.sparkSession.read.schema(out.schema).parquet(path), seen.get["objects"]
 
 
-def write_backup(batch: DataFrame, root: str, rows: int = S.BACKUP_MAX_ROWS) -> None:
-    """Message values verbatim as gzip text lines in offset order.
+def write_backup(batch: DataFrame, root: str, rows: int = S.BACKUP_MAX_ROWS) -> int:
+    """Message values verbatim as gzip text lines in offset order; returns the number of objects.
 
     An object may hold several offset runs. It is named by the first of them: no two runs share an
     offset, so neither names nor, for batches that hold other offsets in between, their order get
@@ -84,7 +88,7 @@ def write_backup(batch: DataFrame, root: str, rows: int = S.BACKUP_MAX_ROWS) ->
     messages = batch.select("topic", "partition", "offset", "value")
     runs = pack(messages, rows).withColumn("rng", range_label(F.col("start"), F.col("first")))
     manifest = f"{runs_folder(root)}/write={uuid.uuid4().hex}"
-    staged = _stage(runs.drop("start", "first", "last"), manifest)
+    staged, objects = _stage(runs, manifest)
     (
         with_range(messages, staged, rows)
         .repartition(*folders)
@@ -96,10 +100,12 @@ def write_backup(batch: DataFrame, root: str, rows: int = S.BACKUP_MAX_ROWS) ->
         .option("compression", "gzip")
         .text(backup_folder(root))
     )
+    return objects
 
 
-def write_lake(events: DataFrame, root: str, rows: int = S.LAKE_MAX_ROWS) -> None:
-    """Envelopes as Parquet, one UTC day per object, rows in offset order.
+def write_lake(events: DataFrame, root: str, rows: int = S.LAKE_MAX_ROWS) -> int:
+    """Envelopes as Parquet, one UTC day per object, rows in offset order; returns the number of
+    objects.
 
     ``events`` has the envelope columns and ``topic``, ``partition``, ``offset``.
     """
@@ -107,7 +113,7 @@ def write_lake(events: DataFrame, root: str, rows: int = S.LAKE_MAX_ROWS) -> Non
     dated = events.withColumn("dt", utc_date(F.col("occurred_at")))
     runs = pack(dated, rows, "dt").withColumn("rng", range_label(F.col("start"), F.col("last")))
     path = workspace(events.sparkSession, "runs")
-    staged = _stage(runs.drop("start", "first", "last", "lo", "hi", "rows"), path)
+    staged, objects = _stage(runs, path, "lo", "hi", "rows")
     (
         with_range(dated, staged, rows, "dt")
         .repartition(*folders)
@@ -120,6 +126,7 @@ def write_lake(events: DataFrame, root: str, rows: int = S.LAKE_MAX_ROWS) -> Non
         .parquet(lake_folder(root))
     )
     remove(events.sparkSession, path)
+    return objects
 
 
 def restore(spark, backup_root: str, log_root: str, segment: str = "restore") -> None:

@@ -125,7 +125,8 @@ def stored_topics(spark: SparkSession, root: str) -> DataFrame:
     return topics(spark.createDataFrame([], RANGES) if ranges is None else ranges)
 
 
-_BROKEN = "_broken"
+#: Whether a message could not be decoded.
+BROKEN = "_broken"
 
 
 def flagged_rows(log: DataFrame, row_schema: T.StructType, *keep: str) -> DataFrame:
@@ -147,11 +148,11 @@ def log_rows(
     the ``with`` body runs, since it is first counted and then used."""
     flagged = flagged_rows(block, row_schema, *keep).persist()
     try:
-        broken = flagged.where(_BROKEN).count()
+        broken = flagged.where(BROKEN).count()
         if broken > max_broken:
             raise TooManyBrokenMessages(
                 f"{broken} broken messages in one block, {max_broken} allowed"
             )
-        yield flagged.where(~F.col(_BROKEN)).drop(_BROKEN)
+        yield flagged.where(~F.col(BROKEN)).drop(BROKEN)
     finally:
         flagged.unpersist()

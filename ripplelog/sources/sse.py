@@ -29,8 +29,7 @@ def _joined(lines: Column) -> Column:
 
 def sse_capture(
     spark: SparkSession,
-    path: str,
-    stream: bool = False,
+    path: str | list[str],
     single_blank: bool = False,
     crlf: bool = False,
     position: bool = False,
@@ -47,12 +46,7 @@ def sse_capture(
     (``crlf``: that ends in ``\\r\\n``), as servers write them: the blank line is then the record
     separator of the text source and nothing is shuffled. Runs of blank lines are also read right
     that way unless a file is split inside of one.
-
-    A stream takes new files as they appear, each whole, so it reads any capture right; a file has
-    to fit into a row (rotate captures well below 1 GB).
     """
-    if stream:
-        return _by_file(spark, path, position)
     if single_blank:
         return _by_separator(spark, path, crlf, position)
     return _by_lines(spark, path, position)
@@ -63,10 +57,17 @@ def _events(text: Column) -> Column:
     return F.split(F.regexp_replace(text, r"\r(\n|\z)", "$1"), "\n\n")
 
 
-def _by_file(spark: SparkSession, path: str, position: bool) -> DataFrame:
-    files = spark.readStream.text(path, wholetext=True)
-    events = files.select(*_where(), F.posexplode(_events(F.col("value"))).alias("seq", "_event"))
-    return _payloads(events.withColumn("seq", F.col("seq").cast("bigint")), position)
+# Columns of Spark's source of whole files. Only the path is read here, never the content.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def capture_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Stream of the names of capture files (column ``path``) as they appear; ``max_files`` bounds a
+    micro-batch. The files themselves are for :func:`sse_capture`, which splits them between tasks."""
+    reader = spark.readStream.format("binaryFile").schema(_FILES)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.load(path).select("path")
 
 
 def _by_separator(spark: SparkSession, path: str, crlf: bool, position: bool) -> DataFrame:

@@ -22,9 +22,9 @@ from ripplelog.operators.olap import olap_rows
 from ripplelog.operators.routing import produced, route
 from ripplelog.sinks.log import append_log
 from ripplelog.sinks.objects import write_backup, write_lake
-from ripplelog.sinks.olap import write_events
-from ripplelog.sources.log import log_rows, log_stream
-from ripplelog.sources.sse import BLOCK, POSITION, sse_capture
+from ripplelog.sinks.olap import write_tolerant
+from ripplelog.sources.log import BROKEN, flagged_rows, log_stream, segment_ranges
+from ripplelog.sources.sse import BLOCK, POSITION, capture_files, sse_capture
 from ripplelog.streaming.runner import consume
 
 POSITION_COLUMNS = ["topic", "partition", "offset"]
@@ -38,21 +38,43 @@ def produce(spark: SparkSession, capture: str, log_root: str, segment: str, **ho
     append_log(messages, log_root, segment, POSITION, BLOCK, cache=True)
 
 
+def consume_captures(
+    spark: SparkSession,
+    capture: str,
+    handler: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    trigger: dict | None = None,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Call ``handler(payloads, batch_id)`` with the events of capture files as the files appear.
+
+    The stream is one of file names; the payloads of a micro-batch's files are read as any capture,
+    split between tasks, so files may have any size.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        paths = [row.path for row in batch.collect()]  # names of one micro-batch
+        if paths:
+            handler(sse_capture(spark, paths, position=True), batch_id)
+
+    return consume(capture_files(spark, capture, max_files), handle, checkpoint, trigger)
+
+
 def producer(
     spark: SparkSession,
     capture: str,
     log_root: str,
     checkpoint: str,
     trigger: dict | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Append the keyable events of capture files to the raw topic as the files appear."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        messages = produced(batch, "payload", *POSITION)
+    def handle(payloads: DataFrame, batch_id: int) -> None:
+        messages = produced(payloads, "payload", *POSITION)
         append_log(messages, log_root, f"producer-{batch_id:012d}", POSITION, BLOCK, cache=True)
 
-    source = sse_capture(spark, capture, stream=True, position=True)
-    return consume(source, handle, checkpoint, trigger)
+    return consume_captures(spark, capture, handle, checkpoint, trigger, max_files)
 
 
 def routed_segment(raw: DataFrame, log_root: str, segment: str) -> None:
@@ -80,11 +102,16 @@ def validator(
     """Route the raw topic to the validated and the dead-letter topic of the file log, or to
     ``append`` (such as ``lambda rows: append_kafka(rows, servers)``)."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int) -> dict[str, int]:
         if append is not None:
             append(route(batch))
-        else:
-            routed_segment(batch, log_root, f"{S.GROUP_VALIDATOR}-{batch_id:012d}")
+            return {}
+        segment = f"{S.GROUP_VALIDATOR}-{batch_id:012d}"
+        routed_segment(batch, log_root, segment)
+        ranges = segment_ranges(spark, log_root)
+        sums = [] if ranges is None else ranges.where(F.col("segment") == segment).groupBy("topic").agg(F.sum("rows")).collect()
+        names = {S.TOPIC_VALIDATED: "validated", S.TOPIC_DEAD_LETTER: "dead_lettered"}
+        return {names[topic]: rows for topic, rows in sums}
 
     if source is None:
         source = log_stream(spark, log_root, S.TOPIC_RAW, max_per_trigger, segments=True)
@@ -103,8 +130,8 @@ def archiver(
 ) -> StreamingQuery:
     """Back up the validated topic verbatim."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        write_backup(batch, backup_root, rows)
+    def handle(batch: DataFrame, batch_id: int) -> dict[str, int]:
+        return {"objects": write_backup(batch, backup_root, rows)}
 
     if source is None:
         source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger, segments=True)
@@ -123,8 +150,8 @@ def laker(
 ) -> StreamingQuery:
     """Write the validated topic to the Parquet lake."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        write_lake(decode_envelope(batch, *POSITION_COLUMNS), lake_root, rows)
+    def handle(batch: DataFrame, batch_id: int) -> dict[str, int]:
+        return {"objects": write_lake(decode_envelope(batch, *POSITION_COLUMNS), lake_root, rows)}
 
     if source is None:
         source = log_stream(spark, log_root, S.TOPIC_VALIDATED, max_per_trigger, segments=True)
@@ -143,13 +170,14 @@ def ingest_events(
     max_per_trigger: int | None = None,
     source: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Append every validated row to the analytics table, with ingest time."""
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        with log_rows(batch, S.ENVELOPE, "partition", "offset", max_broken=max_broken) as rows:
-            write_events(
-                olap_rows(rows, "partition", "offset", ingested_at=ingested_at), table, batch_id
-            )
+    """Append every validated row to the analytics table, with ingest time. Up to ``max_broken``
+    undecodable messages of a batch are set aside; more of them fail it, and nothing of it is seen."""
+
+    def handle(batch: DataFrame, batch_id: int) -> dict[str, int]:
+        flagged = flagged_rows(batch, S.ENVELOPE, "partition", "offset", "value")
+        rows = olap_rows(flagged, "partition", "offset", "value", BROKEN, ingested_at=ingested_at)
+        kept, broken = write_tolerant(rows, table, batch_id, max_broken)
+        return {"kept": kept, "broken": broken}
 
     if source is None:
         source = log_stream(spark, log_root, topic, max_per_trigger, segments=True)

@@ -22,6 +22,7 @@ PROGRESS = T.StructType(
         T.StructField("lo", T.LongType()),
         T.StructField("hi", T.LongType()),
         T.StructField("rows", T.LongType()),
+        T.StructField("counters", T.MapType(T.StringType(), T.LongType())),
         T.StructField("total", T.LongType()),
         T.StructField("batch_id", T.LongType()),
     ]
@@ -32,36 +33,64 @@ def _folder(log_root: str, group: str) -> str:
     return f"{log_root}/progress/{group}"
 
 
-def commit_progress(batch: DataFrame, log_root: str, group: str, batch_id: int) -> None:
+def commit_progress(
+    batch: DataFrame, log_root: str, group: str, batch_id: int, counters: dict[str, int] | None = None
+) -> None:
     """Publish the offsets of a handled batch as intervals (lo, hi, rows) per log partition.
 
     An interval says that all of its rows that the log holds were handled. A batch of a source that
     delivers in order, such as Kafka, is one interval per partition, whatever gaps its offsets have.
     The file log delivers files in any order: there (rows with a ``segment``), intervals are unbroken
-    runs, unless the batch holds as many rows of a segment as were published.
+    runs, unless the batch holds as many rows of a segment as were published. ``counters`` of the
+    batch go with them.
     """
-    place = ["topic", "partition"]
+    spark, by_segment = batch.sparkSession, "segment" in batch.columns
+    place = ["topic", "partition", *(["segment"] if by_segment else [])]
     ends = [F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("rows")]
-    spark = batch.sparkSession
-    ranges = segment_ranges(spark, log_root) if "segment" in batch.columns else None
-    if ranges is None:
-        done = batch.groupBy(*place).agg(*ends).withColumn("segment", F.lit(None).cast("string"))
+    held = batch.groupBy(*place).agg(*ends).collect()  # a row for each partition of the batch's segments
+    whole, rest = [(*row, None) for row in held], set()
+    if by_segment:
+        names = sorted({row.segment for row in held})
+        ranges = segment_ranges(spark, log_root)
+        known = [] if ranges is None else ranges.where(F.col("segment").isin(names)).select(*place, "rows").collect()
+        published = {tuple(row[:3]): row[3] for row in known}
+        full = lambda row: row.rows in (row.hi - row.lo + 1, published.get(tuple(row[:3])))
+        whole = [(*row, None) for row in held if full(row)]
+        rest = {row.segment for row in held if not full(row)}
     else:
-        place.append("segment")
-        runs = offset_runs(batch, CHUNK_ROWS, "segment").drop("piece")
-        sums = runs.groupBy(*place).agg(F.min("lo").alias("a"), F.max("hi").alias("b"), F.sum("rows").alias("n"))
-        held = sums.join(ranges.select(*place, F.col("rows").alias("published")), place, "left")
-        held = held.withColumn("whole", F.coalesce(F.col("n") == F.col("published"), F.lit(False)))
-        some = runs.join(held.where(~F.col("whole")).select(*place), place, "left_semi")
-        done = some.select(*place, "lo", "hi", "rows").unionByName(
-            held.where("whole").select(*place, F.col("a").alias("lo"), F.col("b").alias("hi"), F.col("n").alias("rows"))
+        whole = [(row[0], row[1], None, *row[2:], None) for row in held]
+    done = spark.createDataFrame(
+        [*whole, (None, None, None, None, None, None, counters or {})],
+        T.StructType([f for f in PROGRESS.fields if f.name not in ("total", "batch_id")]),
+    )
+    if rest:
+        kept = {tuple(row[:3]) for row in whole}
+        parts = batch.where(F.col("segment").isin(sorted(rest)))
+        runs = offset_runs(parts, CHUNK_ROWS, "segment").drop("piece")
+        done = done.unionByName(
+            runs.join(spark.createDataFrame(sorted(kept), "topic string, partition int, segment string"), place, "left_anti")
+            if kept
+            else runs,
+            allowMissingColumns=True,
         )
     _publish(done.withColumn("total", F.lit(None).cast("bigint")), log_root, group, batch_id)
 
 
+def counters(spark: SparkSession, log_root: str, group: str) -> DataFrame:
+    """What the batches of a group counted (name, value), over all its runs: the rows they handled,
+    their number (``flushes``), and counters of their handlers. Kept with the group's progress, so a
+    restart or the loss of the driver forgets none."""
+    commits = progress(spark, log_root, group)
+    rows = commits.agg(F.coalesce(F.sum("rows"), F.lit(0).cast("bigint")).alias("value"))
+    flushes = commits.agg(F.countDistinct(F.when(F.col("rows") > 0, F.col("batch_id"))).alias("value"))
+    own = commits.select(F.explode("counters").alias("name", "value")).groupBy("name").agg(F.sum("value").alias("value"))
+    usual = [total.select(F.lit(name).alias("name"), "value") for name, total in (("rows", rows), ("flushes", flushes))]
+    return usual[0].union(usual[1]).union(own)
+
+
 def commit_totals(totals: DataFrame, log_root: str, group: str, batch_id: int) -> None:
     """Publish the rows (topic, partition, total) that a group has handled in all its batches."""
-    none = {name: F.lit(None).cast(PROGRESS[name].dataType) for name in ("segment", "lo", "hi", "rows")}
+    none = {name: F.lit(None).cast(PROGRESS[name].dataType) for name in ("segment", "lo", "hi", "rows", "counters")}
     _publish(totals.withColumns(none), log_root, group, batch_id)
 
 
@@ -219,7 +248,7 @@ def lag_after_batches(spark: SparkSession, log_root: str, group: str, topic: str
     Needs a group that publishes the rows of each batch, as all but the projector do.
     """
     commits = progress(spark, log_root, group).where(F.col("topic") == topic)
-    done = commits.groupBy("batch_id").agg(F.sum("rows").alias("rows"))
+    done = commits.where("rows IS NOT NULL").groupBy("batch_id").agg(F.sum("rows").alias("rows"))
     # One row per batch.
     so_far = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranges = segment_ranges(spark, log_root).where(F.col("topic") == topic)

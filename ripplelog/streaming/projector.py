@@ -132,8 +132,8 @@ def _first_copies(events: DataFrame) -> DataFrame:
         F.lit(None).cast("struct<" + ",".join(f"`{n}`:{APPLIED[n].dataType.simpleString()}" for n in (*R.ARRIVAL, *rest)) + ">").alias("_row"),
     )
     timed = events.select(F.explode(F.array(event, place)).alias("_e"), F.current_timestamp().alias("_seen"))
-    copies = timed.groupBy("_e._is_event", "_e.event_id").agg(
-        F.min("_e._row").alias("_first"),
+    copies = timed.select("_e.*", "_seen").groupBy("_is_event", "event_id").agg(
+        F.min("_row").alias("_first"),
         F.count(F.lit(1)).alias("_rows"),
         F.min("_seen").alias("_since"),
         F.max("_seen").alias("_until"),
@@ -233,6 +233,37 @@ def current(spark: SparkSession, model: ReadModel, name: str) -> DataFrame:
     return table.merged(_additions(spark, model, name)).select(table.report)
 
 
+def get_page(spark: SparkSession, model: ReadModel, wiki: str, title: str) -> DataFrame:
+    """The row of one page, or no row. The key reaches the Parquet scans of the snapshot and of the
+    batches since; the cost follows the batches since the last :func:`compact`, not the pages."""
+    return R.get_page(current(spark, model, "page_activity"), wiki, title)
+
+
+def state_audit(spark: SparkSession, model: ReadModel) -> DataFrame:
+    """The dedupe state held against the ledger, one row: ids in each, ids that only one has.
+
+    Read from the checkpoint by Spark's state data source while the projector is not running. Ids
+    only in the ledger would be applied again; ids only in the state were lost from the tables.
+    """
+    state = spark.read.format("statestore").load(model.checkpoint)
+    ids = state.where("key._is_event").select("key.event_id", F.lit(1).alias("state"), F.lit(0).alias("ledger"))
+    applied = ledger(spark, model).select("event_id", F.lit(0).alias("state"), F.lit(1).alias("ledger"))
+    sides = ids.unionByName(applied).groupBy("event_id").agg(F.max("state").alias("s"), F.max("ledger").alias("l"))
+    return sides.agg(
+        F.coalesce(F.sum("s"), F.lit(0)).cast("bigint").alias("state_ids"),
+        F.coalesce(F.sum("l"), F.lit(0)).cast("bigint").alias("ledger_ids"),
+        F.count_if(F.col("s") > F.col("l")).alias("only_state"),
+        F.count_if(F.col("s") < F.col("l")).alias("only_ledger"),
+    )
+
+
+def state_sizes(spark: SparkSession, model: ReadModel) -> DataFrame:
+    """Rows of each state store (partition_id, rows). Their number is fixed at the first start; when
+    they have grown too large, :func:`rebuild` with more ``state_partitions``."""
+    state = spark.read.format("statestore").load(model.checkpoint)
+    return state.groupBy("partition_id").agg(F.count(F.lit(1)).alias("rows")).orderBy("partition_id")
+
+
 def ledger(spark: SparkSession, model: ReadModel) -> DataFrame:
     """Processed events: id and event time."""
     applied = _stored(spark, model, "applied", APPLIED)
@@ -247,7 +278,10 @@ def applied_counts(spark: SparkSession, model: ReadModel) -> DataFrame:
 def compact(spark: SparkSession, model: ReadModel, name: str) -> None:
     """Fold the committed additions of a table into one snapshot, so that readers skip their
     batches. The snapshot appears by a rename, and only then are the folded folders removed; a
-    crash in between leaves folders that readers already ignore."""
+    crash in between leaves folders that readers already ignore.
+
+    It is clustered by the table's key and has Bloom filters on it: a lookup of one key opens the
+    file, row group and pages that can hold it (see :func:`get_page`)."""
     table = TABLES[name]
     last = _last_commit(spark, model)
     folded = _numbers(children(spark, model.snapshots(name)))
@@ -255,7 +289,10 @@ def compact(spark: SparkSession, model: ReadModel, name: str) -> None:
         return
     building = f"{model.root}/_building/{name}"
     merged = table.merged(_additions(spark, model, name)).select(table.schema.fieldNames())
-    merged.write.mode("overwrite").parquet(building)
+    writer = merged.repartitionByRange(*table.key).sortWithinPartitions(*table.key).write.mode("overwrite")
+    for column in table.key:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(building)
     rename(spark, building, f"{model.snapshots(name)}/upto={last}")
     for number in _numbers(children(spark, model.table(name))):
         if number <= last:
@@ -263,12 +300,20 @@ def compact(spark: SparkSession, model: ReadModel, name: str) -> None:
 
 
 def project(
-    spark: SparkSession, log_root: str, model: ReadModel, max_per_trigger: int | None = None
+    spark: SparkSession,
+    log_root: str,
+    model: ReadModel,
+    max_per_trigger: int | None = None,
+    state_partitions: int | None = None,
 ) -> dict[str, int]:
     """Bring the read model up to date with the log; returns how many events this run applied and
     skipped."""
     before = _last_commit(spark, model)
-    drain(start_projector(spark, log_root, model, max_per_trigger=max_per_trigger))
+    drain(
+        start_projector(
+            spark, log_root, model, max_per_trigger=max_per_trigger, state_partitions=state_partitions
+        )
+    )
     return run_counts(spark, log_root, model, before)
 
 
@@ -302,10 +347,13 @@ def reset(spark: SparkSession, model: ReadModel, log_root: str | None = None) ->
     return removed
 
 
-def rebuild(spark: SparkSession, log_root: str, model: ReadModel) -> dict[str, int]:
-    """Drop the read model and replay the log from its beginning."""
+def rebuild(
+    spark: SparkSession, log_root: str, model: ReadModel, state_partitions: int | None = None
+) -> dict[str, int]:
+    """Drop the read model and replay the log from its beginning, with another number of state stores
+    if wanted."""
     reset(spark, model, log_root)
-    return project(spark, log_root, model)
+    return project(spark, log_root, model, state_partitions=state_partitions)
 
 
 def rebuild_batch(spark: SparkSession, log_root: str) -> dict[str, DataFrame]:

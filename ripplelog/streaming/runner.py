@@ -14,7 +14,8 @@ from ripplelog.streaming.progress import commit_progress
 
 DRAIN = {"availableNow": True}
 
-Handler = Callable[[DataFrame, int], None]
+#: Writes a batch; may return counters of it.
+Handler = Callable[[DataFrame, int], "dict[str, int] | None"]
 
 
 def trigger_for(seconds: int) -> dict[str, str]:
@@ -36,7 +37,8 @@ def consume(
     Spark records the input of a batch before it runs and its completion afterwards, so a crash
     repeats the same batch; handlers write per ``batch_id`` or offset range and replace what a
     first try left. With ``group`` and ``log_root``, the rows handled are published for lag
-    reports once the handler has succeeded; the batch is kept meanwhile, so the source is read once.
+    reports once the handler has succeeded, and with them the counters that it returned; the batch is
+    kept meanwhile, so the source is read once.
     """
     configure(stream.sparkSession)
 
@@ -46,8 +48,8 @@ def consume(
             return
         batch.persist()
         try:
-            handler(batch, batch_id)
-            commit_progress(batch, log_root, group, batch_id)
+            counted = handler(batch, batch_id)
+            commit_progress(batch, log_root, group, batch_id, counted if isinstance(counted, dict) else None)
         finally:
             batch.unpersist()
 

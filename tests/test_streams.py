@@ -1,11 +1,15 @@
+import glob
+import os
 import random
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import payload, raw_rows, validated_messages
 from pyspark.sql import functions as F
 
 from ripplelog import schema as S
+from ripplelog.functions.times import utc_timestamp
 from ripplelog.operators import readmodel as R
 from ripplelog.operators.decode import decode_envelope
 from ripplelog.sinks.log import append_log, mirror_log
@@ -15,6 +19,7 @@ from ripplelog.sources.log import log_batch, log_stream
 from ripplelog.streaming import consumers as C
 from ripplelog.streaming import projector as P
 from ripplelog.streaming import progress as G
+from ripplelog.streaming.panels import start_throughput, throughput_now
 from ripplelog.streaming.runner import EveryN, consume, counted, drain, metrics, run_for, trigger_for
 
 
@@ -315,3 +320,88 @@ def test_observed_counters_cover_batches_that_spark_forgets(spark, tmp_path):
         assert metrics(query, "all") == {"rows": 15, "odd": 7}
     finally:
         spark.conf.unset(usual)
+
+
+def test_running_throughput_counts_late_and_retried_rows_once(spark, tmp_path):
+    root, panel, checkpoint = (str(tmp_path / name) for name in ("log", "panel", "cp"))
+    minute = lambda s: utc_timestamp(F.col("occurred_at")) if s else None
+    for number, times in enumerate(([60, 61, 119, 600], [62, 601, 3600], [60])):
+        append(spark, root, f"s{number}", [edit(f"t{number}-{n}", at=at) for n, at in enumerate(times)])
+        drain(start_throughput(spark, root, panel, checkpoint, ingested_at=minute(True)))
+    bad = validated_messages(spark, [edit("x")]).withColumn("value", F.lit(b"{oops"))
+    append_log(bad, root, "bad", ["n"])
+    drain(start_throughput(spark, root, panel, checkpoint, ingested_at=minute(True)))
+    # What a crash leaves and the retry of the batch replaces.
+    again = spark.read.parquet(f"{panel}/batch_id=1").collect()
+    spark.createDataFrame(again).write.mode("overwrite").parquet(f"{panel}/batch_id=1")
+    got = [(r.time.hour * 60 + r.time.minute, r.events) for r in throughput_now(spark, panel).collect()]
+    assert got == [(1, 5), (10, 2), (60, 1)]
+
+    # With a bound, rows for minutes that have left the state are not counted.
+    panel, checkpoint = str(tmp_path / "panel2"), str(tmp_path / "cp2")
+    drain(start_throughput(spark, root, panel, checkpoint, ingested_at=minute(True), late="10 minutes", max_per_trigger=1))
+    newest = {r.time.hour * 60 + r.time.minute: r.events for r in throughput_now(spark, panel).collect()}
+    assert newest[60] == 1 and newest[1] <= 5
+
+
+def test_state_audit_and_reshard(spark, tmp_path):
+    root, model = str(tmp_path / "log"), P.ReadModel(str(tmp_path / "model"))
+    append(spark, root, "a", [edit(f"s{n}", f"T{n % 4}") for n in range(20)] + [edit("s3"), edit("s4")])
+    P.project(spark, root, model, state_partitions=3)
+    assert tuple(P.state_audit(spark, model).collect()[0]) == (20, 20, 0, 0)
+    assert {r.partition_id for r in P.state_sizes(spark, model).collect()} <= {0, 1, 2}
+    lost = spark.read.parquet(model.batch("applied", 0)).where("event_id <> 's7'").collect()
+    spark.createDataFrame(lost, P.APPLIED).write.mode("overwrite").parquet(model.batch("applied", 0))
+    assert tuple(P.state_audit(spark, model).collect()[0]) == (20, 19, 1, 0)
+    P.rebuild(spark, root, model, state_partitions=2)
+    assert tuple(P.state_audit(spark, model).collect()[0]) == (20, 20, 0, 0)
+    assert {r.partition_id for r in P.state_sizes(spark, model).collect()} <= {0, 1}
+
+
+def test_counters_survive_a_restart(spark, tmp_path):
+    root, backup, checkpoint = (str(tmp_path / name) for name in ("log", "backup", "cp"))
+    for number in range(2):
+        append(spark, root, f"c{number}", [edit(f"c{number}-{n}", f"T{n}") for n in range(30)])
+        drain(C.archiver(spark, root, backup, checkpoint, rows=8))
+    totals = {r.name: r.value for r in G.counters(spark, root, S.GROUP_BACKUP).collect()}
+    files = spark.read.text(f"{backup}/raw").inputFiles()
+    assert totals == {"rows": 60, "flushes": 2, "objects": len(files)}
+    raw_topic(spark, str(tmp_path / "raw"), [payload(), "junk", payload(meta_id="q")])
+    drain(C.validator(spark, str(tmp_path / "raw"), str(tmp_path / "cp3")))
+    totals = {r.name: r.value for r in G.counters(spark, str(tmp_path / "raw"), S.GROUP_VALIDATOR).collect()}
+    assert totals == {"rows": 3, "flushes": 1, "validated": 2, "dead_lettered": 1}
+
+
+def test_page_lookup_reads_the_row_groups_of_its_key(spark, tmp_path):
+    root, model = str(tmp_path / "log"), P.ReadModel(str(tmp_path / "model"))
+    append(spark, root, "a", [edit(f"p{n}", f"Title {n:04d}") for n in range(4000)])
+    P.project(spark, root, model)
+    hadoop = spark._jsc.hadoopConfiguration()
+    hadoop.set("parquet.block.size", "4096")
+    hadoop.set("parquet.page.size", "1024")
+    try:
+        P.compact(spark, model, "page_activity")
+    finally:
+        hadoop.unset("parquet.block.size")
+        hadoop.unset("parquet.page.size")
+    append(spark, root, "b", [edit("new", "Title 0042", "late", at=7)])
+    P.project(spark, root, model)
+    found = P.get_page(spark, model, "enwiki", "Title 0042")
+    assert [tuple(r)[2:] for r in found.collect()] == [(2, 0, 100, "late")]
+    assert P.get_page(spark, model, "enwiki", "Title 9").collect() == []
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("EqualTo(title,Title 0042)") >= 2  # snapshot and later batches
+    files = sorted(glob.glob(f"{model.snapshots('page_activity')}/upto=*/*.parquet"))
+    spans = []
+    for file in files:
+        meta = pq.ParquetFile(file).metadata
+        column = next(i for i in range(meta.num_columns) if meta.row_group(0).column(i).path_in_schema == "title")
+        spans += [(s.min, s.max) for s in (meta.row_group(g).column(column).statistics for g in range(meta.num_row_groups))]
+    assert len(spans) > 3 and sum(a <= "Title 0042" <= b for a, b in spans) == 1
+    folder = glob.glob(f"{model.snapshots('page_activity')}/upto=*")[0]
+    scan = spark.read.schema(P.TABLES["page_activity"].schema).parquet(folder).where("title = 'Title 0042'")
+    assert scan.count() == 1
+    sizes = [os.path.getsize(f) for f in files]
+    plain = str(tmp_path / "plain")
+    spark.read.parquet(folder).write.parquet(plain)
+    assert sum(sizes) > sum(os.path.getsize(f) for f in glob.glob(f"{plain}/*.parquet"))  # the filters take room
