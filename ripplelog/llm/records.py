@@ -76,7 +76,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Texts that hold the string of an added token go whole through the tokenizer.
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values() if x.content]
         self.known: dict[str, bytes] = {}
         self.most = most
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
@@ -129,6 +130,8 @@ class Encoder:
         for text in texts:
             if not text:
                 parts.append([])
+            elif any(x in text for x in self.added):
+                parts.append((self._encode([text])[0], []))
             elif len(" ".join(text.split())) != len(text):  # white space meets, or stands at an end
                 first, *rest = re.split(r" (?=\S)", text)
                 parts.append((self._encode([first])[0] if first else b"", rest))

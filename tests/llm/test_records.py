@@ -14,7 +14,6 @@ def whole(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return [x.ids for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -29,6 +28,12 @@ def test_parts_are_coded_as_the_whole_text_is():
             assert np.frombuffer(got, "<u2").tolist() == ids, repr(text)
 
 
+def test_the_string_of_an_added_token_is_that_token():
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext|", "a  <|endoftext|>\t"]
+    got = [np.frombuffer(x, "<u2").tolist() for x in R.Encoder(tokenizer_path()).many(texts)]
+    assert got == whole(texts) and got[0] == [64, 220, 50256, 275]
+
+
 def test_table_counts_and_checks(docs, prose):
     texts = [prose(i, i % 50) for i in range(150)] + [None, ""]
     got = {r.id: r for r in R.token_table(docs(texts), tokenizer_path(), files=7).collect()}
