@@ -50,6 +50,20 @@ def test_other_sizes(docs, prose):
     assert got == brute(texts, 9) and got
 
 
+def test_sides_that_agree_with_different_documents(spark, docs, prose):
+    a, b, m = prose(1, 40), prose(2, 40), prose(3, 20)
+    sides = [f"{a} {m} {b}", f"{a} {m} {prose(4, 45)}", f"{prose(5, 45)} {m} {b}"]
+    # Words that many documents have, each with words of its own around them, and copies.
+    common = [f"{prose(100 + i, 12)} {m} {prose(300 + i, 50)}" for i in range(60)]
+    texts = sides + common + [common[0]] * 40
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # several ranges, also of so few rows
+    try:
+        got = {tuple(r) for r in R.repeated_passages(docs(texts)).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == brute(texts, 50) and {r[0] for r in got} == {0, 1, 2, 3, *range(63, 103)}
+
+
 def test_odd_rows(spark, odd):
     assert R.repeated_passages(odd).collect() == []
     again = odd.union(odd.withColumn("doc_id", odd["doc_id"] + 100))
