@@ -25,7 +25,8 @@ BATCH = 32
 MISS = 1e-5
 #: Documents, and shingles of them, in each half of a block that one task compares.
 TILE, TILE_SHINGLES = 2048, 4_000_000
-#: Up to this size, what the buckets join is compared as a whole, above it bucket by bucket.
+#: Up to this size, what the buckets join is one unit of comparison, above it each bucket is one. Either
+#: way, the pairs that share a bucket are compared and no others.
 WHOLE = 16_384
 
 
@@ -137,10 +138,12 @@ def _linked(
 ) -> list[tuple[int, int]]:
     """Links that join the rows of a block as all its links do; no more of them than rows.
 
-    Each row is compared with the later ones (of the other half, if ``cross``): signatures first,
-    batch by batch, then the full sets of the survivors that aren't joined with it yet.
+    Each row is compared with the later ones (of the other half, if ``cross``) that share a band with
+    it: signatures first, batch by batch, then the full sets of the survivors that aren't joined with
+    it yet.
     """
     n, size = len(half), np.diff(bounds)
+    bands = signature.view("<u8")  # ROWS minima of 16 bits each
     shingle = np.unique(grams, return_inverse=True)[1].reshape(-1)
     marked = np.zeros(int(shingle.max(initial=0)) + 1, bool)
     forest, links = _Forest(n), []
@@ -150,6 +153,7 @@ def _linked(
         # A set that is too small or too large cannot reach the threshold.
         least, most = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
         y = y[threshold[1] * least >= threshold[0] * most]
+        y = y[(bands[y] == bands[x]).any(1)]
         matches = np.zeros(len(y), np.int64)
         for step, fewest in enumerate(stay):
             part = slice(step * BATCH, (step + 1) * BATCH)
@@ -236,14 +240,15 @@ def near_duplicates(
 
     1. Equal sets become one node. MinHash bands put nodes into buckets.
     2. Nodes that buckets join, directly or through others, make a unit of comparison; if there are
-       more than ``WHOLE`` of them, each of their buckets is one. A unit is cut into halves of
+       more than ``WHOLE`` of them, each of their buckets is one. This decides where pairs are
+       compared, not which: within a unit, only those that share a band are. A unit is cut into halves of
        bounded size, and each pair of halves is a block, compared in one task.
     3. In a block, signatures are compared batch by batch, and a pair is dropped once the posterior
        probability that it reaches the threshold is below ``miss``. Survivors are verified on their
        full sets, unless links have joined them already. A block returns the links that join its
        rows, fewer than it has rows; components of these links are those of all links.
 
-    So no pair that shares a bucket is left out, and no list of pairs is ever written.
+    So no pair that shares a bucket is left out, at any size, and no list of pairs is ever written.
 
     Null and blank texts have no shingles and link with nothing. Null ids take no part: component
     null, kept. Rows of one id are one document, linked with each other. Equal rows get equal results.

@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from ripplelog.llm import neardup as N
 from ripplelog.llm.components import components
 
@@ -35,6 +37,15 @@ def edited(text, rng, n):
     return " ".join(words)
 
 
+def test_only_rows_that_share_a_band_are_compared():
+    sets = np.tile(np.arange(10, dtype=np.uint64), 3)
+    signature = np.zeros((3, N.HASHES), "<u2")
+    signature[1, :: N.ROWS] = 1  # like row 0 in three of four hashes, but in no band
+    signature[2, : -N.ROWS : N.ROWS] = 2  # like row 0 in the last band
+    found = N._linked(np.zeros(3, int), False, signature, sets, np.array([0, 10, 20, 30]), [0] * 4, (75, 100))
+    assert found == [(0, 2)]
+
+
 def corpus(prose):
     """Families whose members' likeness lies on both sides of the threshold, copies and short texts."""
     rng = random.Random(1)
