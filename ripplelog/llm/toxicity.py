@@ -22,9 +22,11 @@ WINDOW, STRIDE = 32, 16
 WIDTH, STATE = 12, 8
 #: Character sequences of these lengths, hashed into so many buckets.
 GRAMS, BUCKETS = (3, 4, 5), 1 << 14
-#: The training sample: so many rows of each class, of texts up to a length, and so many windows of
-#: each text. Scoring knows no such bounds.
-TOXIC_ROWS, CLEAN_ROWS, SAMPLE_CHARS, SAMPLE_WINDOWS = 1600, 2400, 20_000, 12
+#: The training sample: so many rows of each class, of any length, and so many windows of each text. Of
+#: a text beyond so many characters, as many are taken in pieces from all over it. Scoring knows no such
+#: bounds.
+TOXIC_ROWS, CLEAN_ROWS, SAMPLE_WINDOWS = 1600, 2400, 12
+SAMPLE_CHARS, SAMPLE_PIECES = 20_000, 10
 #: A word or character sequence counts as known from this many sampled texts on.
 KNOWN_FROM, MOST_WORDS = 4, 20_000
 THRESHOLD = 0.3
@@ -335,10 +337,23 @@ def held_out(id_col: str):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+def sampled_text(text_col: str, key_col: str):
+    """The text, or ``SAMPLE_PIECES`` pieces of a long one: one from a seeded place of each equal part."""
+    text, part = F.col(text_col), F.floor(F.length(text_col) / SAMPLE_PIECES)
+    size = SAMPLE_CHARS // SAMPLE_PIECES
+
+    def piece(k):
+        place = F.pmod(F.xxhash64(key_col, k), part - size + 1)
+        return F.substr(text, (k * part + place + 1).cast("int"), F.lit(size))
+
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(SAMPLE_PIECES - 1)), piece)
+    return F.when(F.length(text_col) > SAMPLE_CHARS, F.array_join(pieces, " ")).otherwise(text)
+
+
 def training_sample(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
 ) -> tuple[list[str], list[int]]:
-    """Texts and labels of a bounded, seeded sample of rows that aren't held out."""
+    """Texts and labels of a bounded, seeded sample of rows that aren't held out and have a text."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("key")).agg(F.max(label_col).cast("int").alias("label"))
     most = {1: TOXIC_ROWS, 0: CLEAN_ROWS}
@@ -346,8 +361,9 @@ def training_sample(
     chosen = [known.where(F.col("label") == c).orderBy(order, "key").limit(n) for c, n in most.items()]
     # At most TOXIC_ROWS + CLEAN_ROWS rows of two numbers.
     ids = F.broadcast(chosen[0].union(chosen[1]))
-    short = df.where(F.length(text_col) <= SAMPLE_CHARS).select(F.col(id_col).alias("key"), F.col(text_col).alias("t"))
-    rows = short.join(ids, "key").groupBy("key").agg(F.min("t").alias("t"), F.max("label").alias("label"))
+    texts = df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("key"), F.col(text_col).alias("whole"))
+    rows = texts.join(ids, "key").select("key", sampled_text("whole", "key").alias("t"), "label")
+    rows = rows.groupBy("key").agg(F.min("t").alias("t"), F.max("label").alias("label"))
     got = sorted(rows.toLocalIterator(), key=lambda r: r.key)
     return [r.t for r in got], [r.label for r in got]
 

@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -76,13 +77,28 @@ def test_only_texts_enter_and_folds_hold(spark):
     docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
     marks = spark.createDataFrame([(i, y) for i, y in enumerate(labels)], "doc_id long, toxic int")
     sample, _ = T.training_sample(docs, marks)
-    import zlib
+
 
     assert set(sample) <= {t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 4 != 2}
     held = {r.doc_id for r in docs.where(T.held_out("doc_id")).collect()}
     assert held == {i for i in range(300) if zlib.crc32(str(i).encode()) % 4 == 2}
 
 
+def test_long_texts_teach_from_all_over(spark):
+    words = [f"word{i}" for i in range(40_000)]
+    texts = [" ".join(words), "short text", None]
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2][:3]
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")
+    marks = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    sample, labels = T.training_sample(docs, marks)
+    assert sample[1] == texts[1] and labels == [0, 1]
+    assert len(sample[0]) == T.SAMPLE_CHARS + T.SAMPLE_PIECES - 1
+    size = T.SAMPLE_CHARS // T.SAMPLE_PIECES
+    pieces = [sample[0][k * (size + 1) :][:size] for k in range(T.SAMPLE_PIECES)]
+    part = len(texts[0]) // T.SAMPLE_PIECES
+    assert all(part * k <= texts[0].find(x) <= part * (k + 1) - size for k, x in enumerate(pieces))
+
+
 def test_odd_rows(spark, odd):
     labels = spark.createDataFrame([(0, 1), (1, 0), (4, 0), (5, None), (6, 1), (None, 1)], "doc_id long, toxic int")
     got = T.toxic_scores(odd, labels).collect()
