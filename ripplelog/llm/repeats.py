@@ -68,19 +68,27 @@ class _Text:
         return mixed(self.sums.of(begin, end) + where)
 
     def letters(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """A byte of each word behind the prefix, and of each word before it, nearest first; 0 beyond
-        the text. Equal words have equal bytes."""
-        byte = np.append(np.maximum(self.words >> np.uint64(56), np.uint64(1)).astype(np.uint8), np.uint8(0))
+        """Four bits of each word behind the prefix, and of each word before it, nearest first; 0 beyond
+        the text. Equal words have equal bits, two to a byte."""
+        bits = np.append(np.maximum(self.words >> np.uint64(60), np.uint64(1)).astype(np.uint8), np.uint8(0))
         text, steps, none = self.owner(places), np.arange(self.span), len(self.words)
         right = places[:, None] + self.prefix + steps
         right = np.where(right < self.offsets[text + 1][:, None], right, none)
         left = places[:, None] - 1 - steps
         left = np.where(left >= self.offsets[text][:, None], left, none)
-        return byte[right], byte[left]
+        return bits[right], bits[left]
 
 
 def _binary(rows: np.ndarray) -> pa.Array:
-    return pa.array([x.tobytes() for x in rows], pa.binary())
+    """Rows of four-bit numbers, two to a byte."""
+    rows = np.pad(rows, ((0, 0), (0, rows.shape[1] % 2)))
+    return pa.array([x.tobytes() for x in rows[:, ::2] << 4 | rows[:, 1::2]], pa.binary())
+
+
+def _letters(column: pa.ChunkedArray, span: int) -> np.ndarray:
+    """What ``_binary`` packed."""
+    packed = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, -(-span // 2))
+    return np.stack([packed >> 4, packed & 15], axis=2).reshape(len(packed), -1)[:, :span]
 
 
 def _suffixes(df: DataFrame, passage: int, prefix: int) -> DataFrame:
@@ -110,11 +118,12 @@ def _suffixes(df: DataFrame, passage: int, prefix: int) -> DataFrame:
 
 
 def _agreement(df: DataFrame, column: str, span: int) -> DataFrame:
-    """Adds ``agree`` to rows with a key, low and high: sorted by key and ``column``, how many bytes of
-    that column a row has in common with the better one of its neighbours; -1 if neither has its key.
+    """Adds ``agree`` to rows with a key, low and high: sorted by key and ``column``, in how many words of
+    that column a row agrees with the better one of its neighbours; -1 if neither has its key.
 
-    No other row of the key agrees in more. Rows of several documents agree in all bytes, and so do, to
-    be safe, the first and the last one of a partition, whose neighbours are elsewhere.
+    No other row of the key agrees in more. Rows of several documents agree in all words, and so do, to
+    be safe, the first and the last one of a partition, whose neighbours are elsewhere. Words are told
+    by four bits here, so it may be more than the words themselves, never less.
     """
     names = df.columns
 
@@ -125,7 +134,7 @@ def _agreement(df: DataFrame, column: str, span: int) -> DataFrame:
                 continue
             both = pa.Table.from_batches([held, batch] if held is not None else [batch]).combine_chunks()
             key = both["key"].to_numpy()
-            data = np.frombuffer(b"".join(both[column].to_pylist()), np.uint8).reshape(len(key), span)
+            data = _letters(both[column], span)
             same = np.append(data[1:] == data[:-1], np.zeros((len(key) - 1, 1), bool), axis=1).argmin(1)
             same = np.where(key[1:] == key[:-1], same, -1)
             around = np.concatenate(([before], same))
