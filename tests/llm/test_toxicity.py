@@ -77,8 +77,6 @@ def test_only_texts_enter_and_folds_hold(spark):
     docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
     marks = spark.createDataFrame([(i, y) for i, y in enumerate(labels)], "doc_id long, toxic int")
     sample, _ = T.training_sample(docs, marks)
-
-
     assert set(sample) <= {t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 4 != 2}
     held = {r.doc_id for r in docs.where(T.held_out("doc_id")).collect()}
     assert held == {i for i in range(300) if zlib.crc32(str(i).encode()) % 4 == 2}
