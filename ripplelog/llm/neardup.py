@@ -139,17 +139,19 @@ def _linked(
     """Links that join the rows of a block as all its links do; no more of them than rows.
 
     Each row is compared with the later ones (of the other half, if ``cross``) that share a band with
-    it: signatures first, batch by batch, then the full sets of the survivors that aren't joined with
-    it yet.
+    it and that links haven't joined with it yet: signatures first, batch by batch, then the full sets
+    of the survivors. So a large group of copies costs little more than one row of comparisons.
     """
     n, size = len(half), np.diff(bounds)
     bands = signature.view("<u8")  # ROWS minima of 16 bits each
     shingle = np.unique(grams, return_inverse=True)[1].reshape(-1)
     marked = np.zeros(int(shingle.max(initial=0)) + 1, bool)
     forest, links = _Forest(n), []
+    roots = forest.roots()
     other = np.flatnonzero(half) if cross else None
     for x in np.flatnonzero(half == 0) if cross else range(n - 1):
         y = other if cross else np.arange(x + 1, n)
+        y = y[roots[y] != roots[x]]
         # A set that is too small or too large cannot reach the threshold.
         least, most = np.minimum(size[x], size[y]), np.maximum(size[x], size[y])
         y = y[threshold[1] * least >= threshold[0] * most]
@@ -160,10 +162,9 @@ def _linked(
             matches += (signature[y, part] == signature[x, part]).sum(1)
             alive = matches >= fewest
             y, matches = y[alive], matches[alive]
-        if len(y):
-            y = y[forest.roots()[y] != forest.find(x)]
         if not len(y):
             continue
+        before = len(links)
         own = shingle[bounds[x] : bounds[x + 1]]
         marked[own] = True
         for some in np.array_split(y, -(-int(size[y].sum()) // 4_000_000)):
@@ -178,6 +179,8 @@ def _linked(
                     forest.parent[max(a, b)] = min(a, b)
                     links.append((int(x), z))
         marked[own] = False
+        if len(links) > before:
+            roots = forest.roots()
     return links
 
 
