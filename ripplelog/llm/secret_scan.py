@@ -130,12 +130,17 @@ class Scanner:
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(start, number of the kind, end) in order."""
-        found = self.base(text)
+        base = sorted(self.base(text))
+        found, n, reach = list(base), 0, 0
+        # Stretches come in order of their start, so one pass over the base spans tells which they cover.
         for m in self.candidate.finditer(text):
             for first, part in self.parts(m[0]):
                 for a, b in high_entropy(part, self.window, self.thresholds[_char_class(part)], self.thresholds):
                     a, b = a + first + m.start(), b + first + m.start()
-                    if not any(s <= a and b <= e for s, kind, e in found if kind < 3):
+                    while n < len(base) and base[n][0] <= a:
+                        reach = max(reach, base[n][2])
+                        n += 1
+                    if b > reach:
                         found.append((a, 3, b))
         return sorted(found)
 

@@ -73,6 +73,26 @@ def test_what_is_glued_to_a_secret_does_not_hide_it():
     assert [scanner.spans(x) for x in plain] == [[]] * len(plain)
 
 
+def test_stretches_in_a_base_span_are_left_out():
+    """Against each stretch compared with every base span."""
+    rng = random.Random(6)
+    scanner = S.Scanner(S.WINDOW, S.THRESHOLDS, S.ALLOWED)
+    draw = lambda n: "".join(rng.choice("abcdefghijkmnpqrsuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789/+") for _ in range(n))
+    for _ in range(60):
+        text = "".join(
+            rng.choice(["token=", "password: ", "secret", " ", ", ", "0f" * 17, "AKIA" + "Q7" * 9, "=", ""]) + draw(rng.choice([0, 5, 24, 50]))
+            for _ in range(rng.randint(1, 40))
+        )
+        base, want = scanner.base(text), []
+        for m in scanner.candidate.finditer(text):
+            for first, part in scanner.parts(m[0]):
+                for a, b in S.high_entropy(part, S.WINDOW, S.THRESHOLDS[S._char_class(part)], S.THRESHOLDS):
+                    a, b = a + first + m.start(), b + first + m.start()
+                    if not any(s <= a and b <= e for s, _, e in base):
+                        want.append((a, 3, b))
+        assert scanner.spans(text) == sorted(base + want)
+
+
 def test_odd_rows(spark, odd):
     got = S.scan_secrets(odd).collect()
     assert len(got) == odd.count()
