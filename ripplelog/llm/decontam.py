@@ -51,10 +51,13 @@ class TestSet:
             if numbers:
                 by_words[numbers].add(item)
         self.ids = [sorted(x) for x in by_words.values()]
-        owners: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
+        owners: dict[tuple, list[tuple[int, int, int, int]]] = defaultdict(list)
         for n, numbers in enumerate(by_words):
+            # The words on both sides; beyond the item's ends there are numbers that no text has.
+            beside = (-1, *numbers, -1)
             for j in range(max(1, len(numbers) - window + 1)):
-                owners[numbers[j : j + window]].append((n, j))
+                key = numbers[j : j + window]
+                owners[key].append((n, j, beside[j], beside[j + 1 + len(key)]))
         self.lengths = np.array([len(x) for x in owners], np.int64)
         low = np.zeros((len(owners), window), ">u4")
         high = np.full((len(owners), window), 0xFFFFFFFF, ">u4")
@@ -73,7 +76,8 @@ class TestSet:
         """For each text: number of words, hit intervals, ids of items found, longest matches.
 
         The suffix array holds each position at which a test suffix could begin. Every test suffix
-        is looked up by binary search; occurrences on one diagonal join to one longest match.
+        is looked up by binary search; occurrences on one diagonal join to one longest match, of which
+        only the two ends are looked for.
         """
         get = self.vocabulary.get
         coded, sizes = [], []
@@ -101,40 +105,56 @@ class TestSet:
         first = np.searchsorted(keys, self.low, "left")
         last = np.searchsorted(keys, self.high, "right")
         starts = np.cumsum([0] + [n + 1 for n in sizes])
-        pieces = []
+        # A match is longest if it can't go on to either side. Its first and its last window are found
+        # each by itself, and the n-th of each on a diagonal belong together; a repeated window costs
+        # no more than the longest matches it takes part in.
+        heads, tails = [], []
         for n in np.flatnonzero(first < last):
-            places = np.sort(suffixes[first[n] : last[n]])
-            for item, j in self.owners[n]:
-                pieces.append(
-                    np.stack([np.full(len(places), item), places - j, places, np.full(len(places), self.lengths[n])])
-                )
-        if not pieces:
-            return found
-        item, diagonal, place, length = np.concatenate(pieces, axis=1)
-        doc = np.searchsorted(starts, place, "right") - 1
-        order = np.lexsort((place, diagonal, item, doc))
-        item, diagonal, place, length, doc = (x[order] for x in (item, diagonal, place, length, doc))
-        new = np.ones(len(place), bool)
-        new[1:] = (
-            (doc[1:] != doc[:-1])
-            | (item[1:] != item[:-1])
-            | (diagonal[1:] != diagonal[:-1])
-            | (place[1:] != place[:-1] + 1)
-        )
-        begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(place)) - 1
-        for b, e in zip(begin, end, strict=True):
-            d, a = int(doc[b]), int(place[b])
-            start, words = a - int(starts[d]), int(place[e]) + int(length[e]) - a
-            for name in self.ids[item[b]]:
+            places, width = np.sort(suffixes[first[n] : last[n]]), self.lengths[n]
+            own = self.owners[n]
+            heads.append(_unlike(places, np.where(places > 0, ids[places - 1], 0), own, own[:, 2]))
+            tails.append(_unlike(places + width, ids[places + width], own + [0, width, 0, 0], own[:, 3]))
+        item, at, begin = _on_diagonals(heads)
+        stop = _on_diagonals(tails)[2]
+        doc = np.searchsorted(starts, begin, "right") - 1
+        for k in np.lexsort((begin, begin - at, item, doc)):
+            d = int(doc[k])
+            start, words = int(begin[k] - starts[d]), int(stop[k] - begin[k])
+            for name in self.ids[item[k]]:
                 found[d][2].append(name)
-                found[d][3].append(
-                    {"item": name, "item_start": a - int(diagonal[b]), "start": start, "words": words}
-                )
+                found[d][3].append({"item": name, "item_start": int(at[k]), "start": start, "words": words})
             found[d][1].append({"start": start, "end": start + words})
         return [(n, hits, sorted(set(names)), matches) for n, hits, names, matches in found]
 
 
+def _unlike(places: np.ndarray, beside: np.ndarray, owners: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """(item, place in the item, place) of the places and owners that have different words beside them.
+
+    At most one word is beside more than half of the owners, so the work is in proportion to what
+    comes out.
+    """
+    if len(owners) == 1:
+        chosen = places[beside != words[0]]
+        return np.stack([np.full(len(chosen), owners[0, 0]), np.full(len(chosen), owners[0, 1]), chosen])
+    out = []
+    order = np.argsort(beside, kind="stable")
+    cuts = np.flatnonzero(np.diff(beside[order])) + 1
+    for group in np.split(order, cuts):
+        other = owners[words != beside[group[0]]]
+        out.append(
+            np.stack([np.repeat(other[:, 0], len(group)), np.repeat(other[:, 1], len(group)), np.tile(places[group], len(other))])
+        )
+    return np.concatenate(out, axis=1)
+
+
+def _on_diagonals(pieces: list[np.ndarray]) -> np.ndarray:
+    """(item, place in the item, place) sorted by item, diagonal and place."""
+    if not pieces:
+        return np.zeros((3, 0), np.int64)
+    item, at, place = rows = np.concatenate(pieces, axis=1)
+    return rows[:, np.lexsort((place, place - at, item))]
+
+
 def _scan(df: DataFrame, block: list[tuple[str, bytes]], window: int) -> DataFrame:
     """Adds what of the block occurs in ``text``; drops the text."""
     carried = [f for f in df.schema.fields if f.name != "text"]

@@ -51,6 +51,41 @@ def test_longest_matches_and_places(spark, docs):
     assert sorted(map(tuple, found)) == [("7", 0, 7, 3), ("7", 1, 1, 5)]
 
 
+def longest(text, item, window):
+    """(place in the item, place in the text, words) of the stretches that can't go on to either side."""
+    doc, item, out = words(text), words(item), set()
+    if 0 < len(item) < window:
+        return {(0, p, len(item)) for p in range(len(doc) - len(item) + 1) if doc[p : p + len(item)] == item}
+    for j in range(len(item)):
+        for p in range(len(doc)):
+            if doc[p] == item[j] and not (j and p and doc[p - 1] == item[j - 1]):
+                n = 1
+                while j + n < len(item) and p + n < len(doc) and doc[p + n] == item[j + n]:
+                    n += 1
+                if n >= window:
+                    out.add((j, p, n))
+    return out
+
+
+def test_longest_matches_of_repetitive_texts():
+    rng = random.Random(4)
+    for round_ in range(150):
+        some = lambda n: " ".join(rng.choice("ab"[: 1 + round_ % 2] + "c" * (round_ % 3)) for _ in range(rng.randint(0, n)))
+        items, texts = [(str(i), some(14)) for i in range(4)], [some(30) for _ in range(4)]
+        got = D.TestSet([(k, t.encode()) for k, t in items], 3).search([t.encode() for t in texts])
+        for text, (n, _, names, matches) in zip(texts, got, strict=True):
+            want = {(k, *m) for k, t in items for m in longest(text, t, 3)}
+            assert sorted((m["item"], m["item_start"], m["start"], m["words"]) for m in matches) == sorted(want)
+            assert n == len(words(text)) and names == sorted({k for k, *_ in want})
+
+
+def test_equal_words_cost_their_longest_matches_only():
+    """10^8 pairs of places and windows, but fewer than 10^5 matches."""
+    n, hits, names, matches = D.TestSet([("x", b"w " * 2000)], 10).search([b"w " * 60_000])[0]
+    assert (n, names, len(matches)) == (60_000, ["x"], 60_000 - 9 + 2000 - 9 - 1)
+    assert max(m["words"] for m in matches) == 2000
+
+
 def test_removal_keeps_clean_rows_and_columns(spark, docs):
     items, texts = cases()
     df, tests = docs(texts), spark.createDataFrame(items, "item_id string, text string")
