@@ -99,6 +99,27 @@ def _canonical(**fields: Column) -> Column:
     return F.to_json(F.struct(*[value.alias(name) for name, value in sorted(fields.items())]))
 
 
+def _call_json(result: Column) -> Column:
+    json = lambda value: _canonical(
+        arguments=value, call_id=F.col("call_id"), result=result, role=F.lit("call"), tool=F.col("tool")
+    )
+    plain = F.try_parse_json("arguments")
+    return F.when(plain.isNull(), json(F.col("arguments"))).otherwise(json(plain))
+
+
+def _further(rows: DataFrame, firsts: DataFrame, fields: list[str]) -> DataFrame:
+    """Rows (conv, call_id, fields) that aren't the first of their identifier, and how many are equal.
+
+    ``firsts`` has the first of each identifier and its copies; only identifiers with several take part.
+    """
+    keys = ["conv", "call_id"]
+    equal = rows.groupBy(*keys, *fields).agg(F.count("*").alias("copies"))
+    several = firsts.where("copies > 1").select(*keys, F.struct(*fields).alias("first"))
+    own = F.col("first").eqNullSafe(F.struct(*fields))
+    both = equal.join(several, keys)
+    return both.withColumn("copies", F.col("copies") - own.cast("bigint")).where("copies > 0").drop("first")
+
+
 def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """Rows (conv, turn, level, call_id, status, copies, errors, json), one per message or call.
 
@@ -108,9 +129,10 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     level and turn, calls stand in a topological order.
 
     status: ``linked`` (a call with its result), ``unanswered`` (a call without), ``orphan`` (a result
-    without a call) or ``message``. Calls and results are joined by conversation and identifier. Of
-    several calls or results with one identifier the first by turn counts, then the least; copies is
-    the number of calls. Calls and results without a conversation or identifier link with nothing.
+    without a call), ``duplicate`` or ``message``. Calls and results are joined by conversation and
+    identifier. Of several calls or results with one identifier the first by turn counts, then the
+    least; copies is the number of calls. Every further one is a ``duplicate``, with no level; there,
+    copies is the number of equal ones, which are one row. Calls and results without a conversation or identifier link with nothing.
     errors lists what the schema, or the order, has against the call. json is canonical: keys in
     order, no spaces, nulls left out; arguments that aren't JSON stay a string. Other nulls are null
     fields, other columns are dropped, equal plain messages stay as often as they come, and empty
@@ -122,14 +144,15 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     can = F.col("conv").isNotNull() & F.col("call_id").isNotNull()
     first = lambda *c: F.min(F.struct(*c)).alias("first")
     keys = ["conv", "call_id"]
-    calls = rows.where((F.col("role") == "call") & can).groupBy(*keys).agg(
-        first("turn", "tool", "arguments", "after"), F.count("*").alias("copies")
-    )
+    count = F.count("*").alias("copies")
+    asked, answers = (rows.where((F.col("role") == role) & can) for role in ("call", "result"))
+    calls = asked.groupBy(*keys).agg(first("turn", "tool", "arguments", "after"), count)
     calls = cut(calls.select(*keys, "first.*", "copies"), "calls")
-    results = rows.where((F.col("role") == "result") & can).groupBy(*keys).agg(first(F.col("turn").alias("result_turn"), "content"))
-    results = results.select(*keys, "first.*", F.lit(True).alias("answered"))
+    called = calls.select(*keys, F.lit(True).alias("called"))
+    results = answers.groupBy(*keys).agg(first("turn", "content"), count).select(*keys, "first.*", "copies")
+    answered = results.select(*keys, F.col("turn").alias("result_turn"), "content", F.lit(True).alias("answered"))
     ordered = calls.join(levels(calls.select(*keys, "after")), keys)
-    linked = ordered.join(results.hint("shuffle_hash"), keys, "left")
+    linked = ordered.join(answered.hint("shuffle_hash"), keys, "left")
 
     loose = rows.where((F.col("role") == "call") & ~can).select(
         *keys, "turn", "tool", "arguments", "after",
@@ -139,10 +162,6 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     )
     both = linked.select(*loose.columns).union(loose)
     wrong = argument_errors(F.col("tool"), F.col("arguments"), schemas)
-    plain = F.try_parse_json("arguments")
-    json = lambda value: _canonical(
-        arguments=value, call_id=F.col("call_id"), result=F.col("content"), role=F.lit("call"), tool=F.col("tool")
-    )
     done = both.select(
         "conv",
         "turn",
@@ -151,9 +170,16 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         F.when(F.col("answered"), F.lit("linked")).otherwise(F.lit("unanswered")).alias("status"),
         "copies",
         F.array_compact(F.concat(wrong, F.array("order_error"))).alias("errors"),
-        F.when(plain.isNull(), json(F.col("arguments"))).otherwise(json(plain)).alias("json"),
+        _call_json(F.col("content")).alias("json"),
     )
-    called = calls.select(*keys, F.lit(True).alias("called"))
+    none = F.array().cast("array<string>")
+    answer = _canonical(call_id=F.col("call_id"), content=F.col("content"), role=F.lit("result"))
+    again = _further(asked, calls, ["turn", "tool", "arguments", "after"])
+    again = again.withColumns({"errors": wrong, "json": _call_json(F.lit(None).cast("string"))})
+    late = _further(answers, results, ["turn", "content"]).join(called, keys, "left_semi")
+    late = late.withColumns({"errors": none, "json": answer})
+    level, status = F.lit(None).cast("bigint").alias("level"), F.lit("duplicate").alias("status")
+    twice = [x.select("conv", "turn", level, "call_id", status, "copies", "errors", "json") for x in (again, late)]
     orphans = rows.where(F.col("role") == "result").join(called.hint("shuffle_hash"), keys, "left_anti")
     others = rows.where(~F.coalesce(F.col("role").isin("call", "result"), F.lit(False)))
     rest = orphans.withColumn("status", F.lit("orphan")).union(others.withColumn("status", F.lit("message")).select(*orphans.columns, "status"))
@@ -164,7 +190,7 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
         "call_id",
         "status",
         F.lit(1).cast("bigint").alias("copies"),
-        F.array().cast("array<string>").alias("errors"),
+        none.alias("errors"),
         _canonical(call_id=F.col("call_id"), content=F.col("content"), role=F.col("role")).alias("json"),
     )
-    return done.select(*_COLUMNS).union(rest.select(*_COLUMNS))
+    return done.select(*_COLUMNS).union(rest.select(*_COLUMNS)).union(twice[0]).union(twice[1])

@@ -26,11 +26,29 @@ def test_links_duplicates_and_orphans(spark):
         (2, 0, "call", "c", "go", '{"speed": 1}', "b"),
     ])
     by = {(r.conv, r.status, r.call_id): r for r in got}
-    assert len(got) == 5 and by[1, "linked", "a"].copies == 2
+    assert len(got) == 7 and by[1, "linked", "a"].copies == 2
+    again = sorted((r.turn, r.level, r.copies, r.json) for r in got if r.status == "duplicate")
+    assert again == [
+        (4, None, 1, '{"arguments":{"x":2},"call_id":"a","role":"call","tool":"add"}'),
+        (5, None, 1, '{"call_id":"a","content":"late","role":"result"}'),
+    ]
     assert json.loads(by[1, "linked", "a"].json)["result"] == "first"
     assert by[2, "orphan", "a"].json == '{"call_id":"a","content":"elsewhere","role":"result"}'
     # c is called before b by turn, but after it by order
-    assert [(r.call_id, r.level) for r in sorted(got, key=lambda r: (r.level, r.turn)) if r.status == "unanswered"] == [("b", 0), ("c", 1)]
+    assert [(r.call_id, r.level) for r in sorted((r for r in got if r.status == "unanswered"), key=lambda r: (r.level, r.turn))] == [("b", 0), ("c", 1)]
+
+
+def test_every_call_and_result_is_told_once(spark):
+    """Equal rows, and a hot identifier: copies of all rows add up to the calls and results."""
+    rows = [(1, 0, "call", "a", "go", '{"speed":1}')] * 4 + [(1, 0, "result", "a", None, None, None, None)] * 3
+    rows += [(2, i % 7, "call", "hot", "go", '{"speed":"x"}', None if i % 2 else "hot") for i in range(300)]
+    rows += [(3, i, "result", "none", None, None, None, "r") for i in range(2)]
+    got = linked(spark, rows)
+    told = lambda conv, status, call: sum(r.copies for r in got if (r.conv, r.status, '"role":"call"' in r.json) == (conv, status, call))
+    assert told(1, "linked", True) == 4 and told(1, "duplicate", True) == 3 and told(1, "duplicate", False) == 2
+    assert told(2, "unanswered", True) == 300 and told(2, "duplicate", True) == 299
+    assert len([r for r in got if r.conv == 2]) == 1 + 14 and told(3, "orphan", False) == 2
+    assert {tuple(r.errors) for r in got if r.conv == 2 and r.status == "duplicate"} == {("speed: not number",)}
 
 
 def test_arguments_are_validated(spark):
