@@ -1,4 +1,8 @@
-"""The corpus pipeline: five stages, each over all that the one before kept."""
+"""The corpus pipeline: five stages, each over all that the one before kept.
+
+Every stage takes null, empty and very long texts, null ids, ties, equal rows, empty tables and further
+columns of any name; what each does with them is told there.
+"""
 
 from __future__ import annotations
 
@@ -14,27 +18,46 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the toxicity threshold."""
+    """Documents that score below the toxicity threshold, rows and columns as they come.
+
+    Null and empty texts are scored like any other, equal texts equally, long ones by all their windows.
+    """
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of near duplicates."""
+    """One document, that of the least id, of each group of near duplicates.
+
+    Null and blank texts are near to none, and rows with a null id take no part: all of them stay. Equal
+    rows with one id are one document and stay or go together.
+    """
     return neardup.drop_near_duplicates(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no passage with the benchmark."""
+    """Documents that share no passage with the benchmark.
+
+    Null and empty texts share nothing and stay; equal rows stay or go together; with an empty benchmark
+    all stay.
+    """
     return decontam.remove_test_text(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the last copy of one per source may be a part."""
+    """Documents as often as the mix takes them; the last copy of one per source may be a part.
+
+    Texts without words, null and empty ones among them, have nothing to take and go. A null source is
+    a source of its own, the last. Equal rows are taken one by one.
+    """
     return mixing.repeat_documents(docs)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row (doc_id, start, n_tokens, ids_crc32) per document copy, from the record files."""
+    """One row (doc_id, start, n_tokens, ids_crc32) per document copy, from the record files.
+
+    Null texts count as empty, which leaves the end id alone. Copies of one id have records of their
+    own.
+    """
     return records.token_table(docs, tokenizer_path()).withColumnRenamed("id", "doc_id")
 
 
