@@ -7,6 +7,7 @@ the text: ``++`` marks runs that what follows could not take part of anyway.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -213,10 +214,11 @@ def _follows(names: Column, i: Column) -> Column:
 
 
 def contexts(text: Column) -> Column:
-    """The context of each string of a text, hashed."""
+    """Structs (h, word): each string of a text and its context, hashed."""
     words = F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
-    pairs = lambda names: F.transform(names, lambda _, i: F.xxhash64(_follows(names, i)))
-    return let(F.transform(words, _known), pairs)
+    pair = lambda w, context: F.struct(F.xxhash64(context).alias("h"), w.alias("word"))
+    of = lambda w: let(F.transform(w, _known), lambda names: F.transform(w, lambda x, i: pair(x, _follows(names, i))))
+    return let(words, of)
 
 
 def plain_words(text: Column, key: str, test: Test) -> Column:
@@ -255,8 +257,9 @@ def placed_words(text: Column, test: Test) -> Column:
     return let(matches(text, _WORD), of)
 
 
-#: A context's seeds and likely instances must be one in so many of the strings that follow it.
-RARITY = 20
+#: A context's seeds and likely instances must be one in so many of the strings that follow it. Any
+#: share will do, unless a smaller number is set: precision alone decides.
+RARITY = math.inf
 #: Slots of a map of hashed keys, and how many share an entry of it.
 _SLOTS, _ENTRY = 1 << 17, 32
 
@@ -292,24 +295,33 @@ class Words:
         """Edges (context, instance) whose ``key`` passes the test, as often as they occur."""
         return self.texts.select(F.explode(plain_words(F.col("text"), key, test)).alias("t")).select("t.*")
 
-    def rare(self, sums: DataFrame) -> DataFrame:
-        """Contexts whose score is at least one in ``RARITY`` of the strings that follow them.
+    def rare(self, sums: DataFrame, precision: float) -> DataFrame:
+        """Contexts whose score can make the ``precision``: all but those that more distinct words
+        follow than that allows (and, if ``RARITY`` is set, more strings).
 
-        The strings of all contexts are counted in one pass, for the contexts asked about; so the
-        edges of those that are left are at most ``RARITY`` for each unit of score.
+        The words of all contexts asked about are counted exactly, in one pass over the corpus; so the
+        edges of those that are left are in proportion to their scores, and none that could be
+        trusted is left out.
         """
         named = sums.groupBy("context").agg(F.max("score").alias("score")).withColumn("h", F.xxhash64("context"))
         new = named if self.counted is None else named.join(self.counted, "h", "left_anti")
         new = cut(new.select("h").distinct(), "asked")
         if not new.isEmpty():
-            each = self.texts.select(F.explode(contexts(F.col("text"))).alias("h"))
-            found = each.where(_may_hold(new, "h", hashed=True)(F.col("h"))).groupBy("h").agg(F.count(F.lit(1)).alias("strings"))
-            counts = cut(new.join(found, "h", "left").na.fill(0, ["strings"]), "strings")
+            each = self.texts.select(F.explode(contexts(F.col("text"))).alias("t")).select("t.*")
+            each = each.where(_may_hold(new, "h", hashed=True)(F.col("h")))
+            own = F.when(_plain(F.col("word")), F.xxhash64(_core(F.col("word")))).alias("instance")
+            pairs = each.select("h", own).groupBy("h", "instance").agg(F.count(F.lit(1)).alias("n"))
+            found = pairs.groupBy("h").agg(F.sum("n").alias("strings"), F.count("instance").alias("words"))
+            counts = cut(new.join(found, "h", "left").na.fill(0, ["strings", "words"]), "strings")
             self.counted = counts if self.counted is None else self.counted.unionByName(counts)
         drop_cut(new)
         if self.counted is None:
             return named.select("context")
-        return named.join(self.counted, "h").where(F.col("strings") <= F.col("score") * RARITY).select("context")
+        most = F.col("score") / precision * (1 + 1e-9) if precision > 0 else F.lit(math.inf)
+        can = F.col("words") <= most
+        if RARITY < math.inf:
+            can &= F.col("strings") <= F.col("score") * RARITY
+        return named.join(self.counted, "h").where(can).select("context")
 
 
 class _Asked:
@@ -364,11 +376,10 @@ def learn_contexts(
     distinct already.
 
     ``words`` gives more edges without a kind, as many as the corpus has words; none of their
-    instances may be one of ``edges``. Support is then relative, too: a context whose score is less
-    than one in ``RARITY`` of the strings that follow it is not trusted. Edges of words are made
-    distinct in each task and never joined as a whole: of contexts with enough support only
-    the number of their edges is needed, of trusted ones the edges (few, since most of them go to
-    seeds), and of newly scored instances theirs.
+    instances may be one of ``edges``. Edges of words are made distinct in each task and never joined
+    as a whole: of contexts with enough support the number of their words is counted, and only of
+    those whose precision these allow the edges are made (few, since most of them go to seeds), and
+    of newly scored instances theirs. With ``RARITY``, support is relative, too.
     """
     distinct = cut(edges.groupBy("context", "instance").agg(F.min("kind").alias("kind")), "edges")
     seeds = distinct.where("kind IS NOT NULL").groupBy("instance").agg(F.min("kind").alias("kind"), F.lit(1.0).alias("score"))
@@ -381,7 +392,7 @@ def learn_contexts(
         sums = known.join(scores, "instance").groupBy("context", "kind").agg(F.sum("score").alias("score"))
         sums = cut(sums.where(F.col("score") >= support), "sums")
         if words is not None:
-            rare = cut(words.rare(sums), "rare")
+            rare = cut(words.rare(sums, precision), "rare")
             used += [sums, rare]
             sums = sums.join(rare, "context", "left_semi")
             behind.ask(sums)

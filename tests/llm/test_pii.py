@@ -105,6 +105,13 @@ def test_a_context_of_many_strings_is_no_context(docs, monkeypatch):
     assert not any(r.learnt for r in P.find_identifiers(docs(texts)).collect())
 
 
+def test_a_context_counts_by_distinct_strings_however_often_they_occur(docs):
+    texts = [f"so ring desk at +1 ({200 + i}) 555-{1000 + i} again" for i in range(8)] + ["so ring desk at noon"] * 300
+    got = {r.id: [(x.start, x.end) for x in r.learnt] for r in P.find_identifiers(docs(texts)).collect()}
+    assert [got[i] for i in range(308)] == bootstrap(texts)
+    assert {i for i in got if got[i]} == set(range(8, 308))
+
+
 def test_learnt_spans_equal_a_plain_bootstrap(docs):
     rng = random.Random(9)
     heads = ["mail to", "ring desk", "call me", "see at", "of the"]
