@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ripplelog.functions.keys import range_label
@@ -12,6 +12,8 @@ LOG_PARTITION = ["topic", "partition"]
 
 # Rows of one offset chunk: the most one window group can hold.
 CHUNK_ROWS = 100_000
+# Rows of a task that writes ordered rows: a share of all of them for each core, within these bounds.
+TASK_ROWS = (10_000, CHUNK_ROWS)
 
 
 def offset_ranges(batch: DataFrame, *extra: str) -> DataFrame:
@@ -47,6 +49,35 @@ def offset_runs(batch: DataFrame, width: int = CHUNK_ROWS, *extra: str) -> DataF
     )
 
 
+def task_rows(spark: SparkSession, total: int) -> int:
+    """Rows a task should take of so many that are dealt in order; never more than the upper bound."""
+    least, most = TASK_ROWS
+    return min(max(total // spark.sparkContext.defaultParallelism, least), most)
+
+
+def places_ahead(sizes: DataFrame, group: list[str], order: list[str], rows: str) -> DataFrame:
+    """Counts of rows with ``_start``, the rows ahead in the same group, and ``_ahead``, those ahead in
+    all groups. Groups are ordered apart; of all of them, only the totals are."""
+    before = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)  # a row per group
+    within = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0).cast("bigint")
+    totals = sizes.groupBy(*group).agg(F.sum(rows).alias("_total"))
+    firsts = totals.withColumn("_first", F.coalesce(F.sum("_total").over(before), none)).drop("_total")
+    firsts = firsts.select("_first", *[F.col(name).alias(f"_of_{name}") for name in group])
+    started = sizes.withColumn("_start", F.coalesce(F.sum(rows).over(within), none))
+    same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in group]
+    placed = started.join(firsts, same).withColumn("_ahead", F.col("_first") + F.col("_start"))
+    return placed.drop("_first", *[f"_of_{name}" for name in group])
+
+
+def dealt(rows: DataFrame, ahead: str, total: int) -> DataFrame:
+    """Rows in tasks of about :func:`task_rows` of the ``total``, in the order of ``ahead``: the column
+    ``_task`` has the number of each row's task. Rows of one ``ahead`` stay together."""
+    size = task_rows(rows.sparkSession, total)
+    placed = rows.withColumn("_task", F.floor(F.col(ahead) / size).cast("int"))
+    return placed.repartitionById(total // size + 1, F.col("_task"))
+
+
 def assign_offsets(
     df: DataFrame,
     order_by: list[str],
@@ -56,12 +87,13 @@ def assign_offsets(
     """Add a gap-free ``offset`` per (topic, partition), in the order of ``order_by``.
 
     One log partition may hold a third of all rows, so rows are numbered per chunk and shifted by
-    the number of rows in earlier chunks. ``chunk_by`` names columns that sort like a prefix of
+    the number of rows in earlier chunks. Each task takes some chunks that follow each other (see
+    :func:`dealt`), so its rows are bounded and the files it writes are few. ``chunk_by`` names columns that sort like a prefix of
     ``order_by`` and hold a bounded number of rows each (an offset chunk, a file block). Without
     them, rows are range-partitioned by order and staged in the shared folder, and each range is
     a chunk; staging fixes the range bounds, which Spark samples anew for every plan.
 
-    No row is lost: group columns may be null, and a row that finds no start is an error.
+    Chunk sizes are counted and staged at once. No row is lost: group columns may be null, and a row that finds no start is an error.
 
     ``order_by`` must be unique per log partition. ``high_water`` (topic, partition, high) gives
     the first free offsets; a partition without a row starts at 0.
@@ -78,27 +110,26 @@ def assign_offsets(
 
     group = [*LOG_PARTITION, *chunk_by]
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = (
-        Window.partitionBy(*LOG_PARTITION)
-        .orderBy(*chunk_by)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = sizes.withColumn(
-        "_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0).cast("bigint"))
-    ).drop("_rows")
+    starts, seen = places_ahead(sizes, LOG_PARTITION, chunk_by, "_rows"), Observation()
     if high_water is not None:
         starts = starts.join(high_water, LOG_PARTITION, "left").withColumn(
             "_start", F.col("_start") + F.coalesce(F.col("high"), F.lit(0).cast("bigint"))
         ).drop("high")
-
-    numbered = df.withColumn(
-        "_row", F.row_number().over(Window.partitionBy(*group).orderBy(*order_by))
+    starts = starts.observe(seen, F.sum("_rows").alias("rows")).select(
+        "_start", "_ahead", *[F.col(name).alias(f"_of_{name}") for name in group]
     )
-    starts = starts.select("_start", *[F.col(name).alias(f"_of_{name}") for name in group])
+    path = workspace(df.sparkSession, "starts")
+    starts.write.parquet(path)
+    starts = df.sparkSession.read.schema(starts.schema).parquet(path)
+
     same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in group]
     lost = F.raise_error(F.lit("a message has no offset")).cast("bigint")
+    placed = df.join(starts, same, "left").drop(*[f"_of_{name}" for name in group])
+    placed = placed.withColumn("_ahead", F.coalesce("_ahead", lost))
+    chunk = Window.partitionBy("_task", *group).orderBy(*order_by)
     return (
-        numbered.join(starts, same, "left")
-        .withColumn("offset", F.coalesce(F.col("_start") + F.col("_row") - F.lit(1), lost))
-        .drop("_row", "_start", "_range", *[f"_of_{name}" for name in group])
+        dealt(placed, "_ahead", seen.get["rows"] or 0)
+        .withColumn("_row", F.row_number().over(chunk))
+        .withColumn("offset", F.col("_start") + F.col("_row") - F.lit(1))
+        .drop("_row", "_start", "_ahead", "_task", "_range")
     )

@@ -59,9 +59,12 @@ PAYLOAD = """CASE WHEN defect = 7 THEN substr(document, 1, length(document) - 10
 
 
 def _spread(events: DataFrame) -> DataFrame:
-    """Give every core a share of a table with fewer splits than cores; a large one stays as it is."""
+    """Deal the rows of a table to tasks of at most ``CHUNK_ROWS`` rows, one for each core at least.
+
+    Splits of a file say little: one without a row group is empty, and one row group may hold all rows.
+    """
     cores = events.sparkSession.sparkContext.defaultParallelism
-    return events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+    return events.repartition(max(cores, -(-events.count() // CHUNK_ROWS)))  # counted from the footers
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,10 +147,13 @@ def write_raw_topic(spark: SparkSession, sf_dir: str, root: str, segments: int =
 
 
 def mirror_raw_topic(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """The raw topic under its own offsets, which have gaps: first deliveries, then redeliveries."""
+    """The raw topic under its own offsets, which have gaps: first deliveries, then redeliveries.
+
+    Rows of a log partition are gathered in tasks whose size Spark bounds, so that files are few."""
     rows = raw_log(spark, sf_dir).drop("chunk")
     for redelivery in (0, 1):
-        mirror_log(rows.where(F.col("redelivery") == redelivery), root, f"seed-{redelivery}")
+        part = rows.where(F.col("redelivery") == redelivery).hint("rebalance", "partition")
+        mirror_log(part, root, f"seed-{redelivery}")
 
 
 def events_of(log: DataFrame) -> DataFrame:

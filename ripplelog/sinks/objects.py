@@ -1,8 +1,14 @@
-"""Backup and lake: one folder per object of a log partition, replaced when written again."""
+"""Backup and lake: one folder per object of a log partition, replaced when written again.
+
+Tasks take rows in order and in bounded numbers, so a large object has several files, whose names sort
+as their rows do.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -12,7 +18,7 @@ from ripplelog.files import remove
 from ripplelog.functions.keys import range_label
 from ripplelog.functions.times import utc_date
 from ripplelog.operators.decode import text, with_page_key
-from ripplelog.operators.offsets import chunk_of, offset_runs
+from ripplelog.operators.offsets import chunk_of, dealt, offset_runs, places_ahead
 from ripplelog.session import workspace
 from ripplelog.sinks.log import append_log
 from ripplelog.sources.lake import backup_folder, lake_folder, ordered_lines, runs_folder
@@ -27,16 +33,15 @@ def pack(batch: DataFrame, rows: int, *extra: str) -> DataFrame:
 
     Per log partition (and ``extra``), objects take ``rows`` rows in offset order, at most a 64th
     more, so there are no more of them than rows / ``rows`` and one for the rest, whatever offsets
-    the batch leaves out. ``first`` is where the first unbroken run of the object ends, ``last``
+    the batch leaves out. ``_ahead`` is the number of rows in pieces ahead of a run's. ``first`` is where the first unbroken run of the object ends, ``last``
     where the object does. Only offsets are shuffled, in bounded groups; what is ordered per log
     partition is one row per piece of its offset range.
     """
     group = ["topic", "partition", *extra]
     runs = offset_runs(batch, max(1, rows // _PIECES), *extra)
-    earlier = Window.partitionBy(*group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     sizes = runs.groupBy(*group, "piece").agg(F.sum("rows").alias("size"))
-    ahead = F.coalesce(F.sum("size").over(earlier), F.lit(0))
-    homes = sizes.select(*group, "piece", F.floor(ahead / rows).alias("object"))
+    sizes = places_ahead(sizes, group, ["piece"], "size")
+    homes = sizes.select(*group, "piece", F.floor(F.col("_start") / rows).alias("object"), "_ahead")
     whole = Window.partitionBy(*group, "object")
     so_far = whole.orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joint = F.when(F.col("lo") > F.lag("hi").over(whole.orderBy("lo")) + 1, 1).otherwise(0)
@@ -56,23 +61,37 @@ def pack(batch: DataFrame, rows: int, *extra: str) -> DataFrame:
 
 
 def with_range(batch: DataFrame, runs: DataFrame, rows: int, *extra: str) -> DataFrame:
-    """Add the name ``rng`` of the object each row goes to, from staged :func:`pack` rows that have
-    it. These are far fewer than rows; Spark broadcasts them if their files are small."""
+    """Add the name ``rng`` of the object each row goes to, and ``_ahead``, from staged :func:`pack`
+    rows that have them. These are far fewer than rows; Spark broadcasts them if their files are small."""
     group = ["topic", "partition", *extra, "piece"]
-    names = runs.select(*group, "rng").distinct()
+    names = runs.select(*group, "rng", "_ahead").distinct()
     lost = F.raise_error(F.lit("a row has no object")).cast("string")
     placed = batch.withColumn("piece", chunk_of(F.col("offset"), max(1, rows // _PIECES)))
     named = placed.join(names, group, "left").withColumn("rng", F.coalesce("rng", lost))
     return named.drop("piece").withColumnRenamed("partition", "p")
 
 
-def _stage(runs: DataFrame, path: str, *drop: str) -> tuple[DataFrame, int]:
-    """Packed runs written and read again, and how many objects there are."""
+def _stage(runs: DataFrame, path: str, *drop: str) -> tuple[DataFrame, int, int]:
+    """Packed runs written and read again, how many objects there are, and how many rows."""
     seen = Observation()
-    out = runs.observe(seen, F.count_if(F.col("lo") == F.col("start")).alias("objects"))
-    out = out.drop("start", "first", "last", *drop)
+    counts = (F.count_if(F.col("lo") == F.col("start")).alias("objects"), F.sum("rows").alias("total"))
+    out = runs.observe(seen, *counts).drop("start", "first", "last", *drop)
     out.write.parquet(path)
-    return out.sparkSession.read.schema(out.schema).parquet(path), seen.get["objects"]
+    return out.sparkSession.read.schema(out.schema).parquet(path), seen.get["objects"], seen.get["total"] or 0
+
+
+@contextmanager
+def kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows that are read more than once, kept in between unless they are already; a lost executor
+    only means that its share is made again."""
+    if rows.is_cached:
+        yield rows
+        return
+    rows = rows.persist()
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
 
 
 def write_backup(batch: DataFrame, root: str, rows: int = S.BACKUP_MAX_ROWS) -> int:
@@ -84,14 +103,18 @@ def write_backup(batch: DataFrame, root: str, rows: int = S.BACKUP_MAX_ROWS) ->
     finds the place of every line. A batch that is written again replaces its objects and repeats
     their manifest rows.
     """
+    messages = batch if batch.is_cached else batch.select("topic", "partition", "offset", "value")
+    with kept(messages) as messages:
+        return _write_backup(messages.select("topic", "partition", "offset", "value"), root, rows)
+
+
+def _write_backup(messages: DataFrame, root: str, rows: int) -> int:
     folders = ["topic", "p", "rng"]
-    messages = batch.select("topic", "partition", "offset", "value")
     runs = pack(messages, rows).withColumn("rng", range_label(F.col("start"), F.col("first")))
     manifest = f"{runs_folder(root)}/write={uuid.uuid4().hex}"
-    staged, objects = _stage(runs, manifest)
+    staged, objects, total = _stage(runs, manifest)
     (
-        with_range(messages, staged, rows)
-        .repartition(*folders)
+        dealt(with_range(messages, staged, rows), "_ahead", total)
         .sortWithinPartitions(*folders, "offset")
         .select(text(F.col("value")).alias("value"), *folders)
         .write.partitionBy(*folders)
@@ -109,14 +132,18 @@ def write_lake(events: DataFrame, root: str, rows: int = S.LAKE_MAX_ROWS) -> int
 
     ``events`` has the envelope columns and ``topic``, ``partition``, ``offset``.
     """
+    columns = ["topic", "partition", "offset", *S.ENVELOPE_COLUMNS]
+    with kept(events.select(*columns, utc_date(F.col("occurred_at")).alias("dt"))) as dated:
+        return _write_lake(dated, root, rows)
+
+
+def _write_lake(dated: DataFrame, root: str, rows: int) -> int:
     folders = ["dt", "p", "rng"]
-    dated = events.withColumn("dt", utc_date(F.col("occurred_at")))
     runs = pack(dated, rows, "dt").withColumn("rng", range_label(F.col("start"), F.col("last")))
-    path = workspace(events.sparkSession, "runs")
-    staged, objects = _stage(runs, path, "lo", "hi", "rows")
+    path = workspace(dated.sparkSession, "runs")
+    staged, objects, total = _stage(runs, path, "lo", "hi", "rows")
     (
-        with_range(dated, staged, rows, "dt")
-        .repartition(*folders)
+        dealt(with_range(dated, staged, rows, "dt"), "_ahead", total)
         .sortWithinPartitions(*folders, "offset")
         .select(*S.ENVELOPE_COLUMNS, *folders)
         .write.partitionBy(*folders)
@@ -125,7 +152,7 @@ def write_lake(events: DataFrame, root: str, rows: int = S.LAKE_MAX_ROWS) -> int
         .option("compression", "snappy")
         .parquet(lake_folder(root))
     )
-    remove(events.sparkSession, path)
+    remove(dated.sparkSession, path)
     return objects
 
 
@@ -133,8 +160,8 @@ def restore(spark, backup_root: str, log_root: str, segment: str = "restore") ->
     """Put all backup lines back on a log, values untouched and in their old order.
 
     The backup holds values only, so the key is computed from ``wiki`` and ``title`` again; a line
-    that yields none is restored without a key. Lines are numbered by bounded stretches of offsets
-    (see :func:`ordered_lines`), without gathering a partition.
+    that yields none is restored without a key. Lines are numbered by files and bounded stretches of
+    offsets (see :func:`ordered_lines`), without gathering a partition.
     """
     messages = with_page_key(ordered_lines(spark, backup_root)).select(
         F.col("page_key").cast("binary").alias("key"),
@@ -142,6 +169,7 @@ def restore(spark, backup_root: str, log_root: str, segment: str = "restore") ->
         "topic",
         "at",
         "p",
+        "file",
         "seq",
     )
-    append_log(messages, log_root, segment, ["at", "p", "seq"], ["at", "p"])
+    append_log(messages, log_root, segment, ["at", "p", "file", "seq"], ["at", "p", "file"])

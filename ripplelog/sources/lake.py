@@ -112,11 +112,12 @@ def _stretches(runs: DataFrame) -> DataFrame:
 
 
 def ordered_lines(spark: SparkSession, root: str) -> DataFrame:
-    """Backup lines with (``at``, ``seq``), which sort like the offsets they had in their partition.
+    """Backup lines with (``at``, ``file``, ``seq``), which sort like the offsets they had in their
+    partition.
 
     ``at`` is the first offset of a stretch of lines that no other object interrupts, usually a whole
     object. Objects interrupt each other only if a consumer met offsets out of order; then, lines
-    of just these objects are numbered and matched with the manifest.
+    of just these objects are numbered, file by file, and matched with the manifest.
     """
     lines = backup_lines(spark, root).withColumn("at", F.substring("rng", 1, 20).cast("bigint"))
     columns = [*lines.columns]
@@ -128,9 +129,13 @@ def ordered_lines(spark: SparkSession, root: str) -> DataFrame:
         return lines
     key = ["topic", "p", "rng"]
     mixed = stretches.select(*key).distinct()
-    within = Window.partitionBy(*key).orderBy("file", "seq")
-    nth = F.row_number().over(within).cast("bigint") - 1
-    numbered = lines.join(mixed, key, "left_semi").drop("at").withColumn("nth", nth)
+    shared = lines.join(mixed, key, "left_semi").drop("at")
+    sizes = shared.groupBy(*key, "file").agg(F.count(F.lit(1)).alias("size"))
+    earlier = Window.partitionBy(*key).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select(*key, "file", F.coalesce(F.sum("size").over(earlier), F.lit(0).cast("bigint")).alias("first"))
+    within = Window.partitionBy(*key, "file").orderBy("seq")
+    numbered = shared.join(firsts, [*key, "file"]).withColumn("nth", F.col("first") + F.row_number().over(within) - 1)
+    numbered = numbered.drop("first")
     inside = (F.col("nth") >= F.col("s.line")) & (F.col("nth") < F.col("s.line") + F.col("s.lines"))
     same = [F.col(f"l.{name}") == F.col(f"s.{name}") for name in key]
     found = numbered.alias("l").join(stretches.alias("s"), [*same, inside], "left")

@@ -1,13 +1,18 @@
 import random
+from datetime import datetime
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import raw_rows, validated_messages
 from pyspark.sql import functions as F
 
 from ripplelog import schema as S
 from ripplelog.functions.keys import partition_for
+from ripplelog.operators import offsets
 from ripplelog.operators.lag import compute_lag, high_water, total_lag
 from ripplelog.operators.offsets import assign_offsets, chunk_of, offset_ranges
+from ripplelog.plans.fixture import deliveries
 from ripplelog.sinks.log import append_log
 from ripplelog.sources.log import (
     TooManyBrokenMessages,
@@ -188,3 +193,28 @@ def test_kafka_options():
         "maxOffsetsPerTrigger": "9",
     }
     assert "minOffsetsPerTrigger" not in kafka_options("h:1", "t")
+
+
+def test_ordered_rows_are_dealt_to_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(offsets, "TASK_ROWS", (10, 50))
+    df = spark.range(600).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("n"))
+    numbered = assign_offsets(df.withColumn("chunk", chunk_of(F.col("n"), 10)), ["n"], ["chunk"])
+    tasks = numbered.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("offset").alias("lo"), F.max("offset").alias("hi")
+    ).collect()
+    assert len(tasks) >= 12 and max(t.rows for t in tasks) <= 60
+    assert all(t.hi - t.lo + 1 == t.rows for t in tasks)  # each holds a stretch of the order
+
+
+def test_one_row_group_is_dealt_to_all_tasks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rows = [(n, n % 7, "edit", datetime(2024, 1, 1)) for n in range(4000)]
+    table = pa.table([*map(list, zip(*rows, strict=True))], ["event_id", "user_id", "event_type", "ts"])
+    pq.write_table(table, tmp_path / "in" / "events.parquet", compression="none")
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        sizes = deliveries(spark, str(tmp_path / "in")).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    assert len(sizes) >= 4 and max(s["count"] for s in sizes) < 2000

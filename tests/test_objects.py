@@ -6,6 +6,7 @@ from helpers import envelope_rows
 from pyspark.sql import functions as F
 
 from ripplelog import schema as S
+from ripplelog.operators import offsets
 from ripplelog.operators.decode import decode_envelope, encode
 from ripplelog.sinks.objects import restore, write_backup, write_lake
 from ripplelog.sources.lake import backup, backup_runs, lake, ordered_lines
@@ -176,3 +177,28 @@ def test_restore_gives_the_same_log(spark, tmp_path):
         assert bytes(row.key).decode() == f"{row.wiki}:{row.title}"
         by_page.setdefault(row.title, []).append(row.occurred_at)
     assert len(back) == 60 and all(times == sorted(times) for times in by_page.values())
+
+
+def test_a_large_object_is_written_by_bounded_tasks_and_restored_in_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(offsets, "TASK_ROWS", (10, 50))
+    values = [f'{{"n":{n}}}' for n in range(1000)]
+    write_backup(messages(spark, values).orderBy(F.rand(3)), str(tmp_path), rows=640)
+    for folder in glob.glob(f"{tmp_path}/raw/topic=*/p=2/rng=*"):
+        files = [lines_of(file) for file in sorted(glob.glob(f"{folder}/*.gz"))]
+        first = int(folder.split("rng=")[1].split("-")[0]) - 10
+        assert len(files) > 5 and max(map(len, files)) <= 60
+        assert sum(files, []) == values[first : first + sum(map(len, files))]
+    restore(spark, str(tmp_path), str(tmp_path / "log"))
+    rows = log_batch(spark, str(tmp_path / "log"), S.TOPIC_VALIDATED).orderBy("partition", "offset").collect()
+    got = [(r.partition, int(r.value[5:-1])) for r in rows]  # without keys, lines go by their values
+    assert got == sorted(got) and sorted(n for _, n in got) == list(range(1000))
+
+
+def test_stretches_of_objects_of_several_files_restore_in_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(offsets, "TASK_ROWS", (10, 20))
+    rows = messages(spark, [f'{{"n":{n}}}' for n in range(400)], first=0)
+    for late in (1, 0):  # the later half of each hundred offsets is written first
+        write_backup(rows.where((F.col("offset") % 100 >= 50) == F.lit(bool(late))), str(tmp_path), rows=128)
+    assert max(len(glob.glob(f"{x}/*.gz")) for x in glob.glob(f"{tmp_path}/raw/topic=*/p=2/rng=*")) > 1
+    got = ordered_lines(spark, str(tmp_path)).orderBy("at", "file", "seq").select("value").collect()
+    assert [r.value for r in got] == [f'{{"n":{n}}}' for n in range(400)]
