@@ -45,7 +45,7 @@ def start_throughput(
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         changed = batch.select(utc_timestamp(F.unix_timestamp("minute.start")).alias("time"), "events")
-        changed.coalesce(1).write.mode("overwrite").parquet(f"{panel}/batch_id={batch_id}")
+        changed.repartition(1).write.mode("overwrite").parquet(f"{panel}/batch_id={batch_id}")
 
     writer = counted.writeStream.outputMode("update").foreachBatch(upsert)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or DRAIN)).start()

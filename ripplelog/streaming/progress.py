@@ -62,7 +62,7 @@ def commit_progress(
     done = spark.createDataFrame(
         [*whole, (None, None, None, None, None, None, counters or {})],
         T.StructType([f for f in PROGRESS.fields if f.name not in ("total", "batch_id")]),
-    )
+    ).coalesce(1)
     if rest:
         kept = {tuple(row[:3]) for row in whole}
         parts = batch.where(F.col("segment").isin(sorted(rest)))
@@ -91,13 +91,13 @@ def counters(spark: SparkSession, log_root: str, group: str) -> DataFrame:
 def commit_totals(totals: DataFrame, log_root: str, group: str, batch_id: int) -> None:
     """Publish the rows (topic, partition, total) that a group has handled in all its batches."""
     none = {name: F.lit(None).cast(PROGRESS[name].dataType) for name in ("segment", "lo", "hi", "rows", "counters")}
-    _publish(totals.withColumns(none), log_root, group, batch_id)
+    _publish(totals.coalesce(1).withColumns(none), log_root, group, batch_id)
 
 
 def _publish(done: DataFrame, log_root: str, group: str, batch_id: int) -> None:
     columns = [name for name in PROGRESS.fieldNames() if name != "batch_id"]
     path = f"{_folder(log_root, group)}/batch_id={batch_id}"
-    done.select(columns).coalesce(1).write.mode("overwrite").parquet(path)
+    done.select(columns).write.mode("overwrite").parquet(path)
 
 
 def forget_progress(spark: SparkSession, log_root: str, group: str) -> bool:

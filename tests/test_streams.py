@@ -405,3 +405,13 @@ def test_page_lookup_reads_the_row_groups_of_its_key(spark, tmp_path):
     plain = str(tmp_path / "plain")
     spark.read.parquet(folder).write.parquet(plain)
     assert sum(sizes) > sum(os.path.getsize(f) for f in glob.glob(f"{plain}/*.parquet"))  # the filters take room
+
+
+def test_state_and_progress_keep_their_tasks(spark, tmp_path):
+    """What is written last, few rows, must not draw the work before it into one task."""
+    root, tracker = str(tmp_path / "log"), spark.sparkContext.statusTracker()
+    append(spark, root, "a", [edit(f"e{n}", at=60 * n + 1) for n in range(40)])
+    query = start_throughput(spark, root, str(tmp_path / "panel"), str(tmp_path / "checkpoint"))
+    drain(query)
+    stages = [i for job in tracker.getJobIdsForGroup(str(query.runId)) for i in tracker.getJobInfo(job).stageIds]
+    assert max(info.numTasks for i in stages if (info := tracker.getStageInfo(i))) == 4  # the state's stores
