@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ripplelog.files import exists, remove, rename
 from ripplelog.operators.olap import SORT_KEY, latest_events
+from ripplelog.sinks.objects import kept
 from ripplelog.sources.log import BROKEN, TooManyBrokenMessages
 
 _ZONE = "lo timestamp_ntz, hi timestamp_ntz, rows bigint"
@@ -76,9 +77,9 @@ def write_events_ordered(rows: DataFrame, table: str, batch_id: int = 0) -> None
     """A backfill in global order. ``event_id`` ends the sort key, so that one second of one wiki
     that holds many rows can still be split."""
     key = [*SORT_KEY, "event_id"]
-    rows, seen = _observed(rows)
-    ranged = rows.repartitionByRange(*key).sortWithinPartitions(*key)
-    ranged.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+    with kept(rows) as rows:  # Spark samples them first
+        rows, seen = _observed(rows.repartitionByRange(*key))
+        rows.sortWithinPartitions(*key).write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
     _publish_zone(rows.sparkSession, table, batch_id, seen.get)
 
 
