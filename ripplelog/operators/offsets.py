@@ -90,8 +90,9 @@ def assign_offsets(
     the number of rows in earlier chunks. Each task takes some chunks that follow each other (see
     :func:`dealt`), so its rows are bounded and the files it writes are few. ``chunk_by`` names columns that sort like a prefix of
     ``order_by`` and hold a bounded number of rows each (an offset chunk, a file block). Without
-    them, rows are range-partitioned by order and staged in the shared folder, and each range is
-    a chunk; staging fixes the range bounds, which Spark samples anew for every plan.
+    them, rows are counted, range-partitioned by order and staged in the shared folder, and each range
+    is a chunk of about :func:`task_rows`; staging fixes the range bounds, which Spark samples anew for
+    every plan.
 
     Chunk sizes are counted and staged at once. No row is lost: group columns may be null, and a row that finds no start is an error.
 
@@ -101,8 +102,9 @@ def assign_offsets(
     if chunk_by is None:
         chunk_by = ["_range"]
         spark = df.sparkSession
+        total = df.count()
         ranged = df.repartitionByRange(
-            int(spark.conf.get("spark.sql.shuffle.partitions")), *LOG_PARTITION, *order_by
+            total // task_rows(spark, total) + 1, *LOG_PARTITION, *order_by
         ).withColumn("_range", F.spark_partition_id())
         staged = workspace(spark, "ranged")
         ranged.write.parquet(staged)

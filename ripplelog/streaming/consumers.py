@@ -78,16 +78,21 @@ def producer(
 
 
 def routed_segment(raw: DataFrame, log_root: str, segment: str) -> None:
-    """Append the routed messages of some raw log rows as one segment."""
-    routed = route(raw).withColumn("source_chunk", chunk_of(F.col("source_offset")))
-    append_log(
-        routed,
-        log_root,
-        segment,
-        ["source_partition", "source_offset"],
-        ["source_partition", "source_chunk"],
-        cache=True,
+    """Append the routed messages of some raw log rows as one segment.
+
+    They are numbered per stretch of source offsets. Offsets with gaps say little about the rows of a
+    stretch, down to one row in each; such messages are numbered by ranges of their order instead.
+    """
+    order = ["source_partition", "source_offset"]
+    spans = raw.groupBy("topic", "partition").agg(
+        (F.max("offset") - F.min("offset")).cast("double").alias("span"), F.count(F.lit(1)).alias("rows")
     )
+    gaps = spans.agg(F.sum("span") > 2 * F.sum("rows")).first()[0]
+    routed, chunks = route(raw), None
+    if not gaps:
+        routed = routed.withColumn("source_chunk", chunk_of(F.col("source_offset")))
+        chunks = ["source_partition", "source_chunk"]
+    append_log(routed, log_root, segment, order, chunks, cache=True)
 
 
 def validator(

@@ -4,7 +4,7 @@ from datetime import datetime
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from helpers import raw_rows, validated_messages
+from helpers import payload, raw_rows, validated_messages
 from pyspark.sql import functions as F
 
 from ripplelog import schema as S
@@ -23,6 +23,7 @@ from ripplelog.sources.log import (
     stored_topics,
     topics,
 )
+from ripplelog.streaming.consumers import routed_segment
 
 MESSAGES = [(f"e{n}", "enwiki", f"T{n % 9}", "u", False, n + 1) for n in range(40)]
 
@@ -218,3 +219,15 @@ def test_one_row_group_is_dealt_to_all_tasks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
     assert len(sizes) >= 4 and max(s["count"] for s in sizes) < 2000
+
+
+def test_a_log_with_gaps_is_routed_in_few_stretches(spark, tmp_path, monkeypatch):
+    stretches, place = [], offsets.places_ahead
+    monkeypatch.setattr(offsets, "places_ahead", lambda sizes, *how: stretches.append(sizes.count()) or place(sizes, *how))
+    raw = raw_rows(spark, [payload(meta_id=f"e{n}", timestamp=n + 1) if n % 4 else "{" for n in range(400)])
+    gapped = raw.withColumn("offset", F.col("offset") * 10**12).repartition(4)
+    routed_segment(gapped, str(tmp_path), "a")
+    assert stretches and max(stretches) <= 8  # and not one for each message
+    rows = log_batch(spark, str(tmp_path), S.TOPIC_VALIDATED).orderBy("offset").collect()
+    assert [r.offset for r in rows] == list(range(300))
+    assert [f'"e{n}"' in bytes(r.value).decode() for r, n in zip(rows, [n for n in range(400) if n % 4], strict=True)] == [True] * 300
