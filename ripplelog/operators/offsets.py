@@ -33,14 +33,18 @@ def offset_runs(batch: DataFrame, width: int = CHUNK_ROWS, *extra: str) -> DataF
     """Unbroken runs (lo, hi, rows) of a batch's offsets per log partition (and ``extra``).
 
     Runs end at multiples of ``width``, the column ``piece``, so that a window holds a bounded
-    group. Only offsets are shuffled.
+    group. Only offsets are shuffled, to tasks of about :func:`task_rows`: they pack so well that Spark,
+    which goes by bytes, would put millions of rows into one. The batch is counted for that, so keep it.
     """
     group = [*LOG_PARTITION, *extra]
+    total = batch.count()
+    tasks = total // task_rows(batch.sparkSession, total) + 1
     inside = Window.partitionBy(*group, "piece").orderBy("offset")
     jump = F.when(F.col("offset") > F.lag("offset").over(inside) + 1, 1).otherwise(0)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         batch.select(*group, "offset", chunk_of(F.col("offset"), width).alias("piece"))
+        .repartition(tasks, *group, "piece")
         .withColumn("jump", jump)
         .withColumn("run", F.sum("jump").over(so_far))
         .groupBy(*group, "piece", "run")

@@ -35,29 +35,38 @@ def pack(batch: DataFrame, rows: int, *extra: str) -> DataFrame:
     more, so there are no more of them than rows / ``rows`` and one for the rest, whatever offsets
     the batch leaves out. ``_ahead`` is the number of rows in pieces ahead of a run's. ``first`` is where the first unbroken run of the object ends, ``last``
     where the object does. Only offsets are shuffled, in bounded groups; what is ordered per log
-    partition is one row per piece of its offset range.
+    partition or object is one row per piece of its offset range. Runs are staged, as they are read twice.
     """
+    spark, path = batch.sparkSession, workspace(batch.sparkSession, "offset-runs")
     group = ["topic", "partition", *extra]
     runs = offset_runs(batch, max(1, rows // _PIECES), *extra)
-    sizes = runs.groupBy(*group, "piece").agg(F.sum("rows").alias("size"))
-    sizes = places_ahead(sizes, group, ["piece"], "size")
-    homes = sizes.select(*group, "piece", F.floor(F.col("_start") / rows).alias("object"), "_ahead")
+    runs.write.parquet(path)
+    runs = spark.read.schema(runs.schema).parquet(path)
+    sizes = runs.groupBy(*group, "piece").agg(
+        F.sum("rows").alias("size"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+        F.min_by("hi", "lo").alias("end"),
+    )
+    sizes = places_ahead(sizes, group, ["piece"], "size").withColumn("object", F.floor(F.col("_start") / rows))
     whole = Window.partitionBy(*group, "object")
-    so_far = whole.orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joint = F.when(F.col("lo") > F.lag("hi").over(whole.orderBy("lo")) + 1, 1).otherwise(0)
-    return (
-        runs.join(homes, [*group, "piece"])
-        .withColumn("joint", joint)
-        .withColumn("run", F.sum("joint").over(so_far))
+    in_order = whole.orderBy("piece")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A piece goes on with the first run if it begins where the one before ends, and that is all one run.
+    before = F.lag(F.struct("hi", "end")).over(in_order)
+    joint = (F.col("lo") > before["hi"] + 1) | (before["end"] < before["hi"])
+    homes = (
+        sizes.withColumn("run", F.sum(F.when(joint, 1).otherwise(0)).over(so_far))
         .withColumns(
             {
                 "start": F.min("lo").over(whole),
-                "first": F.max(F.when(F.col("run") == 0, F.col("hi"))).over(whole),
+                "first": F.max(F.when(F.col("run") == 0, F.col("end"))).over(whole),
                 "last": F.max("hi").over(whole),
             }
         )
-        .drop("joint", "run", "object")
+        .select(*group, "piece", "_ahead", "start", "first", "last")
     )
+    return runs.join(homes, [*group, "piece"])
 
 
 def with_range(batch: DataFrame, runs: DataFrame, rows: int, *extra: str) -> DataFrame:

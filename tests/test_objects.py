@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ripplelog import schema as S
 from ripplelog.operators import offsets
 from ripplelog.operators.decode import decode_envelope, encode
-from ripplelog.sinks.objects import restore, write_backup, write_lake
+from ripplelog.sinks.objects import pack, restore, write_backup, write_lake
 from ripplelog.sources.lake import backup, backup_runs, lake, ordered_lines
 from ripplelog.sources.log import log_batch
 
@@ -202,3 +202,31 @@ def test_stretches_of_objects_of_several_files_restore_in_order(spark, tmp_path,
     assert max(len(glob.glob(f"{x}/*.gz")) for x in glob.glob(f"{tmp_path}/raw/topic=*/p=2/rng=*")) > 1
     got = ordered_lines(spark, str(tmp_path)).orderBy("at", "file", "seq").select("value").collect()
     assert [r.value for r in got] == [f'{{"n":{n}}}' for n in range(400)]
+
+
+def test_offset_runs_are_found_by_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(offsets, "TASK_ROWS", (10, 50))
+    log = messages(spark, ["x"] * 3000, first=0).where("offset % 7 < 5")
+    runs = offsets.offset_runs(log, 40)
+    assert runs.rdd.getNumPartitions() >= 40  # one, when Spark sizes them by their bytes
+    got = sorted((r.piece, r.lo, r.hi, r.rows) for r in runs.collect())
+    assert sum(r[3] for r in got) == log.count() and all(hi - lo + 1 == rows for _, lo, hi, rows in got)
+    assert {(lo // 40 * 40, hi // 40 * 40) for _, lo, hi, _ in got} == {(piece, piece) for piece, *_ in got}
+
+
+def test_objects_begin_and_end_where_their_offsets_do(spark):
+    rng = random.Random(5)
+    have = sorted({n for n in range(6000) if n < 1500 or rng.random() < (0.99 if n < 4000 else 0.6)} - set(range(4500, 4600)))
+    rows = [(S.TOPIC_VALIDATED, p, n) for p in (0, 4) for n in have if p == 0 or n % 3]
+    runs = pack(spark.createDataFrame(rows, "topic string, partition int, offset bigint"), 640).collect()
+    for p in (0, 4):
+        own, objects = [n for _, part, n in rows if part == p], {}
+        for n in own:
+            ahead = sum(1 for m in own if m < n // 10 * 10)
+            objects.setdefault(ahead // 640, []).append(n)
+        want = set()
+        for held in objects.values():
+            ends = [n for n in held if n + 1 not in held]
+            want.add((held[0], ends[0], held[-1]))
+        assert {(r.start, r.first, r.last) for r in runs if r.partition == p} == want
+        assert sum(r.rows for r in runs if r.partition == p) == len(own)
