@@ -29,7 +29,7 @@ from ripplelog.operators.routing import keyable, route
 from ripplelog.plans import fixture as X
 from ripplelog.session import configure, workspace
 from ripplelog.sinks.log import append_log
-from ripplelog.sinks.objects import restore, write_backup, write_lake
+from ripplelog.sinks.objects import kept, restore, write_backup, write_lake
 from ripplelog.sinks.olap import events_table, latest_stored, quarantine, write_events_ordered
 from ripplelog.sources import lake as K
 from ripplelog.sources.log import log_batch, log_stream, stored_topics
@@ -306,9 +306,9 @@ def backup_rewritten(spark, sf_dir):
     """The same objects put twice: lines per partition stay as they are."""
     root = workspace(spark, "backup")
     values = encode(*S.ENVELOPE_COLUMNS).cast("binary").alias("value")
-    log = _validated(spark, sf_dir).select("topic", "partition", "offset", values)
-    for _ in range(2):
-        write_backup(log, root, BACKFILL_ROWS)
+    with kept(_validated(spark, sf_dir).select("topic", "partition", "offset", values)) as log:
+        for _ in range(2):
+            write_backup(log, root, BACKFILL_ROWS)
     return K.backup_lines(spark, root).groupBy("p").agg(F.count(F.lit(1)).alias("lines"))
 
 

@@ -1,6 +1,7 @@
 import glob
 import gzip
 import random
+from datetime import datetime
 
 from helpers import envelope_rows
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from ripplelog import schema as S
 from ripplelog.operators import offsets
 from ripplelog.operators.decode import decode_envelope, encode
+from ripplelog.plans import catalog
 from ripplelog.sinks.objects import pack, restore, write_backup, write_lake
 from ripplelog.sources.lake import backup, backup_runs, lake, ordered_lines
 from ripplelog.sources.log import log_batch
@@ -230,3 +232,14 @@ def test_objects_begin_and_end_where_their_offsets_do(spark):
             want.add((held[0], ends[0], held[-1]))
         assert {(r.start, r.first, r.last) for r in runs if r.partition == p} == want
         assert sum(r.rows for r in runs if r.partition == p) == len(own)
+
+
+def test_a_log_that_is_written_twice_is_made_once(spark, tmp_path, monkeypatch):
+    events = [(n, n % 7, "edit", datetime(2024, 1, 1)) for n in range(60)]
+    table = spark.createDataFrame(events, "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz")
+    table.write.parquet(f"{tmp_path}/events.parquet")
+    kept, write = [], catalog.write_backup
+    monkeypatch.setattr(catalog, "write_backup", lambda batch, *how: kept.append(batch.is_cached) or write(batch, *how))
+    lines = catalog.registered()["backup_rewritten"](spark, str(tmp_path)).collect()
+    assert kept == [True, True]
+    assert sum(r.lines for r in lines) == catalog.registered()["validated_envelopes"](spark, str(tmp_path)).count()
