@@ -584,7 +584,7 @@ def poison_fails(spark, sf_dir):
     """One undecodable message on the validated topic: the read model stops, and keeps what it had."""
     root, model = _projected(spark, sf_dir)
     rows = log_batch(spark, root, S.TOPIC_VALIDATED).orderBy("partition", "offset").limit(1)
-    append_log(rows.select("key", F.lit(b"{oops").alias("value"), "topic", F.lit(0).alias("n")), root, "poison", ["n"])
+    append_log(rows.select("key", F.lit(b"{oops").alias("value"), "topic", F.lit(0).alias("n")), root, "poison", ["n"], cache=True)
     try:
         P.project(spark, root, model)
         stopped = False

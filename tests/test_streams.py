@@ -12,6 +12,7 @@ from ripplelog import schema as S
 from ripplelog.functions.times import utc_timestamp
 from ripplelog.operators import readmodel as R
 from ripplelog.operators.decode import decode_envelope
+from ripplelog.plans import catalog
 from ripplelog.sinks.log import append_log, mirror_log
 from ripplelog.sinks.olap import events_table
 from ripplelog.sources.lake import backup_lines, lake
@@ -415,3 +416,18 @@ def test_state_and_progress_keep_their_tasks(spark, tmp_path):
     drain(query)
     stages = [i for job in tracker.getJobIdsForGroup(str(query.runId)) for i in tracker.getJobInfo(job).stageIds]
     assert max(info.numTasks for i in stages if (info := tracker.getStageInfo(i))) == 4  # the state's stores
+
+
+def test_the_poison_message_is_sought_once(spark, tmp_path, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    def append(messages, *where, cache=False):
+        assert cache and messages.count() == 1
+        raise Stop
+
+    append_log(validated_messages(spark, [(f"e{n}", "w", "t", "u", False, n + 1) for n in range(9)]), str(tmp_path), "a", ["n"])
+    monkeypatch.setattr(catalog, "_projected", lambda *args: (str(tmp_path), None))
+    monkeypatch.setattr(catalog, "append_log", append)
+    with pytest.raises(Stop):
+        catalog.registered()["poison_fails"](spark, "")
