@@ -69,9 +69,24 @@ def pack(batch: DataFrame, rows: int, *extra: str) -> DataFrame:
     return runs.join(homes, [*group, "piece"])
 
 
+def pack_pieces(batch: DataFrame, rows: int, *extra: str) -> DataFrame:
+    """Pieces of a batch's offset range, each with the object it goes to, packed as by :func:`pack`; for
+    objects that are named by all they span, ``start`` to ``last``. That takes no runs, of which there may be as
+    many as rows (offsets of one day): pieces are counted where the rows are, and nothing of a row is shuffled.
+    """
+    group = ["topic", "partition", *extra]
+    pieces = batch.select(*group, "offset", chunk_of(F.col("offset"), max(1, rows // _PIECES)).alias("piece"))
+    sizes = pieces.groupBy(*group, "piece").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("offset").alias("lo"), F.max("offset").alias("hi")
+    )
+    placed = places_ahead(sizes, group, ["piece"], "rows").withColumn("object", F.floor(F.col("_start") / rows))
+    whole = Window.partitionBy(*group, "object")
+    return placed.withColumns({"start": F.min("lo").over(whole), "last": F.max("hi").over(whole)})
+
+
 def with_range(batch: DataFrame, runs: DataFrame, rows: int, *extra: str) -> DataFrame:
-    """Add the name ``rng`` of the object each row goes to, and ``_ahead``, from staged :func:`pack`
-    rows that have them. These are far fewer than rows; Spark broadcasts them if their files are small."""
+    """Add the name ``rng`` of the object each row goes to, and ``_ahead``, from staged rows of :func:`pack`
+    or :func:`pack_pieces` that have them. These are far fewer than rows; Spark broadcasts them if their files are small."""
     group = ["topic", "partition", *extra, "piece"]
     names = runs.select(*group, "rng", "_ahead").distinct()
     lost = F.raise_error(F.lit("a row has no object")).cast("string")
@@ -81,7 +96,7 @@ def with_range(batch: DataFrame, runs: DataFrame, rows: int, *extra: str) -> Dat
 
 
 def _stage(runs: DataFrame, path: str, *drop: str) -> tuple[DataFrame, int, int]:
-    """Packed runs written and read again, how many objects there are, and how many rows."""
+    """Packed runs or pieces written and read again, how many objects there are, and how many rows."""
     seen = Observation()
     counts = (F.count_if(F.col("lo") == F.col("start")).alias("objects"), F.sum("rows").alias("total"))
     out = runs.observe(seen, *counts).drop("start", "first", "last", *drop)
@@ -148,9 +163,9 @@ def write_lake(events: DataFrame, root: str, rows: int = S.LAKE_MAX_ROWS) -> int
 
 def _write_lake(dated: DataFrame, root: str, rows: int) -> int:
     folders = ["dt", "p", "rng"]
-    runs = pack(dated, rows, "dt").withColumn("rng", range_label(F.col("start"), F.col("last")))
-    path = workspace(dated.sparkSession, "runs")
-    staged, objects, total = _stage(runs, path, "lo", "hi", "rows")
+    pieces = pack_pieces(dated, rows, "dt").withColumn("rng", range_label(F.col("start"), F.col("last")))
+    path = workspace(dated.sparkSession, "pieces")
+    staged, objects, total = _stage(pieces, path, "lo", "hi", "rows", "object", "_start")
     (
         dealt(with_range(dated, staged, rows, "dt"), "_ahead", total)
         .sortWithinPartitions(*folders, "offset")

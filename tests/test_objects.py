@@ -10,6 +10,7 @@ from ripplelog import schema as S
 from ripplelog.operators import offsets
 from ripplelog.operators.decode import decode_envelope, encode
 from ripplelog.plans import catalog
+from ripplelog.sinks import objects as sink
 from ripplelog.sinks.objects import pack, restore, write_backup, write_lake
 from ripplelog.sources.lake import backup, backup_runs, lake, ordered_lines
 from ripplelog.sources.log import log_batch
@@ -243,3 +244,23 @@ def test_a_log_that_is_written_twice_is_made_once(spark, tmp_path, monkeypatch):
     lines = catalog.registered()["backup_rewritten"](spark, str(tmp_path)).collect()
     assert kept == [True, True]
     assert sum(r.lines for r in lines) == catalog.registered()["validated_envelopes"](spark, str(tmp_path)).count()
+
+
+def test_a_lake_of_scattered_days_is_packed_by_pieces_not_by_runs(spark, tmp_path, monkeypatch):
+    """No two neighbouring offsets are of one day, so there are as many runs as rows."""
+    staged, stage = [], sink._stage
+    monkeypatch.setattr(sink, "_stage", lambda packed, *how: staged.append(packed.count()) or stage(packed, *how))
+    rows = [(f"x{n}", "ptwiki", "Mar", "ana", False, MIDNIGHT - n % 2) for n in range(300)]
+    assert write_lake(envelope_rows(spark, rows), str(tmp_path), rows=64 * 50) == 2
+    assert staged == [12]  # stretches of 50 offsets, of two days
+    back = lake(spark, str(tmp_path))
+    assert sorted(r.event_id for r in back.collect()) == sorted(row[0] for row in rows)
+    names = sorted(path.rpartition("rng=")[2] for path in glob.glob(f"{tmp_path}/lake/dt=*/p=0/rng=*"))
+    assert names == [f"{0:020d}-{298:020d}", f"{1:020d}-{299:020d}"]
+
+
+def test_lake_objects_of_a_day_take_a_bounded_number_of_rows(spark, tmp_path):
+    rows = [(f"x{n}", "ptwiki", "Mar", "ana", False, MIDNIGHT - n % 2) for n in range(400)]
+    assert write_lake(envelope_rows(spark, rows), str(tmp_path), rows=64) == 8
+    names = [path.rpartition("rng=")[2] for path in sorted(glob.glob(f"{tmp_path}/lake/dt=2028-02-29/p=0/rng=*"))]
+    assert names == [f"{a:020d}-{z:020d}" for a, z in ((1, 127), (129, 255), (257, 383), (385, 399))]
