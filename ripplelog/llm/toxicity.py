@@ -30,6 +30,8 @@ SAMPLE_CHARS, SAMPLE_PIECES = 20_000, 10
 #: A word or character sequence counts as known from this many sampled texts on.
 KNOWN_FROM, MOST_WORDS = 4, 20_000
 THRESHOLD = 0.3
+#: Texts of so many bytes, and so many of their windows, are scored at once.
+SCORED_BYTES, SCORED_WINDOWS = 1 << 20, 512
 #: Characters that separate words: ASCII that is neither letter nor digit.
 _MARKS = tuple(c for c in range(128) if not chr(c).isalnum())
 
@@ -206,7 +208,7 @@ class Network:
         g["input"], g["input0"] = projected_inputs.T @ d_word, d_word.sum(0)
         return loss, g, d_word @ self.w["input"].T
 
-    def logits(self, coded: Coded, chunk: int = 2048) -> np.ndarray:
+    def logits(self, coded: Coded, chunk: int = SCORED_WINDOWS) -> np.ndarray:
         """For each text, the logit of its most toxic window."""
         text, first, length = windows(coded)
         x, _ = self.inputs(self.lookup(coded), coded.grams, coded.bounds)
@@ -381,7 +383,7 @@ def score_toxicity(df: DataFrame, network: Network, text_col: str = "text") -> D
 
     def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, hasher = shared(), Hasher(_MARKS)
-        for batch in batches_of(rows, 4 << 20):
+        for batch in batches_of(rows, SCORED_BYTES):
             found = net.scores(code(hasher, batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.float64())], ["row", "score"])
 

@@ -1,10 +1,12 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import pyarrow as pa
 
 from ripplelog.llm import toxicity as T
+from ripplelog.llm.frames import batches_of
 from ripplelog.llm.words import Hasher
 
 
@@ -105,3 +107,18 @@ def test_odd_rows(spark, odd):
     assert T.drop_toxic(odd, labels).columns == odd.columns
     assert T.toxic_scores(odd, labels.limit(0)).count() == odd.count()
     assert T.toxic_scores(odd.limit(0), labels).collect() == []
+
+
+def test_scoring_takes_the_memory_of_a_part_of_the_texts():
+    """Other tasks and the JVM share an executor's memory with the worker."""
+    rng = np.random.default_rng(3)
+    texts = pa.array([" ".join(f"w{n}" for n in rng.integers(0, 50_000, 300)) for _ in range(2400)])
+    batch = pa.RecordBatch.from_arrays([texts], ["text"])
+    net = T.Network(np.zeros(0, np.uint64), np.zeros(0), np.zeros(T.BUCKETS), np.ones(T.BUCKETS), 1)
+    hasher = Hasher(T._MARKS)
+    tracemalloc.start()
+    parts = [net.scores(T.code(hasher, b.column(0))) for b in batches_of(iter([batch]), T.SCORED_BYTES)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50e6
+    assert np.abs(np.concatenate(parts) - net.scores(T.code(hasher, texts))).max() < 1e-5
