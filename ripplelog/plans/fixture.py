@@ -64,18 +64,17 @@ def _spread(events: DataFrame) -> DataFrame:
     Splits of a file say little: one without a row group is empty, and one row group may hold all rows.
     """
     cores = events.sparkSession.sparkContext.defaultParallelism
-    return events.repartition(max(cores, -(-events.count() // CHUNK_ROWS)))  # counted from the footers
+    return events.repartition(max(cores, -(-events.count() // CHUNK_ROWS)))  # of a whole table, from the footers
 
 
-def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per delivery with its payload, key, partition and place in arrival order."""
-    events = _spread(
-        spark.read.parquet(f"{sf_dir}/events.parquet").select(
-            "event_id", "user_id", "event_type", "ts"
-        )
-    )
-    once, twice = F.expr("array(0L)"), F.expr("array(0L, 1L)")
-    again = F.when(F.col("event_id") % 25 == 3, twice).otherwise(once)
+def deliveries(spark: SparkSession, sf_dir: str, redelivery: int | None = None) -> DataFrame:
+    """One row per delivery with its payload, key, partition and place in arrival order; of all, or of
+    the first deliveries (0) or the redeliveries (1), for which other events aren't dealt out."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type", "ts")
+    repeated = F.col("event_id") % 25 == 3
+    events = _spread(events.where(repeated) if redelivery == 1 else events)
+    both = F.when(repeated, F.expr("array(0L, 1L)")).otherwise(F.expr("array(0L)"))
+    again = both if redelivery is None else F.array(F.lit(redelivery).cast("bigint"))
     rows = events.select(
         "event_id",
         "user_id",
@@ -118,13 +117,13 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log_columns(deliveries(spark, sf_dir)).withColumn("offset", position)
 
 
-def _chunked(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _chunked(spark: SparkSession, sf_dir: str, redelivery: int | None = None) -> DataFrame:
     """Deliveries with a chunk of the arrival order that holds about ``CHUNK_ROWS`` rows at any
     scale (the row count comes from the Parquet footers)."""
     total = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     width = max(1, 2 * ARRIVALS * CHUNK_ROWS // max(1, total))
     chunk = F.col("arrival") - F.col("arrival") % width
-    return _log_columns(deliveries(spark, sf_dir)).withColumn("chunk", chunk)
+    return _log_columns(deliveries(spark, sf_dir, redelivery)).withColumn("chunk", chunk)
 
 
 ORDER = ["arrival", "event_id"]
@@ -137,13 +136,11 @@ def dense_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_raw_topic(spark: SparkSession, sf_dir: str, root: str, segments: int = 1) -> None:
     """Write the raw topic as a file log: all of it at once, or first deliveries before redeliveries."""
-    rows = _chunked(spark, sf_dir)
     if segments == 1:
-        append_log(rows, root, "seed-0", ORDER, ["chunk"])
+        append_log(_chunked(spark, sf_dir), root, "seed-0", ORDER, ["chunk"])
         return
     for redelivery in (0, 1):
-        part = rows.where(F.col("redelivery") == redelivery)
-        append_log(part, root, f"seed-{redelivery}", ORDER, ["chunk"])
+        append_log(_chunked(spark, sf_dir, redelivery), root, f"seed-{redelivery}", ORDER, ["chunk"])
 
 
 def mirror_raw_topic(spark: SparkSession, sf_dir: str, root: str) -> None:

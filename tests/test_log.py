@@ -231,3 +231,17 @@ def test_a_log_with_gaps_is_routed_in_few_stretches(spark, tmp_path, monkeypatch
     rows = log_batch(spark, str(tmp_path), S.TOPIC_VALIDATED).orderBy("offset").collect()
     assert [r.offset for r in rows] == list(range(300))
     assert [f'"e{n}"' in bytes(r.value).decode() for r, n in zip(rows, [n for n in range(400) if n % 4], strict=True)] == [True] * 300
+
+
+def test_rounds_of_deliveries_are_those_of_all_deliveries(spark, tmp_path):
+    """Each round alone, of repeated and null ids too; only events that come again are dealt out for the second."""
+    rows = [(n, 5, "edit", datetime(2024, 1, 1)) for n in (3, 3, 4, 28, 53, None)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, ts timestamp_ntz").write.parquet(
+        f"{tmp_path}/events.parquet"
+    )
+    whole = deliveries(spark, str(tmp_path))
+    for number, count in ((0, 6), (1, 4)):
+        part = deliveries(spark, str(tmp_path), number)
+        assert dict(part.dtypes) == dict(whole.dtypes)
+        got = sorted(map(str, part.collect()))
+        assert got == sorted(map(str, whole.where(F.col("redelivery") == number).collect())) and len(got) == count
