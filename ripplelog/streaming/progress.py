@@ -33,6 +33,12 @@ def _folder(log_root: str, group: str) -> str:
     return f"{log_root}/progress/{group}"
 
 
+def _few(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows as one literal: Spark reads it itself, without a Python worker for each commit."""
+    text = json.dumps([dict(zip(schema.fieldNames(), row, strict=True)) for row in rows])
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), T.ArrayType(schema))))
+
+
 def commit_progress(
     batch: DataFrame, log_root: str, group: str, batch_id: int, counters: dict[str, int] | None = None
 ) -> None:
@@ -59,16 +65,17 @@ def commit_progress(
         rest = {row.segment for row in held if not full(row)}
     else:
         whole = [(row[0], row[1], None, *row[2:], None) for row in held]
-    done = spark.createDataFrame(
+    done = _few(
+        spark,
         [*whole, (None, None, None, None, None, None, counters or {})],
         T.StructType([f for f in PROGRESS.fields if f.name not in ("total", "batch_id")]),
-    ).coalesce(1)
+    )
     if rest:
         kept = {tuple(row[:3]) for row in whole}
         parts = batch.where(F.col("segment").isin(sorted(rest)))
         runs = offset_runs(parts, CHUNK_ROWS, "segment").drop("piece")
         done = done.unionByName(
-            runs.join(spark.createDataFrame(sorted(kept), "topic string, partition int, segment string"), place, "left_anti")
+            runs.join(_few(spark, sorted(kept), T.StructType([PROGRESS[name] for name in place])), place, "left_anti")
             if kept
             else runs,
             allowMissingColumns=True,

@@ -431,3 +431,16 @@ def test_the_poison_message_is_sought_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(catalog, "append_log", append)
     with pytest.raises(Stop):
         catalog.registered()["poison_fails"](spark, "")
+
+
+def test_a_commit_needs_no_python_worker(spark, tmp_path, monkeypatch):
+    """Progress of a batch that holds one segment whole and one in part, with counters."""
+    rows = [(S.TOPIC_RAW, p, n, seg) for p, n, seg in ((0, 0, "a"), (0, 1, "a"), (1, 5, "a"), (0, 2, "b"), (0, 4, "b"))]
+    batch = spark.createDataFrame(rows, "topic string, partition int, offset bigint, segment string")
+    monkeypatch.setattr(type(spark), "createDataFrame", None)
+    G.commit_progress(batch, str(tmp_path), "g", 7, {"objects": 3})
+    got = G.progress(spark, str(tmp_path), "g").orderBy(F.col("partition"), "segment", "lo").collect()
+    assert [(r.partition, r.segment, r.lo, r.hi, r.rows) for r in got] == [
+        (None, None, None, None, None), (0, "a", 0, 1, 2), (0, "b", 2, 2, 1), (0, "b", 4, 4, 1), (1, "a", 5, 5, 1)
+    ]
+    assert got[0].counters == {"objects": 3} and {r.batch_id for r in got} == {7}
