@@ -26,6 +26,9 @@ _VARIANT_NAMES = {
 
 _ZERO = {T.StringType: "''", T.LongType: "0L", T.BooleanType: "false"}
 
+# Bytes from which on a payload is left to the strict decode.
+_LONG = 1_000_000
+
 _SPACE = r"' \t\r\n'"
 
 
@@ -65,6 +68,36 @@ def open_document(df: DataFrame, payload: str, schema: T.StructType) -> DataFram
     return rooted.withColumns(inner) if inner else rooted
 
 
+def open_encoded(df: DataFrame, payload: str, schema: T.StructType) -> DataFrame:
+    """Add ``_plain``, the payload cut at its quotation marks and read as if ``to_json`` had written it;
+    ``_same``, whether ``to_json`` makes the same text of that; and ``_odd``, the payload if not.
+
+    What is read and encodes to the same text once more is exactly one object with the fields of a flat
+    ``schema``, whoever wrote it. Anything else (other fields, order or white space, a number for a
+    string, an escaped character, text after the object) makes another text. Long payloads are left to
+    the strict decode, which has a limit of its own.
+    """
+    text = f"CAST(`{payload}` AS string)"
+    members, at = [], 1  # where the name of a field stands among the pieces
+    for part in schema:
+        if isinstance(part.dataType, T.StringType):
+            value, at = f"get(_cut, {at + 2})", at + 4
+        else:
+            piece, at = f"get(_cut, {at + 1})", at + 2
+            value = f"try_cast(substr({piece}, 2, length({piece}) - 2) AS {part.dataType.simpleString()})"
+        members.append(F.expr(value).alias(part.name))
+    cut = df.withColumn("_cut", F.expr(f"CASE WHEN octet_length({text}) < {_LONG} THEN split({text}, '\"') END"))
+    read = cut.withColumn("_plain", F.struct(*members)).drop("_cut")
+    written = "to_json(_plain, map('ignoreNullFields', 'false'))"
+    same = read.withColumn("_same", F.expr(f"coalesce({written} = {text}, false)"))
+    return same.withColumn("_odd", F.expr(f"CASE WHEN NOT _same THEN `{payload}` END"))
+
+
+def encoded_field(schema: T.StructType, name: str) -> str:
+    """One scalar of ``_plain``, with its zero value when null."""
+    return f"coalesce(_plain.`{name}`, {_ZERO[type(schema[name].dataType)]})"
+
+
 def close_document(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Drop the helper columns of :func:`open_document`."""
     helpers = ["_single", "_root", "_null_document"]

@@ -98,7 +98,9 @@ def assign_offsets(
     is a chunk of about :func:`task_rows`; staging fixes the range bounds, which Spark samples anew for
     every plan.
 
-    Chunk sizes are counted and staged at once. No row is lost: group columns may be null, and a row that finds no start is an error.
+    Chunk sizes are counted once and staged, since their totals and their order both start from them: two
+    stages that make the rows of ``df`` at a time would each make most of them, also if it is kept. Starts
+    are staged at once, too. No row is lost: group columns may be null, and a row that finds no start is an error.
 
     ``order_by`` must be unique per log partition. ``high_water`` (topic, partition, high) gives
     the first free offsets; a partition without a row starts at 0.
@@ -115,7 +117,10 @@ def assign_offsets(
         df = spark.read.schema(ranged.schema).parquet(staged)
 
     group = [*LOG_PARTITION, *chunk_by]
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    path = workspace(df.sparkSession, "sizes")
+    counted.write.parquet(path)
+    sizes = df.sparkSession.read.schema(counted.schema).parquet(path)
     starts, seen = places_ahead(sizes, LOG_PARTITION, chunk_by, "_rows"), Observation()
     if high_water is not None:
         starts = starts.join(high_water, LOG_PARTITION, "left").withColumn(

@@ -4,11 +4,13 @@ import pytest
 from helpers import payload, raw_rows
 
 from ripplelog import schema as S
+from ripplelog.functions.strict_json import open_encoded
 from ripplelog.operators.decode import (
     classify,
     decode_envelope,
     decode_raw,
     encode,
+    flagged_envelopes,
     to_dead_letter,
     to_envelope,
     with_page_key,
@@ -207,6 +209,57 @@ def test_absent_envelope_fields_have_zero_values(spark):
     assert [tuple(r) for r in rows.orderBy("offset").collect()] == [(0, "k", "edit", "w", "t", "u", True, 5), (1, *zero), (2, *zero)]
 
 
+def _envelope(**values):
+    """Text of an envelope with other values for some fields."""
+    return json.dumps(json.loads(ENVELOPE) | values, separators=(",", ":"), ensure_ascii=False)
+
+
+ENCODED = {
+    ENVELOPE: ("k", "edit", "w", "t", "u", True, 5),
+    _envelope(title="ü \U0001f600 \ufffd ]},'", occurred_at=-7): ("k", "edit", "w", "ü \U0001f600 \ufffd ]},'", "u", True, -7),
+    _envelope(event_id="", bot=False, occurred_at=2**63 - 1): ("", "edit", "w", "t", "u", False, 2**63 - 1),
+    _envelope(bot=None, occurred_at=None): ("k", "edit", "w", "t", "u", False, 0),
+}
+
+OTHER = {
+    _envelope(title='a "b" \\ \n'): ("k", "edit", "w", 'a "b" \\ \n', "u", True, 5),
+    _envelope(title=None): ("k", "edit", "w", "", "u", True, 5),
+    _envelope(title=',"bot":false'): ("k", "edit", "w", ',"bot":false', "u", True, 5),
+    ENVELOPE.replace('"t"', '"\\u0074"'): ("k", "edit", "w", "t", "u", True, 5),
+    f" {ENVELOPE}": ("k", "edit", "w", "t", "u", True, 5),
+    ENVELOPE.replace(":5}", ":5 }"): ("k", "edit", "w", "t", "u", True, 5),
+    ENVELOPE.replace(":5}", ":5,\"more\":[1]}"): ("k", "edit", "w", "t", "u", True, 5),
+    ENVELOPE.replace(":5}", ":5,\"bot\":false}"): ("k", "edit", "w", "t", "u", False, 5),
+    _envelope(title="x" * 1_000_000): ("k", "edit", "w", "x" * 1_000_000, "u", True, 5),
+    ENVELOPE.replace(":5}", ":05}"): None,
+    ENVELOPE.replace(":5}", ':"5"}'): None,
+    ENVELOPE.replace("true", "1"): None,
+    ENVELOPE.replace('"t"', "7"): None,
+    ENVELOPE.replace('"t"', '"a\tb"'): None,
+    ENVELOPE + "}": None,
+    ENVELOPE[:-1]: None,
+    "null": ("", "", "", "", "", False, 0),
+    '""': None,
+    "": None,
+}
+
+
+def test_only_what_encode_writes_is_read_without_the_strict_decode(spark):
+    vectors = ENCODED | OTHER
+    rows = open_encoded(raw_rows(spark, list(vectors)), "value", S.ENVELOPE).orderBy("offset").collect()
+    assert [r._same for r in rows] == [text in ENCODED for text in vectors]
+    assert [r._odd for r in rows] == [None if text in ENCODED else text.encode() for text in vectors]
+    decoded = flagged_envelopes(raw_rows(spark, list(vectors)), S.ENVELOPE, "offset").orderBy("offset").collect()
+    assert [None if r._broken else tuple(r)[1:-1] for r in decoded] == list(vectors.values())
+
+
+def test_bytes_that_are_no_text_are_not_read_as_encoded(spark):
+    bad = ENVELOPE.encode().replace(b'"t"', b'"a\xffb"')
+    rows = spark.createDataFrame([(bad,)], "value binary")
+    assert open_encoded(rows, "value", S.ENVELOPE).first()._odd == bad
+    assert flagged_envelopes(rows, S.ENVELOPE).first().title == "a\ufffdb"
+
+
 def test_known_deviations_of_repeated_keys_and_parser_limits(spark):
     """The last copy of a repeated key decides alone, and the parser has limits for unknown fields."""
     vectors = {

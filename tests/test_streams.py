@@ -111,6 +111,18 @@ def test_first_copy_wins_inside_one_batch(spark, tmp_path):
     assert page(spark, model) == (2, 0, 400, "w0")
 
 
+def test_stores_do_not_track_their_rows(spark, tmp_path):
+    """They would read each key once more before they write it; ``state_sizes`` counts rows when asked."""
+    root, model = str(tmp_path / "log"), P.ReadModel(str(tmp_path / "model"))
+    append(spark, root, "a", [edit(f"e{n}") for n in range(1000)])
+    query = P.start_projector(spark, root, model)
+    query.awaitTermination()
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numRowsUpdated"] > 1000
+    assert state["numRowsTotal"] <= 0
+    assert P.state_sizes(spark, model).agg(F.sum("rows")).first()[0] == state["numRowsUpdated"]
+
+
 def test_uncommitted_batch_is_invisible(spark, tmp_path):
     root, model = str(tmp_path / "log"), P.ReadModel(str(tmp_path / "model"))
     append(spark, root, "a", [edit("e1")])
